@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rosterline.functions.ids import short_hex
 from rosterline.functions.text import is_missing, strip_ws
 from rosterline.operators.dense_index import dense_index
+from rosterline.session import cut
 from rosterline.specs import UNK_DEFAULT_START, UNK_PREFIX
 
 ROSTER, ASSESSMENT = 0, 1  # sheet order: the roster is read first
@@ -124,7 +125,8 @@ def fill_missing_keys(raw: DataFrame, assessment: DataFrame, employees: DataFram
         sheets.append((ASSESSMENT, assessment))
     names = missing_names(sheets).withColumn("name_key", F.lower(strip_ws("nama")))
     existing = existing_key_lookup(names, employees, jobs, prefix)
-    keys = assign_keys(names, existing, start_counter, prefix)
+    # Both sheets probe the same assignment: compute it once.
+    keys = cut(assign_keys(names, existing, start_counter, prefix))
     raw_f = fill_keys(raw, keys, ROSTER, salt, prefix=prefix)
     ass_f = fill_keys(assessment, keys, ASSESSMENT, salt, prefix=prefix) if ass_has else assessment
     return raw_f, ass_f, keys

@@ -382,7 +382,9 @@ UNION ALL
 SELECT employee_id, nik, nama, NULL, NULL, NULL, NULL, NULL FROM x_p2_employees""",
     "upsert_state": "SELECT * FROM st1_emp",
     "insert_ignore": "SELECT * FROM st1_edu",
-    "append_rows": f"SELECT * FROM db_jobs_c UNION ALL SELECT {', '.join(JOB_COLS)} FROM p1_jobs_t",
+    "append_rows": "SELECT * FROM db_jobs_c UNION ALL SELECT " + ", ".join(
+        c if c in ("employee_id", "employee_no_subholding", "subholding_code", "company_code", "jabatan", "tanggal_mulai",
+                   "tanggal_selesai", "status") else f"CAST(NULL AS VARCHAR) AS {c}" for c in JOB_COLS) + " FROM p1_jobs_t",
     "default_fill": "SELECT * FROM st2_emp",
     "upsert_stats": " UNION ALL ".join([
         _upsert_stats("employees", "p1_emp_t",

@@ -5,9 +5,9 @@ builds employees, education and jobs.  These are loaded (master first; dependent
 Phase 2 then resolves the assessment sheet against the *refreshed* state and builds the people new to the state, job
 rows for people without any, assessments and the career roadmap, and loads them.
 
-All transforms are lazy DataFrame plans.  With a ``SnapshotStore`` every dataset commit is a Parquet write the next
-phase reads back, which also cuts the lineage; with a ``LazyState`` the whole upload stays one plan (used by the query
-registry and tests).
+All transforms are lazy DataFrame plans.  Lineage is cut where one result feeds several (the resolved sheets) and at
+every commit: with a ``SnapshotStore`` a commit is a versioned Parquet write the next phase reads back, with a
+``LazyState`` (query registry, tests) it is a checkpoint in the shared folder.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from rosterline.operators.datasets import (
 from rosterline.operators.keys import ASSESSMENT, ROSTER, fill_missing_keys, next_counter_value
 from rosterline.operators.resolve import resolve
 from rosterline.operators.upsert import merge, prepare_incoming
+from rosterline.session import cut
 from rosterline.sources.snapshots import LazyState, SnapshotStore, StateStore
 from rosterline.specs import EMPLOYEES, EDUCATION, JOBS, LOAD_ORDER, MASTER, UNK_DEFAULT_START
 
@@ -65,7 +66,9 @@ def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_count
     emp, jobs = state.read(EMPLOYEES.name), state.read(JOBS.name)
     raw = normalize_gender_column(raw)
     raw_f, ass_f, keys = fill_missing_keys(raw, assessment, emp, jobs, start_counter, salt)
-    raw_r = resolve(raw_f, emp, jobs, f"{salt}:p1", ROSTER)
+    # The resolved roster feeds three datasets and the filled assessment all of phase 2: compute each once.
+    raw_r = cut(resolve(raw_f, emp, jobs, f"{salt}:p1", ROSTER))
+    ass_f = cut(ass_f)
     datasets = {
         EMPLOYEES.name: employees_from_roster(raw_r),
         EDUCATION.name: education_history(raw_r),
@@ -75,7 +78,7 @@ def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_count
 
 
 def resolve_assessment(assessment_filled: DataFrame, state: StateStore, salt: str = DEFAULT_SALT) -> DataFrame:
-    return resolve(assessment_filled, state.read(EMPLOYEES.name), state.read(JOBS.name), f"{salt}:p2", ASSESSMENT)
+    return cut(resolve(assessment_filled, state.read(EMPLOYEES.name), state.read(JOBS.name), f"{salt}:p2", ASSESSMENT))
 
 
 def phase2(assessment_filled: DataFrame, state: StateStore, salt: str = DEFAULT_SALT) -> dict[str, DataFrame]:

@@ -34,7 +34,7 @@ from rosterline.plans.pipeline import (
     transform_only,
     upload,
 )
-from rosterline.session import scratch_path
+from rosterline.session import cut, scratch_path
 from rosterline.sources.fixtures import Fixtures
 from rosterline.sources.sheets import clean_cells
 from rosterline.sources.snapshots import LazyState, SnapshotStore
@@ -76,8 +76,9 @@ class Upload:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.fx = Fixtures(spark, sf_dir)
-        self.raw = clean_cells(self.fx.raw_data)
-        self.ass = clean_cells(self.fx.assesment)
+        # Ingest stages the cleaned sheets once (as a real upload does); every later step reads the staged copy.
+        self.raw = cut(clean_cells(self.fx.raw_data))
+        self.ass = cut(clean_cells(self.fx.assesment))
         self._p1 = None
         self._state = None
         self._p2 = None

@@ -56,3 +56,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (for committed state, exports, stream drops)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut(df):
+    """Compute ``df`` once into the shared checkpoint folder and continue from there.
+
+    Used where one intermediate result feeds several outputs (a resolved sheet feeds three datasets) and at every state
+    commit: later plans read the files instead of re-running the lineage, and a lost executor costs a re-read, not a
+    recomputation from the sources.  Reliable checkpoints only; never a machine-local one.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.operators.upsert import conform
+from rosterline.session import cut
 from rosterline.specs import SPECS
 
 
@@ -25,7 +26,10 @@ class StateStore(Protocol):
 
 
 class LazyState:
-    """State kept as DataFrame plans (no writes): used to compose a whole upload into one query plan."""
+    """State kept as checkpointed DataFrames instead of versioned tables (tests, the query registry).
+
+    A commit checkpoints the new table, so the next phase reads files rather than re-running the upload's lineage.
+    """
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame] | None = None):
         self.spark = spark
@@ -41,6 +45,7 @@ class LazyState:
 
     def commit(self, table: str, df: DataFrame) -> DataFrame:
         self.history.setdefault(table, []).append(self.read(table))
+        df = cut(df)
         self.tables[table] = df.drop("_action") if "_action" in df.columns else df
         return df
 
