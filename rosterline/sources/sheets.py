@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.functions.text import clean_cell, strip_ws
+from rosterline.functions.text import ascii_strip, finish_strip, null_if_empty_token, strip_ws
 from rosterline.specs import ASSESSMENT_SHEET_NAMES, ROSTER_SHEET_NAMES
 
 
@@ -31,15 +31,15 @@ def find_sheet(names: list[str], wanted: tuple[str, ...]) -> str:
 
 
 def clean_cells(df: DataFrame, keep: tuple[str, ...] = ("row_id",)) -> DataFrame:
-    """Strip header names and every string cell; ``nan``/``NaN``/empty → null.  All-null rows are kept."""
-    cols = []
-    for f in df.schema.fields:
-        name = f.name.strip()
-        if f.name in keep or f.dataType.simpleString() != "string":
-            cols.append(F.col(f"`{f.name}`").alias(name))
-        else:
-            cols.append(clean_cell(F.col(f"`{f.name}`")).alias(name))
-    return df.select(*cols)
+    """Strip header names and every string cell; ``nan``/``NaN``/empty → null.  All-null rows are kept.
+
+    Three stacked projections, each reading the previous one's column several times: the optimizer keeps them apart
+    rather than inline a trim into every reference, so each cell is trimmed once.
+    """
+    fields = [(f.name, f.name.strip(), f.name not in keep and f.dataType.simpleString() == "string") for f in df.schema.fields]
+    step1 = df.select(*[(ascii_strip(F.col(f"`{o}`")) if s else F.col(f"`{o}`")).alias(n) for o, n, s in fields])
+    step2 = step1.select(*[(finish_strip(F.col(f"`{n}`")) if s else F.col(f"`{n}`")).alias(n) for _, n, s in fields])
+    return step2.select(*[(null_if_empty_token(F.col(f"`{n}`")) if s else F.col(f"`{n}`")).alias(n) for _, n, s in fields])
 
 
 def with_row_id(df: DataFrame, row_id_col: str | None = None) -> DataFrame:
