@@ -13,7 +13,6 @@ def _col(c: str | Column) -> Column:
 
 
 _ASCII_WS = "".join(ch for ch in STRIP_CHARS if ord(ch) < 0x80)
-_WIDE_WS = [ch for ch in STRIP_CHARS if ord(ch) >= 0x80]
 
 
 def strip_ws(c: str | Column) -> Column:
@@ -33,7 +32,8 @@ def ascii_strip(c: str | Column) -> Column:
 def finish_strip(t: str | Column) -> Column:
     """Second half of ``strip_ws``: trim wider whitespace when an edge character is one."""
     t = _col(t)
-    wide_edge = F.substring(t, 1, 1).isin(*_WIDE_WS) | F.substring(t, -1, 1).isin(*_WIDE_WS)
+    # Code point of the first / last character; only a non-ASCII edge can be wide whitespace.
+    wide_edge = (F.ascii(F.substring(t, 1, 1)) >= 128) | (F.ascii(F.substring(t, -1, 1)) >= 128)
     return F.when(wide_edge, F.btrim(t, F.lit(STRIP_CHARS))).otherwise(t)
 
 

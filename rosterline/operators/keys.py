@@ -83,7 +83,8 @@ def existing_key_lookup(names: DataFrame, employees: DataFrame, jobs: DataFrame,
 
 def assign_keys(names: DataFrame, existing: DataFrame, start_counter: int, prefix: str = UNK_PREFIX) -> DataFrame:
     """``(nama, key, source)``: the state's key when the name has one, else ``unk-<n>`` numbered in first-seen order."""
-    named = names.join(existing, "name_key", "left")
+    # Read twice below (reused keys, and the input of the numbering): compute once.
+    named = cut(names.join(existing, "name_key", "left"))
     reused = named.where(F.col("existing_key").isNotNull()).select(
         "nama", F.col("existing_key").alias("key"), F.lit("state").alias("source")
     )
@@ -125,8 +126,8 @@ def fill_missing_keys(raw: DataFrame, assessment: DataFrame, employees: DataFram
         sheets.append((ASSESSMENT, assessment))
     names = missing_names(sheets).withColumn("name_key", F.lower(strip_ws("nama")))
     existing = existing_key_lookup(names, employees, jobs, prefix)
-    # Both sheets probe the same assignment: compute it once.
-    keys = cut(assign_keys(names, existing, start_counter, prefix))
+    # Both sheets probe the same assignment; it is a union of two checkpointed parts, so probing it twice is cheap.
+    keys = assign_keys(names, existing, start_counter, prefix)
     raw_f = fill_keys(raw, keys, ROSTER, salt, prefix=prefix)
     ass_f = fill_keys(assessment, keys, ASSESSMENT, salt, prefix=prefix) if ass_has else assessment
     return raw_f, ass_f, keys

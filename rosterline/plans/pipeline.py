@@ -119,19 +119,22 @@ def load(state: StateStore, datasets: dict[str, DataFrame], employees_exist: boo
             typed, rejects = prepare_incoming(datasets[spec.name], spec)
             if typed is None:
                 continue  # a key column is absent: skipped, no success flag (as the reference reports it)
+            orphans = None
             if spec.name != MASTER:
                 typed, orphans = fk_split(typed, state.read(MASTER))
-            else:
-                orphans = None
-            if evaluate:
-                if typed.isEmpty():
-                    res.rejected = rejects.count()
-                    continue
-                res.rejected = rejects.count()
-                res.orphaned = orphans.count() if orphans is not None else 0
             committed = state.commit(spec.name, merge(state.read(spec.name), typed, spec))
             if evaluate:
-                res.rows_upserted = committed.where(F.col("_action").isin("insert", "update")).count()
+                # One small aggregate per question: actions of the commit, then rejected / orphaned input rows.
+                acts = {r["_action"]: r["n"] for r in
+                        committed.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
+                bad = rejects.select(F.lit("rejected").alias("_why"))
+                if orphans is not None:
+                    bad = bad.unionByName(orphans.select(F.lit("orphaned").alias("_why")))
+                why = {r["_why"]: r["n"] for r in bad.groupBy("_why").agg(F.count(F.lit(1)).alias("n")).collect()}
+                res.rejected, res.orphaned = why.get("rejected", 0), why.get("orphaned", 0)
+                if acts.get("insert", 0) + acts.get("update", 0) + acts.get("ignore", 0) == 0:
+                    continue  # no valid row: nothing changed, no success flag
+                res.rows_upserted = acts.get("insert", 0) + acts.get("update", 0)
             res.success = True
             if spec.name == MASTER:
                 master_ok = True
