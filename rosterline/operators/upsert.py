@@ -59,14 +59,19 @@ def merge(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str =
     do_nothing = not non_key
     defaults = dict(spec.defaults)
 
+    state_has_key = all(k in state.columns for k in key)
     s = conform(state, spec)
     s = s.select(*[F.col(c).alias(f"_s_{c}") for c in s.columns], F.lit(True).alias("_s"))
     i = inc.select(*[F.col(c).alias(f"_i_{c}") for c in supplied], F.lit(True).alias("_i"))
-    cond: Column | None = None
-    for k in key:
-        c = F.col(f"_s_{k}") == F.col(f"_i_{k}")
-        cond = c if cond is None else cond & c
-    j = s.join(i, cond, "full_outer")
+    if state_has_key:
+        cond: Column | None = None
+        for k in key:
+            c = F.col(f"_s_{k}") == F.col(f"_i_{k}")
+            cond = c if cond is None else cond & c
+        j = s.join(i, cond, "full_outer")
+    else:
+        # A key column the state does not have is null in every state row: nothing can conflict.
+        j = s.unionByName(i, allowMissingColumns=True)
 
     in_s = F.col("_s").isNotNull()
     in_i = F.col("_i").isNotNull()

@@ -35,7 +35,9 @@ class LazyState:
         self.spark = spark
         self.tables: dict[str, DataFrame] = {}
         for name, df in (tables or {}).items():
-            self.tables[name] = conform(df, SPECS[name]) if name in SPECS else df
+            # Seeded like a committed table: conformed and checkpointed, so absent columns are real (all-null)
+            # columns rather than literals the optimizer would fold into join conditions.
+            self.tables[name] = cut(conform(df, SPECS[name]) if name in SPECS else df)
         self.history: dict[str, list[DataFrame]] = {}
 
     def read(self, table: str) -> DataFrame:
