@@ -27,19 +27,31 @@ def state_lookup(employees: DataFrame, jobs: DataFrame) -> DataFrame:
     )
 
 
-def key_map(employees: DataFrame, jobs: DataFrame) -> DataFrame:
-    """``(_k, _eid)``: stripped employee number → employee (smallest id when a number is shared)."""
+def key_map(employees: DataFrame, jobs: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """``(_k, _eid)``: stripped employee number → employee (smallest id when a number is shared).
+
+    With ``wanted`` (a ``_k`` column) only those numbers are looked up: an upload is usually far smaller than the
+    state, so the semi join runs first and only matching state rows reach the aggregation.
+    """
     k = F.col("employee_no_subholding")
     j = jobs.where(k.isNotNull() & (k != "") & F.col("employee_id").isNotNull()).select("employee_id", strip_ws(k).alias("_k"))
+    if wanted is not None:
+        j = j.join(wanted, "_k", "left_semi")
     j = j.join(employees.select("employee_id"), "employee_id", "left_semi")
     return j.groupBy("_k").agg(F.min("employee_id").alias("_eid"))
 
 
-def name_map(employees: DataFrame) -> DataFrame:
-    """``(_n, _eid)``: lower-cased stripped full name → employee (smallest id when a name is shared)."""
+def name_map(employees: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """``(_n, _eid)``: lower-cased stripped full name → employee (smallest id when a name is shared).
+
+    With ``wanted`` (a ``_n`` column) only those names are looked up.
+    """
     n = F.col("fullname")
     e = employees.where(n.isNotNull() & (n != "") & F.col("employee_id").isNotNull())
-    return e.groupBy(F.lower(strip_ws(n)).alias("_n")).agg(F.min("employee_id").alias("_eid"))
+    e = e.select("employee_id", F.lower(strip_ws(n)).alias("_n"))
+    if wanted is not None:
+        e = e.join(wanted, "_n", "left_semi")
+    return e.groupBy("_n").agg(F.min("employee_id").alias("_eid"))
 
 
 def resolve(df: DataFrame, employees: DataFrame, jobs: DataFrame, salt: str, sheet: int,
@@ -52,12 +64,14 @@ def resolve(df: DataFrame, employees: DataFrame, jobs: DataFrame, salt: str, she
     nama = strip_ws(F.col(name_col)) if has_name else F.lit(None).cast("string")
 
     out = df.withColumn("_kj", F.when(nik.isNotNull() & (nik != ""), nik).otherwise(surrogate))
-    km = key_map(employees, jobs)
+    sheet_keys = df.select(nik.alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
+    km = key_map(employees, jobs, sheet_keys)
     out = out.join(km, out["_kj"] == km["_k"], "left").drop("_kj", "_k").withColumnRenamed("_eid", "_eid_key")
 
     name_ok = F.col("_eid_key").isNull() & nama.isNotNull() & (token_count(nama) >= 2)
     out = out.withColumn("_nj", F.when(name_ok, F.lower(nama)).otherwise(surrogate))
-    nm = name_map(employees)
+    sheet_names = df.select(F.lower(nama).alias("_n"), token_count(nama).alias("_t")).where(F.col("_t") >= 2).select("_n").distinct()
+    nm = name_map(employees, sheet_names)
     out = out.join(nm, out["_nj"] == nm["_n"], "left").drop("_nj", "_n").withColumnRenamed("_eid", "_eid_name")
 
     fallback = F.when(
