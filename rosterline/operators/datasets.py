@@ -13,7 +13,7 @@ from rosterline.functions.dates import to_number, year_start
 from rosterline.functions.text import strip_ws
 from rosterline.operators.cleaning import drop_all_null, fill_blank
 from rosterline.operators.dedup import distinct_with_order, first_non_null, keep_first
-from rosterline.specs import JOB_STATUS, JOB_TITLE_DEFAULT, ROADMAP_COLUMN_RE
+from rosterline.specs import JOB_STATUS, JOB_STATUS_ENDED, JOB_TITLE_DEFAULT, ROADMAP_COLUMN_RE
 
 EMPLOYEE_COLUMNS = ["tahun", "employee_id", "nik", "nama", "tanggal_lahir", "agama", "jenis_kelamin", "subholding",
                     "subco", "job_title", "function"]
@@ -73,17 +73,25 @@ def education_history(resolved: DataFrame) -> DataFrame:
     return distinct_with_order(df, cols, "row_id", "_ord")
 
 
-def _finalize_jobs(df: DataFrame) -> DataFrame:
+def _finalize_jobs(df: DataFrame, status_from_end_date: bool = False) -> DataFrame:
     df = fill_blank(df, "job_title", JOB_TITLE_DEFAULT)
     kept = keep_first(df, _present(df, JOB_DEDUP_SUBSET), "row_id")
     if "nama" in kept.columns:
         kept = kept.drop("nama")
-    return kept.withColumn("status", F.lit(JOB_STATUS)).withColumnRenamed("row_id", "_ord")
+    status = F.lit(JOB_STATUS)
+    if status_from_end_date and "tanggal_resign" in kept.columns:
+        # The guide's intent: a row with a resign/transfer date is no longer active.
+        status = F.when(F.col("tanggal_resign").isNotNull(), F.lit(JOB_STATUS_ENDED)).otherwise(status)
+    return kept.withColumn("status", status).withColumnRenamed("row_id", "_ord")
 
 
-def job_history(resolved: DataFrame) -> DataFrame:
-    """Phase 1 jobs: one row per (employee, placement, title, start), the first in sheet order; status ``active``."""
-    return _finalize_jobs(resolved.select(*_present(resolved, JOB_COLUMNS), "row_id"))
+def job_history(resolved: DataFrame, status_from_end_date: bool = False) -> DataFrame:
+    """Phase 1 jobs: one row per (employee, placement, title, start), the first in sheet order.
+
+    Status is ``active`` on every row (as the reference code does); ``status_from_end_date`` marks rows with an end
+    date ``inactive`` instead (as its test guide expects).
+    """
+    return _finalize_jobs(resolved.select(*_present(resolved, JOB_COLUMNS), "row_id"), status_from_end_date)
 
 
 def _renamed(df: DataFrame, renames: dict[str, str]) -> DataFrame:

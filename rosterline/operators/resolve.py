@@ -55,8 +55,12 @@ def name_map(employees: DataFrame, wanted: DataFrame | None = None) -> DataFrame
 
 
 def resolve(df: DataFrame, employees: DataFrame, jobs: DataFrame, salt: str, sheet: int,
-            key_col: str = "nik", name_col: str = "nama") -> DataFrame:
-    """Add ``employee_id`` and ``match_kind`` (``key`` / ``name`` / ``new``)."""
+            key_col: str = "nik", name_col: str = "nama", fallback_key: tuple[str, ...] = ("name",)) -> DataFrame:
+    """Add ``employee_id`` and ``match_kind`` (``key`` / ``name`` / ``new``).
+
+    A new id is derived from the stripped name, so two unmatched people with one name share an id (as the reference
+    does); ``fallback_key=("name", "nik")`` derives it from name and number instead.
+    """
     has_key = key_col in df.columns
     has_name = name_col in df.columns
     surrogate = F.concat(F.lit(_NO_MATCH), F.lit(str(sheet)), F.lit(":"), F.col("row_id").cast("string"))
@@ -74,8 +78,11 @@ def resolve(df: DataFrame, employees: DataFrame, jobs: DataFrame, salt: str, she
     nm = name_map(employees, sheet_names)
     out = out.join(nm, out["_nj"] == nm["_n"], "left").drop("_nj", "_n").withColumnRenamed("_eid", "_eid_name")
 
+    basis = [F.lit(salt), F.lit("name"), nama]
+    if "nik" in fallback_key:
+        basis += [F.lit("nik"), F.coalesce(nik, F.lit(""))]
     fallback = F.when(
-        nama.isNotNull(), uuid_from_text(F.concat_ws("|", F.lit(salt), F.lit("name"), nama))
+        nama.isNotNull(), uuid_from_text(F.concat_ws("|", *basis))
     ).otherwise(uuid_from_text(F.concat_ws("|", F.lit(salt), F.lit("row"), F.lit(str(sheet)), F.col("row_id").cast("string"))))
     return (
         out.withColumn("employee_id", F.coalesce("_eid_key", "_eid_name", fallback))

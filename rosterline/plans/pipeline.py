@@ -62,17 +62,28 @@ class UploadReport:
     sheets_processed: list[str] = field(default_factory=list)
 
 
-def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_counter: int, salt: str = DEFAULT_SALT) -> Phase1:
+def conform_sheets(raw: DataFrame, assessment: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Workbook headers → internal names (P1/P3); the roster must have an employee number and a name column (P2)."""
+    from rosterline.operators.headers import conform_headers, require_column
+    from rosterline.specs import ASSESSMENT_COLUMNS, ROSTER_COLUMNS
+
+    require_column(raw, "nik", "NIK/NIP", "roster")
+    require_column(raw, "nama", "NAMA", "roster")
+    return conform_headers(raw, ROSTER_COLUMNS, "roster"), conform_headers(assessment, ASSESSMENT_COLUMNS, "assessment")
+
+
+def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_counter: int, salt: str = DEFAULT_SALT,
+           status_from_end_date: bool = False, fallback_key: tuple[str, ...] = ("name",)) -> Phase1:
     emp, jobs = state.read(EMPLOYEES.name), state.read(JOBS.name)
     raw = normalize_gender_column(raw)
     raw_f, ass_f, keys = fill_missing_keys(raw, assessment, emp, jobs, start_counter, salt)
     # The resolved roster feeds three datasets and the filled assessment all of phase 2: compute each once.
-    raw_r = cut(resolve(raw_f, emp, jobs, f"{salt}:p1", ROSTER))
+    raw_r = cut(resolve(raw_f, emp, jobs, f"{salt}:p1", ROSTER, fallback_key=fallback_key))
     ass_f = cut(ass_f)
     datasets = {
         EMPLOYEES.name: employees_from_roster(raw_r),
         EDUCATION.name: education_history(raw_r),
-        JOBS.name: job_history(raw_r),
+        JOBS.name: job_history(raw_r, status_from_end_date=status_from_end_date),
     }
     return Phase1(datasets, ass_f, raw_r, keys)
 

@@ -106,6 +106,7 @@ UNK_PREFIX = "unk-"
 UNK_DEFAULT_START = 5001
 JOB_TITLE_DEFAULT = "Unknown"
 JOB_STATUS = "active"
+JOB_STATUS_ENDED = "inactive"
 
 # Cell texts that mean "empty" after stripping.
 EMPTY_TOKENS: tuple[str, ...] = ("nan", "NaN", "")

@@ -43,12 +43,11 @@ ASSESSMENT = [
 
 
 def _conformed(spark):
-    from rosterline.operators.headers import conform_headers
-    from rosterline.specs import ASSESSMENT_COLUMNS, ROSTER_COLUMNS
+    from rosterline.plans.pipeline import conform_sheets
 
     raw = clean_cells(spark.createDataFrame(ROSTER, ROSTER_COLS))
     ass = clean_cells(spark.createDataFrame(ASSESSMENT, ASSESSMENT_COLS))
-    return conform_headers(raw, ROSTER_COLUMNS, "roster"), conform_headers(ass, ASSESSMENT_COLUMNS, "assessment")
+    return conform_sheets(raw, ass)
 
 
 def _run(spark, folder):
@@ -140,3 +139,18 @@ def test_reupload_changes_nothing(spark, tmp_folder):
     for name, spec in SPECS.items():
         log = change_log(store.read_version(name, first[name]), store.read(name), list(spec.key), name)
         assert log.count() == 0, name
+
+
+def test_options_status_and_fallback_key(spark):
+    import pytest
+
+    from rosterline.plans.pipeline import conform_sheets, phase1
+    from rosterline.sources.snapshots import LazyState
+
+    raw, ass = _conformed(spark)
+    p1 = phase1(raw, ass, LazyState(spark), 5001, status_from_end_date=True, fallback_key=("name", "nik"))
+    status = {r["nik"]: r["status"] for r in p1.datasets["riwayat_pekerjaan"].collect()}
+    assert status["EMP006"] == "inactive" and status["EMP001"] == "active"
+    # A roster without an employee-number column is refused (required column).
+    with pytest.raises(ValueError):
+        conform_sheets(clean_cells(spark.createDataFrame([(1, "x")], "row_id long, NAMA string")), ass)
