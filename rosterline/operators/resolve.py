@@ -55,11 +55,17 @@ def name_map(employees: DataFrame, wanted: DataFrame | None = None) -> DataFrame
 
 
 def resolve(df: DataFrame, employees: DataFrame, jobs: DataFrame, salt: str, sheet: int,
-            key_col: str = "nik", name_col: str = "nama", fallback_key: tuple[str, ...] = ("name",)) -> DataFrame:
+            key_col: str = "nik", name_col: str = "nama", fallback_key: tuple[str, ...] = ("name",),
+            restrict_to_sheet: bool = False) -> DataFrame:
     """Add ``employee_id`` and ``match_kind`` (``key`` / ``name`` / ``new``).
 
     A new id is derived from the stripped name, so two unmatched people with one name share an id (as the reference
     does); ``fallback_key=("name", "nik")`` derives it from name and number instead.
+
+    ``restrict_to_sheet`` first semi-joins the state with the numbers and names the sheet holds, so only those reach
+    the lookup aggregations.  It pays off when the state is far larger than one upload (the small side is then
+    broadcast at runtime and the state is filtered in place instead of shuffled); on a small state the extra stages
+    cost more than they save, so it is off by default.
     """
     has_key = key_col in df.columns
     has_name = name_col in df.columns
@@ -68,13 +74,18 @@ def resolve(df: DataFrame, employees: DataFrame, jobs: DataFrame, salt: str, she
     nama = strip_ws(F.col(name_col)) if has_name else F.lit(None).cast("string")
 
     out = df.withColumn("_kj", F.when(nik.isNotNull() & (nik != ""), nik).otherwise(surrogate))
-    sheet_keys = df.select(nik.alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
+    sheet_keys = None
+    if restrict_to_sheet:
+        sheet_keys = df.select(nik.alias("_k")).where(F.col("_k").isNotNull() & (F.col("_k") != "")).distinct()
     km = key_map(employees, jobs, sheet_keys)
     out = out.join(km, out["_kj"] == km["_k"], "left").drop("_kj", "_k").withColumnRenamed("_eid", "_eid_key")
 
     name_ok = F.col("_eid_key").isNull() & nama.isNotNull() & (token_count(nama) >= 2)
     out = out.withColumn("_nj", F.when(name_ok, F.lower(nama)).otherwise(surrogate))
-    sheet_names = df.select(F.lower(nama).alias("_n"), token_count(nama).alias("_t")).where(F.col("_t") >= 2).select("_n").distinct()
+    sheet_names = None
+    if restrict_to_sheet:
+        sheet_names = (df.select(F.lower(nama).alias("_n"), token_count(nama).alias("_t"))
+                       .where(F.col("_t") >= 2).select("_n").distinct())
     nm = name_map(employees, sheet_names)
     out = out.join(nm, out["_nj"] == nm["_n"], "left").drop("_nj", "_n").withColumnRenamed("_eid", "_eid_name")
 

@@ -61,3 +61,18 @@ def test_not_in_null_rules(spark):
     assert sorted(r[0] for r in not_in(df, "id", spark.createDataFrame([("a",)], "id string"), "id").collect()) == ["b"]
     assert not_in(df, "id", spark.createDataFrame([("a",), (None,)], "id string"), "id").count() == 0
     assert not_in(df, "id", spark.createDataFrame([], "id string"), "id").count() == 3
+
+
+def test_resolve_restricted_equals_full(spark):
+    from rosterline.operators.resolve import resolve
+
+    emp = spark.createDataFrame([("e1", "Ana Maria"), ("e2", "Budi Santoso"), ("e3", "Joko")], "employee_id string, fullname string")
+    jobs = spark.createDataFrame([("e1", "K1"), ("e3", " K3 ")], "employee_id string, employee_no_subholding string")
+    rows = [(1, "K1", "x y"), (2, None, "budi santoso"), (3, "K3", "Joko"), (4, None, "Joko"), (5, None, None)]
+    df = spark.createDataFrame(rows, "row_id long, nik string, nama string")
+    full = sorted(tuple(r) for r in resolve(df, emp, jobs, "s", 0).select("row_id", "employee_id", "match_kind").collect())
+    rest = sorted(tuple(r) for r in resolve(df, emp, jobs, "s", 0, restrict_to_sheet=True)
+                  .select("row_id", "employee_id", "match_kind").collect())
+    assert full == rest
+    kinds = {r[0]: r[2] for r in full}
+    assert kinds == {1: "key", 2: "name", 3: "key", 4: "new", 5: "new"}  # one-word name never matches by name
