@@ -76,24 +76,26 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def text_words(text: bytes, part: int = 1 << 20) -> np.ndarray:
-    """Hashes of all words of a text, read in parts that end at white space (bounds the memory for very long texts)."""
-    data = np.frombuffer(text, np.uint8)
+def word_hashes(data: np.ndarray, part: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of the words of UTF-8 bytes; A-Z count as a-z.
+
+    Long inputs are read in parts that end at white space, which bounds the memory.
+    """
     if len(data) <= part:
-        return word_hashes(data)[2]
+        return _word_hashes(data)
     space, out, start = _tables()[1], [], 0
     while start < len(data):
         stop = min(len(data), start + part)
         while stop < len(data) and not space[data[stop]]:
             ahead = np.flatnonzero(space[data[stop : stop + part]])
             stop = stop + int(ahead[0]) if len(ahead) else min(len(data), stop + part)
-        out.append(word_hashes(data[start:stop])[2])
+        s, e, h = _word_hashes(data[start:stop])
+        out.append((s + start, e + start, h))
         start = stop
-    return np.concatenate(out)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and 64-bit hashes of the words of UTF-8 bytes; A-Z count as a-z."""
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values, space, _ = _tables()
     gap = space[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).view(np.int8)))
@@ -107,7 +109,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct hashes of a text's word shingles; the whole sequence where there are fewer words than ``size``."""
-    words = text_words(text)
+    words = word_hashes(np.frombuffer(text, np.uint8))[2]
     if not len(words):
         return words
     n = max(1, len(words) - size + 1)

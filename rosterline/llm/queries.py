@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_codec, minhash, token_count
+from . import bpe_codec, line_crf, minhash, token_count
 from .common import table
 
 #: Folder of the public vocabulary files where the package that knows it isn't installed.
@@ -26,6 +26,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    scored = line_crf.score(docs, field)
+    return scored.select("doc_id", line_crf.held_out().alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_good").alias("predicted"))
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -36,6 +43,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op4_line_crf": op4_line_crf,
     "op6_bpe_codec": op6_bpe_codec,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
