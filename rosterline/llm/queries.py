@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_codec, line_crf, minhash, token_count
+from . import bpe_codec, line_crf, minhash, secret_scan, token_count
 from .common import table
 
 #: Folder of the public vocabulary files where the package that knows it isn't installed.
@@ -22,6 +22,18 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kind = lambda k: F.filter("secrets", lambda x: x["kind"] == k)
+    return found.select(
+        "doc_id",
+        *(F.size(kind(k)).cast("long").alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)),
+        F.sha2(secret_scan.joined(F.filter("secrets", lambda x: x["kind"] < 3)), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("secrets")).alias("spans"),
+        F.size(kind(3)).cast("long").alias("n_random"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -42,6 +54,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_token_counts": op3_token_counts,
     "op4_line_crf": op4_line_crf,
     "op6_bpe_codec": op6_bpe_codec,
