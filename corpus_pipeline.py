@@ -1,22 +1,64 @@
-"""Corpus pipeline: documents go through the stages in order, each written as Parquet and reread as the next one's input."""
+"""Corpus pipeline: documents go through the stages in order, each written as Parquet and reread as the next one's input.
+
+1. quality   documents that the line CRF rejects go
+2. near      one document of each group of near-duplicates stays (five-word shingles, similarity 0.8 or more)
+3. secrets   secrets are replaced by a mark in the text, n_chars follows
+4. mixing    documents are repeated or left out so that all sources have the same expected share
+5. bpe       ids and decoded text of every document
+
+The last stage's rows may repeat an id, once for each copy that mixing made.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from rosterline.llm import bpe_codec
-from rosterline.llm.common import stage, table
+from rosterline.llm import bpe_codec, line_crf, minhash, mixing, secret_scan
+from rosterline.llm.common import broadcast_checked, stage, table
 from rosterline.llm.queries import vocabulary
 
+#: Dropped ids are broadcast up to this many (16 bytes each in a hash table), else joined by sorting.
+DROPPED = 1_000_000
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents that the quality classifier calls good."""
+    field = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    return line_crf.score(docs, field).where("quality_good = 1").select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near-duplicates, and one row of a repeated id."""
+    found = stage(minhash.near_duplicates(docs, size=5, percent=80), "near")
+    dropped = found.where("not kept").select("doc_id").distinct()
+    kept = docs.join(broadcast_checked(dropped, DROPPED), "doc_id", "left_anti").select(*docs.columns)
+    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())).orderBy(F.col("text").asc_nulls_last())
+    return kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts by a mark."""
+    found = secret_scan.scan(docs)
+    clean = F.when(F.size("secrets") > 0, secret_scan.redacted(F.col("text"), F.col("secrets"))).otherwise(F.col("text"))
+    found = found.withColumn("text", clean)
+    return found.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents so that every source has the same expected number, as many in all as before."""
+    return mixing.mix(docs).select(*docs.columns)
+
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE encoding: ids and the round trip of every document."""
+    """doc_id, n_tokens, ids and decoded text."""
     return bpe_codec.encode(docs, vocabulary("byte_bpe_50k.json"))
 
 
-STAGES = [("bpe", encoded)]
+STAGES = [("quality", quality), ("near", near), ("secrets", secrets), ("mixing", mixed), ("bpe", encoded)]
 
-#: The stages use trained models and iterated link searches, which one SQL statement can't express.
+#: The stages use a trained model and iterated link searches, which one SQL statement can't express.
 ORACLE_SQL = None
 
 

@@ -51,3 +51,8 @@ def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
 def text_of(column: str = "text"):
     """The text with null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def others(names: list[str], added: list[str]) -> list[tuple[int, str]]:
+    """Place and name of the input columns that no added column replaces."""
+    return [(k, n) for k, n in enumerate(names) if n.lower() not in added]

@@ -6,7 +6,8 @@ line's marginal probability of being good; a document's score is their mean, wei
 The field is fitted on a bounded sample of labelled documents (``sample`` of them, the smallest by a hash of the id),
 whose lines take the document's label.  Scores read the text alone.  Null texts count as empty: one empty line, which
 is scored like any other.  Rows with equal or null ids each get their own row, documents with several labels count by
-their mean, an empty table gives an empty result, without labels every score is 0.5, and further columns are ignored.
+their mean, an empty table gives an empty result, without labels every score is 0.5, and other columns pass
+through (those named like added ones are replaced).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship_code, text_of
+from .common import others, ship_code, text_of
 from .minhash import word_hashes
 
 #: Labelled documents that the field is fitted on, at most.
@@ -256,4 +257,5 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     numbered = docs.toDF(*(f"c{k}" for k in range(len(schema)))).withColumn("_crf_text", text_of(f"c{schema.names.index(text_col)}").cast("binary"))
     kinds = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(schema))
     out = numbered.mapInArrow(run, f"{kinds}, _crf_score double, _crf_good int")
-    return out.toDF(*schema.names, "quality_score", "quality_good")
+    added = ["quality_score", "quality_good"]
+    return out.select(*(F.col(f"c{k}").alias(n) for k, n in others(schema.names, added)), F.col("_crf_score").alias(added[0]), F.col("_crf_good").alias(added[1]))

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ship_code, stage, text_of
+from .common import broadcast_checked, ship_code, stage, text_of
 from .components import components
 
 BUCKET_BITS = 7
@@ -37,6 +37,8 @@ BANDS = BUCKETS // BAND
 EMPTY = 0xFFFF
 #: Pairs whose estimate lies this far below the threshold (five standard errors of 128 registers) aren't checked.
 MARGIN = 0.16
+#: Ids whose sets are needed are broadcast up to this many (about 60 bytes each), else joined by sorting.
+HEADS = 500_000
 #: Classes per block in the second pass; a task holds two blocks.
 BLOCK = 256
 
@@ -211,7 +213,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size:
                 yield pa.record_batch([part.column("_id"), part.column("set_hash"), pa.array(sets, pa.binary())], names=["_id", "set_hash", "set"]).filter(pa.array(right, pa.bool_()))
 
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).cast("binary").alias("_text"))
-    cols = texts.join(ids.select("_id", "set_hash"), "_id")
+    cols = texts.join(broadcast_checked(ids.select("_id", "set_hash"), HEADS), "_id")
     kind = cols.schema["_id"].dataType.simpleString()
     return cols.mapInArrow(run, f"_id {kind}, set_hash binary, set binary")
 
@@ -315,7 +317,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = stage(banded.join(pivots, "key"), "bands")
     pairs = stage(grouped.where("_id <> pivot").select(F.col("_id").alias("u"), F.col("pivot").alias("v")).distinct(), "pairs")
     involved = pairs.select(F.col("u").alias("_id")).union(pairs.select("v")).distinct()
-    sets = stage(_sets_of(docs, heads.join(involved, "_id", "left_semi"), id_col, text_col, size).distinct(), "sets")
+    sets = stage(_sets_of(docs, stage(heads.join(involved, "_id", "left_semi").select("_id", "set_hash"), "involved"), id_col, text_col, size).distinct(), "sets")
     links = stage(_verified(pairs, heads, sets, percent).union(by_id), "near")
     found = components(links)
 

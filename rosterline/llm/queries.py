@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_codec, line_crf, minhash, secret_scan, token_count
+from . import bpe_codec, line_crf, minhash, mixing, secret_scan, token_count
 from .common import table
 
 #: Folder of the public vocabulary files where the package that knows it isn't installed.
@@ -45,6 +45,10 @@ def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", line_crf.held_out().alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_good").alias("predicted"))
 
 
+def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), seed=7)
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -57,8 +61,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_token_counts": op3_token_counts,
     "op4_line_crf": op4_line_crf,
+    "op5_poisson_mixing": op5_poisson_mixing,
     "op6_bpe_codec": op6_bpe_codec,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_poisson_mixing": """
+        WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        rates AS (SELECT source, (SELECT sum(n) FROM sizes)::DOUBLE / ((SELECT count(*) FROM sizes) * n) AS rate FROM sizes),
+        drawn AS (SELECT source, rate, greatest(1, ceil(rate / 16))::INT AS draws FROM rates),
+        cdf AS (
+            SELECT source, k, sum(exp(-rate / draws + k * ln(rate / draws) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS upto
+            FROM drawn, range(0, 101) AS r(k)
+        ),
+        uniform AS (
+            SELECT d.doc_id, d.source, j, ('0x' || left(md5('7:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || j), 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+            FROM documents d JOIN drawn s ON s.source IS NOT DISTINCT FROM d.source, LATERAL (SELECT unnest(range(1, s.draws + 1)) AS j)
+        ),
+        copies AS (
+            SELECT u.doc_id, count(*) FILTER (WHERE u.u >= c.upto) AS copies
+            FROM uniform u JOIN cdf c ON c.source IS NOT DISTINCT FROM u.source GROUP BY u.doc_id
+        )
+        SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, n.copy::INT AS copy, c.copies::INT AS copies,
+               md5('7-order:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || n.copy) AS shuffle_key
+        FROM documents d JOIN copies c ON c.doc_id IS NOT DISTINCT FROM d.doc_id, LATERAL (SELECT unnest(range(1, c.copies + 1)) AS copy) n
+    """,
+}

@@ -11,14 +11,15 @@ alphabet).  A candidate's p-value is the share of stretches of its length class
 budget), and the Benjamini-Hochberg rule over all candidates of the corpus decides which are reported as kind random.
 
 Positions are code points, ends exclusive.  Null texts count as empty, empty texts have no spans, rows with equal or
-null ids each get their own result, an empty table gives an empty result, and all columns of the input pass through.
+null ids each get their own result, an empty table gives an empty result, and all columns of the input pass through (one named
+secrets is replaced).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage
+from .common import others, stage
 
 #: The base patterns.  Group 2 of assign must have 12 characters or more.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -228,7 +229,7 @@ def scan(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> DataFra
         df = df.withColumn("free", free).withColumn("more", F.filter("free", reported))
         more = F.transform("more", lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
         df = df.withColumn("base", F.array_sort(F.concat("base", more)))
-    return df.select(*(F.col(f"c{k}").alias(n) for k, n in enumerate(names)), F.col("base").alias("secrets"))
+    return df.select(*(F.col(f"c{k}").alias(n) for k, n in others(names, ["secrets"])), F.col("base").alias("secrets"))
 
 
 def joined(spans: Column) -> Column:
