@@ -24,12 +24,16 @@ WORD = 0xFFFFFFFF
 NULL_ID = -(1 << 63)
 
 
+def _hash(seed: int):
+    return lambda x: F.xxhash64(x, F.lit(seed))
+
+
 def with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
     """Adds ``name``: struct of n (elements), words (8) and signs (32 packed pairs of counts of set sign bits)."""
     elements, hashes = f"{name}_e", [f"{name}_h{k}" for k in range(HASHES)]
     df = df.withColumn(elements, F.regexp_extract_all(text, F.lit(ELEMENT), F.lit(0)))
     for k, h in enumerate(hashes):
-        df = df.withColumn(h, F.transform(elements, lambda x, k=k: F.xxhash64(x, F.lit(k))))
+        df = df.withColumn(h, F.transform(elements, _hash(k)))
     total = lambda h, part: F.aggregate(h, F.lit(0).cast("long"), lambda acc, x: acc + part(x))
     low, high = lambda x: x.bitwiseAND(F.lit(WORD)), lambda x: F.shiftrightunsigned(x, 32)
     words = [total(h, part).bitwiseAND(F.lit(WORD)) for h in hashes for part in (low, high)]
