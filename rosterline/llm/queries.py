@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_codec, fingerprint, line_crf, minhash, mixing, secret_scan, token_count
+from . import bpe_codec, embedding_dedup, fingerprint, line_crf, minhash, mixing, secret_scan, token_count
 from .common import table
 
 #: Folder of the public vocabulary files where the package that knows it isn't installed.
@@ -53,6 +53,10 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fingerprint.edits(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_crf": op4_line_crf,
     "op5_poisson_mixing": op5_poisson_mixing,
     "op6_bpe_codec": op6_bpe_codec,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_multiset_fingerprint": op9_multiset_fingerprint,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
