@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_codec, embedding_dedup, fingerprint, line_crf, minhash, mixing, secret_scan, token_count
+from . import bpe_codec, embedding_dedup, fingerprint, line_crf, minhash, mixing, secret_scan, suffix_dedup, token_count, url_filter
 from .common import table
 
 #: Folder of the public vocabulary files where the package that knows it isn't installed.
@@ -22,6 +22,14 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+#: verdict, host, path
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", F.round("log_odds", 6).alias("log_odds"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kind = lambda k: F.filter("secrets", lambda x: x["kind"] == k)
@@ -53,6 +61,11 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
@@ -67,11 +80,13 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_secret_scan": op2_secret_scan,
     "op3_token_counts": op3_token_counts,
     "op4_line_crf": op4_line_crf,
     "op5_poisson_mixing": op5_poisson_mixing,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_multiset_fingerprint": op9_multiset_fingerprint,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
