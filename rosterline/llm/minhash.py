@@ -8,8 +8,8 @@ threshold are checked on the full sets.
 
 Linking is done in two passes, so that a large group of copies never becomes all its pairs:
 1. every class is compared with the smallest class of each of its band groups, which settles most groups;
-2. band groups that still hold several components are gathered, and within them pairs of different components are
-   compared block by block until they are joined.
+2. in band groups that still hold several components, blocks of registers give a forest of the pairs of different
+   components that may be linked; within its trees such pairs are compared on full sets, block by block, until joined.
 
 Null or empty texts have no shingles and link with nothing.  Rows that share an id are one node, linked by any of its
 texts; rows with a null id link with nothing and are kept.  Further columns pass through untouched.
@@ -218,81 +218,128 @@ def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size:
     return cols.mapInArrow(run, f"_id {kind}, set_hash binary, set binary")
 
 
-def _verified(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs u, v whose registers allow it and whose full sets reach the threshold."""
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _near(parts: pd.DataFrame, percent: int) -> np.ndarray:
+    """Whether the registers of ru, rv allow the threshold."""
+    stack = lambda c: np.stack([np.frombuffer(x, "<u2") for x in parts[c]]) if len(parts) else np.zeros((0, BUCKETS))
+    return estimate(stack("ru"), stack("rv"), parts["nu"].to_numpy(), parts["nv"].to_numpy()) >= percent / 100 - MARGIN
+
+
+def _side(t: DataFrame, x: str, *cols: tuple[str, str]) -> DataFrame:
+    return t.select(F.col("_id").alias(x), *(F.col(a).alias(b) for a, b in cols))
+
+
+def _close(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The pairs u, v whose registers allow the threshold."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            a = np.stack([np.frombuffer(x, "<u2") for x in part["ru"]]) if len(part) else np.zeros((0, BUCKETS))
-            b = np.stack([np.frombuffer(x, "<u2") for x in part["rv"]]) if len(part) else np.zeros((0, BUCKETS))
-            yield part.loc[estimate(a, b, part["nu"].to_numpy(), part["nv"].to_numpy()) >= percent / 100 - MARGIN, ["u", "v"]]
+            yield part.loc[_near(part, percent), ["u", "v"]]
+
+    kind = pairs.schema["u"].dataType.simpleString()
+    regs = pairs.join(_side(heads, "u", ("regs", "ru"), ("n_shingles", "nu")), "u").join(_side(heads, "v", ("regs", "rv"), ("n_shingles", "nv")), "v")
+    return regs.mapInPandas(run, f"u {kind}, v {kind}")
+
 
-    def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs u, v whose full sets reach the threshold."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             yes = [similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(part["su"], part["sv"], strict=True)]
             yield part.loc[yes, ["u", "v"]]
 
     kind = pairs.schema["u"].dataType.simpleString()
-    side = lambda t, x, *cols: t.select(F.col("_id").alias(x), *(F.col(a).alias(b) for a, b in cols))
-    regs = pairs.join(side(sketch, "u", ("regs", "ru"), ("n_shingles", "nu")), "u").join(side(sketch, "v", ("regs", "rv"), ("n_shingles", "nv")), "v")
-    close = regs.mapInPandas(near, f"u {kind}, v {kind}")
-    held = close.join(side(sets, "u", ("set", "su")), "u").join(side(sets, "v", ("set", "sv")), "v")
-    return held.mapInPandas(full, f"u {kind}, v {kind}")
+    held = pairs.join(_side(sets, "u", ("set", "su")), "u").join(_side(sets, "v", ("set", "sv")), "v")
+    return held.mapInPandas(run, f"u {kind}, v {kind}")
+
+
+def _forest(percent: int):
+    """For a block pair of a band group: a forest of the pairs of different components that the registers allow."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        found, root = [], _Joined()
+        for a, b, _ in _cross_pairs(part, percent):
+            x, y = root.of(part["_id"].iloc[a]), root.of(part["_id"].iloc[b])
+            if x != y:
+                root.join(x, y)
+                found.append((part["_id"].iloc[a], part["_id"].iloc[b]))
+        return pd.DataFrame(found, columns=["u", "v"])
+
+    return run
+
+
+class _Joined:
+    """Disjoint sets."""
+
+    def __init__(self):
+        self.parent = {}
+
+    def of(self, x):
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
+        return x
+
+    def join(self, x, y):
+        self.parent[max(x, y)] = min(x, y)
+
+
+def _cross_pairs(part: pd.DataFrame, percent: int) -> Iterator[tuple[int, int, float]]:
+    """Row numbers and estimates of the pairs of a block pair that lie in different components and may be linked."""
+    block, comp, sizes = part["block"].to_numpy(), part["comp"].to_numpy(), part["n_shingles"].to_numpy()
+    first, second = part["i"].iloc[0], part["j"].iloc[0]
+    regs = np.stack([np.frombuffer(x, "<u2") for x in part["regs"]])
+    rows, cols = np.flatnonzero(block == first), np.flatnonzero(block == second)
+    for r in rows.tolist():
+        other = cols[cols > r] if first == second else cols
+        other = other[comp[other] != comp[r]]
+        other = other[100 * np.minimum(sizes[other], sizes[r]) >= percent * np.maximum(sizes[other], sizes[r])]
+        if len(other):
+            guess = estimate(regs[r][None, :], regs[other], sizes[r : r + 1], sizes[other])
+            for o, g in zip(other.tolist(), guess.tolist(), strict=True):
+                if g >= percent / 100 - MARGIN:
+                    yield r, o, g
 
 
 def _link_block(percent: int):
     """For a block pair: joins classes of different components, best estimates first, until no unjoined pair is left."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("_id", ignore_index=True)
-        ids, block = part["_id"].to_numpy(), part["block"].to_numpy()
-        first, second = part["i"].iloc[0], part["j"].iloc[0]
-        regs = np.stack([np.frombuffer(x, "<u2") for x in part["regs"]])
-        sizes = part["n_shingles"].to_numpy()
-        parent = {c: c for c in part["comp"]}
-
-        def root(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        comp = part["comp"].to_numpy()
-        found = []
-        rows, cols = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        wanted = []
-        for r in rows:
-            other = cols[(cols > r) if first == second else np.ones(len(cols), bool)]
-            other = other[comp[other] != comp[r]]
-            other = other[100 * np.minimum(sizes[other], sizes[r]) >= percent * np.maximum(sizes[other], sizes[r])]
-            if len(other):
-                guess = estimate(regs[r][None, :], regs[other], sizes[r : r + 1], sizes[other])
-                near = guess >= percent / 100 - MARGIN
-                wanted += zip((-guess[near]).tolist(), [r] * int(near.sum()), other[near].tolist())
+        comp, root, found = part["comp"].tolist(), _Joined(), []
         held: dict[int, np.ndarray] = {}
-        for _, a, b in sorted(wanted):
-            x, y = root(comp[a]), root(comp[b])
+        for a, b, _ in sorted(_cross_pairs(part, percent), key=lambda p: (-p[2], p[0], p[1])):
+            x, y = root.of(comp[a]), root.of(comp[b])
             if x != y:
                 for k in (a, b):
                     if k not in held:
                         held[k] = np.frombuffer(part["set"].iloc[k], np.uint64)
                 if similar(held[a], held[b], percent):
-                    parent[max(x, y)] = min(x, y)
-                    found.append((ids[a], ids[b]))
+                    root.join(x, y)
+                    found.append((part["_id"].iloc[a], part["_id"].iloc[b]))
         return pd.DataFrame(found, columns=["u", "v"])
 
     return run
 
 
-def _block_links(open_: DataFrame, heads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links u, v between different components of ``open_`` (_id, pivot, comp): each connected area in block pairs."""
-    area = components(open_.select(F.col("_id").alias("u"), F.col("pivot").alias("v")))
-    nodes = open_.select("_id", "comp").distinct().join(area.select(F.col("node").alias("_id"), "component"), "_id", "left")
-    nodes = stage(nodes.select("_id", "comp", F.coalesce("component", "_id").alias("area")), "areas")
-    blocks = stage(nodes.groupBy("area").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
-    nodes = nodes.join(blocks, "area").withColumn("block", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
+def _blocked(nodes: DataFrame, group: str, *extra: str) -> DataFrame:
+    """Rows of every block pair (i, j) of each group; a row goes to as many pairs as its group has blocks."""
+    blocks = stage(nodes.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    nodes = nodes.join(blocks, group).withColumn("block", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
     dealt = nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("area", "_id", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    held = dealt.join(heads.select("_id", "set_hash", "n_shingles", "regs"), "_id").join(sets, ["_id", "set_hash"])
+    return dealt.select(group, "_id", *extra, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
+def _block_links(open_: DataFrame, heads: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links u, v between different components within band groups; ``open_``: key, _id, comp of groups with several."""
     kind = heads.schema["_id"].dataType.simpleString()
-    return held.groupBy("area", "i", "j").applyInPandas(_link_block(percent), f"u {kind}, v {kind}")
+    schema = f"u {kind}, v {kind}"
+    regs = heads.select("_id", "set_hash", "n_shingles", "regs")
+    near = _blocked(open_, "key", "comp").join(regs, "_id").groupBy("key", "i", "j").applyInPandas(_forest(percent), schema)
+    near = stage(near, "forest")
+    if near.isEmpty():
+        return near
+    area = components(near).select(F.col("node").alias("_id"), F.col("component").alias("area"))
+    nodes = near.select(F.col("u").alias("_id")).union(near.select("v")).distinct().join(area, "_id", "left")
+    nodes = nodes.select("_id", F.coalesce("area", "_id").alias("area"))
+    nodes = stage(nodes.join(open_.select("_id", "comp").distinct(), "_id"), "areas")
+    held = _blocked(nodes, "area", "comp").join(regs, "_id").join(sets_of(nodes), ["_id", "set_hash"])
+    return stage(held.groupBy("area", "i", "j").applyInPandas(_link_block(percent), schema), "more")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -316,17 +363,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pivots = stage(pivots, "pivots")
     grouped = stage(banded.join(pivots, "key"), "bands")
     pairs = stage(grouped.where("_id <> pivot").select(F.col("_id").alias("u"), F.col("pivot").alias("v")).distinct(), "pairs")
-    involved = pairs.select(F.col("u").alias("_id")).union(pairs.select("v")).distinct()
-    sets = stage(_sets_of(docs, stage(heads.join(involved, "_id", "left_semi").select("_id", "set_hash"), "involved"), id_col, text_col, size).distinct(), "sets")
-    links = stage(_verified(pairs, heads, sets, percent).union(by_id), "near")
+    close = stage(_close(pairs, heads, percent), "close")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        ids = stage(heads.join(nodes.select("_id").distinct(), "_id", "left_semi").select("_id", "set_hash"), "involved")
+        return _sets_of(docs, ids, id_col, text_col, size).distinct()
+
+    sets = stage(sets_of(close.select(F.col("u").alias("_id")).union(close.select("v"))), "sets")
+    links = stage(_verified(close, sets, percent).union(by_id), "near")
     found = components(links)
 
     # second pass: band groups that still hold several components
     labelled = grouped.join(found.withColumnRenamed("node", "_id"), "_id", "left").withColumn("comp", F.coalesce("component", "_id"))
     mixed = stage(labelled.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "mixed")
-    open_ = stage(labelled.join(mixed, "key", "left_semi").select("_id", "pivot", "comp").distinct(), "open")
-    if not open_.isEmpty():
-        more = stage(_block_links(open_, heads, sets, percent), "more")
+    open_ = stage(labelled.join(mixed, "key", "left_semi").select("key", "_id", "comp").distinct(), "open")
+    more = _block_links(open_, heads, sets_of, percent)
+    if not more.isEmpty():
         found = components(links.select("u", "v").union(more))
 
     final = heads.select("set_hash", F.col("_id").alias("node")).join(found, "node", "left")
