@@ -9,5 +9,5 @@ from rosterline.functions.text import (  # noqa: F401
     strip_ws,
     token_count,
 )
-from rosterline.functions.ids import uuid_from_text, short_hex  # noqa: F401
+from rosterline.functions.ids import uuid_from_text, row_suffix  # noqa: F401
 from rosterline.functions.dates import parse_date, to_number, year_start  # noqa: F401

@@ -12,18 +12,18 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_date(c: str | Column, patterns: tuple[str, ...] = DATE_PATTERNS, pivot_future: bool = True) -> Column:
+def parse_date(c: str | Column, patterns: tuple[str, ...] = DATE_PATTERNS, latest: Column | None = None) -> Column:
     """First pattern that parses wins; unparseable → null.
 
-    Two-digit years parse into 20xx; with ``pivot_future`` a result later than today moves back 100 years, so a birth
-    date written ``17/05/85`` becomes 1985.
+    Two-digit years parse into 20xx; where ``latest`` is given, a result after it moves back 100 years, so a birth date
+    written ``17/05/85`` becomes 1985.  Without it (start and end dates) a future date stays.
     """
     c = _col(c)
     parsed = []
     for p in patterns:
         d = F.try_to_date(c, p)
-        if pivot_future and "yy" in p and "yyyy" not in p:
-            d = F.when(d > F.current_date(), F.add_months(d, -1200)).otherwise(d)
+        if latest is not None and "yy" in p and "yyyy" not in p:
+            d = F.when(d > latest, F.add_months(d, -1200)).otherwise(d)
         parsed.append(d)
     return F.coalesce(*parsed)
 

@@ -22,6 +22,6 @@ def uuid_from_text(text: Column) -> Column:
     )
 
 
-def short_hex(text: Column, n: int = 6) -> Column:
-    """First ``n`` hex digits of md5(text)."""
-    return F.substring(F.md5(text), 1, n)
+def row_suffix(text: Column, digits: int = 32) -> Column:
+    """``x`` and the first ``digits`` hex digits of md5(text): never a plain number, and wide enough for any table."""
+    return F.concat(F.lit("x"), F.substring(F.md5(text), 1, digits))

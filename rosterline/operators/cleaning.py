@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +22,6 @@ def drop_incomplete_keys(df: DataFrame, key: list[str] | tuple[str, ...]) -> Dat
     return df.na.drop(how="any", subset=list(key))
 
 
-def incomplete_key_rows(df: DataFrame, key: list[str] | tuple[str, ...]) -> DataFrame:
-    """The rows ``drop_incomplete_keys`` removes (for the reject report)."""
-    cond = None
-    for k in key:
-        c = F.col(k).isNull()
-        cond = c if cond is None else cond | c
-    return df.where(cond)
-
-
 def fill_blank(df: DataFrame, column: str, default: str = JOB_TITLE_DEFAULT) -> DataFrame:
     """Whitespace-only or null → ``default`` (other values kept as they are)."""
     if column not in df.columns:
@@ -45,11 +36,12 @@ def normalize_gender_column(df: DataFrame, column: str = "jenis_kelamin", mappin
     return df.withColumn(column, normalize_gender(column, mapping, default))
 
 
-def coerce_to_target(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+def coerce_to_target(df: DataFrame, spec: DatasetSpec, load_date: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Cast target-named text columns to the spec's types.
 
     Returns ``(typed, rejects)``: a row whose non-null cell does not parse, or that is null in a NOT NULL column, goes
-    to ``rejects`` (with its text) instead of failing the whole dataset.  Columns the spec does not know are dropped.
+    to ``rejects`` (with its text) instead of failing the whole dataset.  Columns the spec does not know are dropped.  Two-digit
+    years of the spec's ``past_dates`` are read as not after ``load_date`` (default: today).
     """
     types = {f.name: f.dataType for f in spec.schema.fields}
     present = [c for c in df.columns if c in types]
@@ -60,7 +52,7 @@ def coerce_to_target(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataF
         if isinstance(t, T.StringType):
             typed = F.col(c).cast("string")
         elif isinstance(t, T.DateType):
-            typed = parse_date(F.col(c).cast("string"))
+            typed = parse_date(F.col(c).cast("string"), latest=(load_date if load_date is not None else F.current_date()) if c in spec.past_dates else None)
         else:
             typed = F.col(c).cast("string").try_cast(t)
         typed_cols.append((c, typed))

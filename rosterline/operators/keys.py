@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.functions.ids import short_hex
+from rosterline.functions.ids import row_suffix
 from rosterline.functions.text import is_missing, strip_ws
 from rosterline.operators.dense_index import dense_index
 from rosterline.session import cut
@@ -97,7 +97,7 @@ def assign_keys(names: DataFrame, existing: DataFrame, start_counter: int, prefi
 
 def fill_keys(df: DataFrame, name_keys: DataFrame, sheet: int, salt: str, key_col: str = "nik", name_col: str = "nama",
               prefix: str = UNK_PREFIX) -> DataFrame:
-    """Fill blank keys from the name → key map; a blank key with a null name gets ``unk-`` + 6 hex digits of its row.
+    """Fill blank keys from the name → key map; a blank key with a null name gets ``unk-x`` + 32 hex digits of its row.
 
     Only rows that need a key go through the join; the rest pass by.
     """
@@ -112,7 +112,7 @@ def fill_keys(df: DataFrame, name_keys: DataFrame, sheet: int, salt: str, key_co
     )
     nameless = need.where(F.col(name_col).isNull()).withColumn(
         key_col,
-        F.concat(F.lit(prefix), short_hex(F.concat_ws("|", F.lit(salt), F.lit(str(sheet)), F.col("row_id").cast("string")))),
+        F.concat(F.lit(prefix), row_suffix(F.concat_ws("|", F.lit(salt), F.lit(str(sheet)), F.col("row_id").cast("string")))),
     )
     return ok.unionByName(by_name).unionByName(nameless)
 

@@ -27,10 +27,6 @@ def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     ])
 
 
-def empty_state(spark, spec: DatasetSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
-
-
 def prepare_incoming(dataset: DataFrame, spec: DatasetSpec) -> tuple[DataFrame | None, DataFrame | None]:
     """Transform dataset → typed target rows ready to merge, plus rejected rows.
 
@@ -96,23 +92,6 @@ def merge(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str =
     return j.select(*cols, action.alias("_action"))
 
 
-def upsert(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str = "_ord") -> DataFrame:
-    """The state after ``INSERT … ON CONFLICT`` of ``incoming`` (typed target rows)."""
-    return merge(state, incoming, spec, order).drop("_action")
-
-
-def insert_ignore(state: DataFrame, incoming: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """``ON CONFLICT DO NOTHING``: state ∪ (incoming rows whose key is not in the state)."""
-    key = list(spec.key)
-    s = conform(state, spec)
-    inc = conform(incoming.dropDuplicates(key), spec)
-    cond = None
-    for k in key:
-        c = inc[k] == s[k]
-        cond = c if cond is None else cond & c
-    return s.unionByName(inc.join(s, cond, "left_anti"))
-
-
 def append_rows(state: DataFrame, incoming: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Plain ``INSERT`` without a conflict key."""
     return conform(state, spec).unionByName(conform(incoming, spec))
@@ -133,11 +112,3 @@ def upsert_stats(merged: DataFrame, given: DataFrame, table: str) -> DataFrame:
         (F.col("inserted") + F.col("updated")).cast("bigint").alias("rows_affected"),
         (F.col("given") - F.col("inserted") - F.col("updated") - F.col("ignored")).cast("bigint").alias("collapsed"),
     )
-
-
-def load_dataset(state: DataFrame, dataset: DataFrame, spec: DatasetSpec) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
-    """``(merged_with_action, typed_incoming, rejects)`` for one dataset, or Nones when it has to be skipped."""
-    typed, rejects = prepare_incoming(dataset, spec)
-    if typed is None:
-        return None, None, None
-    return merge(state, typed, spec), typed, rejects

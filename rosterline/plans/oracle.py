@@ -57,12 +57,12 @@ def uuid(text: str) -> str:
             f"|| '-' || substr({h},21,12)")
 
 
-def pdate(x: str) -> str:
+def pdate(x: str, past: bool = False) -> str:
     yy = f"CAST(try_strptime({x}, '%d/%m/%y') AS DATE)"
     return (
         f"coalesce(CAST(try_strptime({x}, '%Y-%m-%d') AS DATE), CAST(try_strptime({x}, '%Y-%m-%d %H:%M:%S') AS DATE), "
-        f"CAST(try_strptime({x}, '%d/%m/%Y') AS DATE), "
-        f"CASE WHEN {yy} > current_date THEN CAST({yy} - INTERVAL 100 YEAR AS DATE) ELSE {yy} END)"
+        f"CASE WHEN regexp_full_match({x}, '[0-9]+/[0-9]+/[0-9]{{4}}') THEN CAST(try_strptime({x}, '%d/%m/%Y') AS DATE) END, "
+        + (f"CASE WHEN {yy} > current_date THEN CAST({yy} - INTERVAL 100 YEAR AS DATE) ELSE {yy} END)" if past else f"{yy})")
     )
 
 
@@ -176,8 +176,8 @@ FROM missing_names m WHERE NOT EXISTS (SELECT 1 FROM {p}existing x WHERE x.name_
         for c in cols:
             if c == "nik":
                 sel.append(
-                    f"CASE WHEN {missing('r.nik')} THEN (CASE WHEN r.nama IS NULL THEN 'unk-' || "
-                    f"substr(md5(concat_ws('|', '{SALT}', '{sheet}', CAST(r.row_id AS VARCHAR))), 1, 6) "
+                    f"CASE WHEN {missing('r.nik')} THEN (CASE WHEN r.nama IS NULL THEN 'unk-x' || "
+                    f"md5(concat_ws('|', '{SALT}', '{sheet}', CAST(r.row_id AS VARCHAR))) "
                     f"ELSE a.key END) ELSE r.nik END AS nik")
             else:
                 sel.append(f"r.{c}")
@@ -205,10 +205,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY employee_id, subholding, subco,
 
     # Phase-1 load: employees, then jobs and education (only rows whose employee exists).
     cte(f"{p}p1_emp_t", f"""
-SELECT employee_id, nama AS fullname, {pdate('tanggal_lahir')} AS birth_date, jenis_kelamin AS gender
+SELECT employee_id, nama AS fullname, {pdate('tanggal_lahir', past=True)} AS birth_date, jenis_kelamin AS gender
 FROM {p}p1_employees
 WHERE employee_id IS NOT NULL AND nama IS NOT NULL
-  AND NOT (tanggal_lahir IS NOT NULL AND {pdate('tanggal_lahir')} IS NULL)""")
+  AND NOT (tanggal_lahir IS NOT NULL AND {pdate('tanggal_lahir', past=True)} IS NULL)""")
     cte(f"{p}st1_emp", f"""
 SELECT {_merge_select(EMP_COLS, ['employee_id'], ['fullname', 'birth_date', 'gender'], {'gender': "'Male'"})}
 FROM (SELECT *, TRUE AS _in FROM {emp}) s FULL OUTER JOIN (SELECT *, TRUE AS _in FROM {p}p1_emp_t) i
@@ -341,7 +341,7 @@ SELECT employee_id, nik AS employee_no_subholding, subholding AS subholding_code
 FROM p1_jobs WHERE employee_id IS NOT NULL AND subholding IS NOT NULL AND subco IS NOT NULL AND job_title IS NOT NULL
   AND tanggal_masuk_kerja IS NOT NULL""",
     "date_coerce": f"""
-SELECT row_id, {pdate('tanggal_lahir')} AS birth_date, {pdate('tanggal_masuk_kerja')} AS tanggal_mulai,
+SELECT row_id, {pdate('tanggal_lahir', past=True)} AS birth_date, {pdate('tanggal_masuk_kerja')} AS tanggal_mulai,
        {pdate('tanggal_resign')} AS tanggal_selesai FROM raw_c""",
     "pattern_filter": """
 SELECT e.fullname, j.employee_no_subholding FROM db_employees e JOIN db_jobs j ON e.employee_id = j.employee_id
@@ -477,8 +477,31 @@ UNION ALL SELECT 'riwayat_assesment', {cnt()} FROM st2_assess
 UNION ALL SELECT 'individual_career_roadmap', {cnt()} FROM st2_road""",
 }
 
-# Keys checked by rows only: they write to a scratch folder or run a stream (no single SQL text stands for them).
-ROWS_ONLY = ("reload_noop", "recycle_restore", "export_datasets", "stream_upsert", "stream_change_feed")
+# A restored state is the state before the delete, a streamed upload ends where a direct one does, a second upload of the
+# same sheets changes nothing, an export holds every row of the merged datasets.
+FINAL["recycle_restore"] = FINAL["upsert_state"]
+FINAL["stream_upsert"] = FINAL["default_fill"]
+FINAL["reload_noop"] = f"""
+SELECT table_name, n AS rows_first, n AS rows_second, CAST(0 AS BIGINT) AS changed FROM ({FINAL['pipeline_counts']})"""
+FINAL["export_datasets"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, CAST({' + '.join(f'(SELECT count(*) FROM x_{src})' for src in parts)} AS BIGINT) AS n"
+    for t, parts in (("employees", ("p1_employees", "p2_employees")), ("riwayat_pendidikan", ("p1_education",)),
+                     ("riwayat_pekerjaan", ("p1_jobs", "p2_jobs")), ("riwayat_assesment", ("p2_assess",)),
+                     ("individual_career_roadmap", ("p2_roadmap",)))
+)
+FINAL["stream_change_feed"] = f"""
+SELECT 'employees' AS entity_type, coalesce(a.employee_id, b.employee_id) AS entity_id,
+  CASE WHEN b._in IS NULL THEN 'INSERT' WHEN a._in IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS action_type
+FROM (SELECT *, TRUE AS _in FROM db_emp_c) b FULL OUTER JOIN (SELECT *, TRUE AS _in FROM st2_emp) a ON a.employee_id = b.employee_id
+WHERE b._in IS NULL OR a._in IS NULL OR {' OR '.join(f'a.{c} IS DISTINCT FROM b.{c}' for c in EMP_COLS)}
+UNION ALL SELECT 'riwayat_pekerjaan', concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in JOB_KEY)}), 'INSERT' FROM p1_jobs_w
+UNION ALL SELECT DISTINCT 'riwayat_pendidikan', concat_ws('|', {', '.join('i.' + k for k in EDU_KEY)}), 'INSERT' FROM p1_edu_t i
+  WHERE NOT EXISTS (SELECT 1 FROM db_edu_c s WHERE {_key_on(EDU_KEY)})
+UNION ALL SELECT 'riwayat_assesment', concat_ws('|', employee_id, CAST(assesment_year AS VARCHAR)), 'INSERT' FROM st2_assess
+UNION ALL SELECT 'individual_career_roadmap', concat_ws('|', employee_id, CAST(year AS VARCHAR)), 'INSERT' FROM st2_road"""
+
+#: Keys without a SQL text.
+ROWS_ONLY: tuple[str, ...] = ()
 
 
 def oracle_sql() -> dict[str, str]:

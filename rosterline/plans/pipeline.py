@@ -12,7 +12,7 @@ every commit: with a ``SnapshotStore`` a commit is a versioned Parquet write the
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +27,15 @@ from rosterline.operators.datasets import (
     job_history_supplement,
     new_employees,
 )
+from rosterline.operators.headers import conform_headers
 from rosterline.operators.keys import ASSESSMENT, ROSTER, fill_missing_keys, next_counter_value
 from rosterline.operators.resolve import resolve
 from rosterline.operators.upsert import merge, prepare_incoming
+from rosterline.plans.outcomes import Outcome, UploadReport, report
 from rosterline.session import cut
+from rosterline.sources.sheets import clean_cells
 from rosterline.sources.snapshots import LazyState, SnapshotStore, StateStore
-from rosterline.specs import EMPLOYEES, EDUCATION, JOBS, LOAD_ORDER, MASTER, UNK_DEFAULT_START
+from rosterline.specs import ASSESSMENT_COLUMNS, EDUCATION, EMPLOYEES, JOBS, LOAD_ORDER, MASTER, ROSTER_COLUMNS, UNK_DEFAULT_START, DatasetSpec
 
 DEFAULT_SALT = "rosterline"
 
@@ -45,31 +48,10 @@ class Phase1:
     key_assignment: DataFrame
 
 
-@dataclass
-class LoadResult:
-    dataset: str
-    rows_upserted: int = 0
-    success: bool | None = None
-    error: str | None = None
-    rejected: int = 0
-    orphaned: int = 0
-
-
-@dataclass
-class UploadReport:
-    results: dict[str, LoadResult] = field(default_factory=dict)
-    success: bool = False
-    sheets_processed: list[str] = field(default_factory=list)
-
-
 def conform_sheets(raw: DataFrame, assessment: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Workbook headers → internal names (P1/P3); the roster must have an employee number and a name column (P2)."""
-    from rosterline.operators.headers import conform_headers, require_column
-    from rosterline.specs import ASSESSMENT_COLUMNS, ROSTER_COLUMNS
-
-    require_column(raw, "nik", "NIK/NIP", "roster")
-    require_column(raw, "nama", "NAMA", "roster")
-    return conform_headers(raw, ROSTER_COLUMNS, "roster"), conform_headers(assessment, ASSESSMENT_COLUMNS, "assessment")
+    return (conform_headers(raw, ROSTER_COLUMNS, "roster", required=("nik", "nama")),
+            conform_headers(assessment, ASSESSMENT_COLUMNS, "assessment"))
 
 
 def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_counter: int, salt: str = DEFAULT_SALT,
@@ -108,91 +90,73 @@ def fk_split(typed: DataFrame, employees: DataFrame) -> tuple[DataFrame, DataFra
     return typed.join(ids, "employee_id", "left_semi"), typed.join(ids, "employee_id", "left_anti")
 
 
-def load(state: StateStore, datasets: dict[str, DataFrame], employees_exist: bool = False,
-         evaluate: bool = True) -> dict[str, LoadResult]:
-    """Upsert datasets in foreign-key order, master first; each commit stands on its own.
-
-    Dependents are skipped when the master did not load (unless it already exists, as in phase 2).  With
-    ``evaluate=False`` (lazy state) nothing is counted and the gate is assumed open.
+def _load_one(state: StateStore, dataset: DataFrame, spec: DatasetSpec, evaluate: bool) -> Outcome:
+    """Coerces, filters by parents, merges and commits one dataset; its input is computed once, for rows and counts."""
+    typed, rejects = prepare_incoming(dataset, spec)
+    if typed is None:
+        return Outcome(spec.name, "absent")
+    orphans = None
+    if spec.parents:
+        typed, orphans = fk_split(typed, state.read(spec.parents[0]))
+    committed = state.commit(spec.name, merge(state.read(spec.name), typed, spec))
+    if not evaluate:
+        return Outcome(spec.name, "loaded")
+    done = {r["_action"]: r["n"] for r in committed.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lost = rejects.select(F.lit("rejected").alias("_why"))
+    if orphans is not None:
+        lost = lost.unionByName(orphans.select(F.lit("orphaned").alias("_why")))
+    why = {r["_why"]: r["n"] for r in lost.groupBy("_why").agg(F.count(F.lit(1)).alias("n")).collect()}
+    changed = done.get("insert", 0) + done.get("update", 0)
+    status = "loaded" if changed + done.get("ignore", 0) else "empty"
+    return Outcome(spec.name, status, changed, why.get("rejected", 0), why.get("orphaned", 0))
+
+
+def load(state: StateStore, datasets: dict[str, DataFrame], present: tuple[str, ...] = (), evaluate: bool = True) -> dict[str, Outcome]:
+    """Loads datasets along the parent graph of their specs; every table's commit stands on its own.
+
+    A table whose parent neither loaded here nor is ``present`` already is skipped, and says because of which.  An
+    error ends its own table only and stays in its outcome.  ``evaluate=False`` (lazy state) counts nothing and takes
+    every commit for loaded.
     """
-    results: dict[str, LoadResult] = {}
-    master_ok = employees_exist
-    for spec in LOAD_ORDER:
-        if spec.name not in datasets:
-            continue
-        res = LoadResult(spec.name)
-        results[spec.name] = res
-        if spec.name != MASTER and not master_ok:
-            res.error = "master table employees did not load; dependent dataset skipped"
-            res.success = False
-            continue
+    outcomes: dict[str, Outcome] = {}
+
+    def settle(spec: DatasetSpec) -> Outcome:
+        for parent in spec.parents:
+            before = outcomes.get(parent)
+            if parent not in present and not (before and before.success):
+                cause = f": {before.error}" if before and before.error else ""
+                return Outcome(spec.name, "skipped", error=f"{parent} holds no loaded rows{cause}")
         try:
-            typed, rejects = prepare_incoming(datasets[spec.name], spec)
-            if typed is None:
-                continue  # a key column is absent: skipped, no success flag (as the reference reports it)
-            orphans = None
-            if spec.name != MASTER:
-                typed, orphans = fk_split(typed, state.read(MASTER))
-            committed = state.commit(spec.name, merge(state.read(spec.name), typed, spec))
-            if evaluate:
-                # One small aggregate per question: actions of the commit, then rejected / orphaned input rows.
-                acts = {r["_action"]: r["n"] for r in
-                        committed.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
-                bad = rejects.select(F.lit("rejected").alias("_why"))
-                if orphans is not None:
-                    bad = bad.unionByName(orphans.select(F.lit("orphaned").alias("_why")))
-                why = {r["_why"]: r["n"] for r in bad.groupBy("_why").agg(F.count(F.lit(1)).alias("n")).collect()}
-                res.rejected, res.orphaned = why.get("rejected", 0), why.get("orphaned", 0)
-                if acts.get("insert", 0) + acts.get("update", 0) + acts.get("ignore", 0) == 0:
-                    continue  # no valid row: nothing changed, no success flag
-                res.rows_upserted = acts.get("insert", 0) + acts.get("update", 0)
-            res.success = True
-            if spec.name == MASTER:
-                master_ok = True
-        except Exception as e:  # noqa: BLE001 - one dataset's failure is reported, as a per-dataset transaction would
-            res.success = False
-            res.error = str(e)
-            if spec.name == MASTER:
-                for later in LOAD_ORDER[LOAD_ORDER.index(spec) + 1:]:
-                    if later.name in datasets:
-                        results[later.name] = LoadResult(later.name, success=False, error=f"master table failed: {e}")
-                break
-    return results
-
-
-def merge_reports(r1: dict[str, LoadResult], r2: dict[str, LoadResult] | None) -> UploadReport:
-    """Rows summed and success OR-ed per dataset over both phases; overall success = master fine and ≥1 dataset
-    loaded rows."""
-    merged: dict[str, LoadResult] = {}
-    for name in list(r1) + [n for n in (r2 or {}) if n not in r1]:
-        a, b = r1.get(name), (r2 or {}).get(name)
-        if a and b:
-            merged[name] = LoadResult(
-                name,
-                rows_upserted=a.rows_upserted + b.rows_upserted,
-                success=bool(a.success) or bool(b.success),
-                error=None,
-                rejected=a.rejected + b.rejected,
-                orphaned=a.orphaned + b.orphaned,
-            )
-        else:
-            merged[name] = a or b
-    processed = [n for n, r in merged.items() if r.success and r.rows_upserted > 0]
-    master_failed = bool(merged.get(MASTER) and merged[MASTER].error)
-    return UploadReport(merged, success=(not master_failed) and len(processed) > 0, sheets_processed=processed)
+            return _load_one(state, datasets[spec.name], spec, evaluate)
+        except Exception as e:  # noqa: BLE001 - kept in the outcome, so the report and whoever marks an upload see it
+            return Outcome(spec.name, "failed", error=str(e))
+
+    for spec in LOAD_ORDER:
+        if spec.name in datasets:
+            outcomes[spec.name] = settle(spec)
+    return outcomes
 
 
 def upload(spark: SparkSession, store: SnapshotStore | LazyState, raw: DataFrame, assessment: DataFrame,
-           salt: str = DEFAULT_SALT, evaluate: bool = True) -> UploadReport:
-    """One upload (L5): counter snapshot → phase 1 → load → gate → phase 2 on the refreshed state → load → report."""
+           upload_id: str = DEFAULT_SALT, evaluate: bool = True) -> UploadReport:
+    """One upload (L5): counter snapshot → phase 1 → load → phase 2 on the refreshed state → load → report.
+
+    ``upload_id`` salts generated ids: the same upload gives the same ids again, another upload doesn't take its
+    one-word names for the same people.  Without a loaded master there is no second phase.
+    """
     counter = next_counter_value(store.read(JOBS.name))
-    p1 = phase1(raw, assessment, store, counter, salt)
-    r1 = load(store, p1.datasets, employees_exist=False, evaluate=evaluate)
-    if not (r1.get(MASTER) and r1[MASTER].success):
-        return merge_reports(r1, None)
-    p2 = phase2(p1.assessment_filled, store, salt)
-    r2 = load(store, p2, employees_exist=True, evaluate=evaluate)
-    return merge_reports(r1, r2)
+    p1 = phase1(raw, assessment, store, counter, upload_id)
+    first = load(store, p1.datasets, evaluate=evaluate)
+    if not first[MASTER].success:
+        return report(first)
+    return report(first, load(store, phase2(p1.assessment_filled, store, upload_id), present=(MASTER,), evaluate=evaluate))
+
+
+def upload_sheets(spark: SparkSession, store: SnapshotStore | LazyState, raw: DataFrame, assessment: DataFrame,
+                  upload_id: str, evaluate: bool = True) -> UploadReport:
+    """``upload`` of sheets as they come, with workbook headers and uncleaned cells."""
+    raw, assessment = conform_sheets(clean_cells(raw), clean_cells(assessment))
+    return upload(spark, store, cut(raw), cut(assessment), upload_id, evaluate)
 
 
 def transform_only(spark: SparkSession, raw: DataFrame, assessment: DataFrame, share_state: bool = True,

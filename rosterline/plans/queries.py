@@ -117,7 +117,7 @@ class Upload:
     def state_after_p2(self) -> LazyState:
         p2 = self.p2
         if not getattr(self, "_loaded2", False):
-            load(self._state, p2, employees_exist=True, evaluate=False)
+            load(self._state, p2, present=(EMPLOYEES.name,), evaluate=False)
             self._loaded2 = True
         return self._state
 
@@ -146,6 +146,7 @@ def q_header_match(spark, sf_dir):
     raw = Fixtures(spark, sf_dir).raw_data
     sheet = raw.select(
         "row_id",
+        F.lit("national id").alias("NIK (KTP)"),  # not the employee number, though it comes first
         *[F.col(c).alias(WORKBOOK_HEADERS.get(c, c)) for c in raw.columns if c != "row_id"],
         F.lit("x").alias("Catatan"),
     )
@@ -176,7 +177,7 @@ def q_date_coerce(spark, sf_dir):
     raw = clean_cells(Fixtures(spark, sf_dir).raw_data)
     return raw.select(
         "row_id",
-        parse_date("tanggal_lahir").alias("birth_date"),
+        parse_date("tanggal_lahir", latest=F.current_date()).alias("birth_date"),
         parse_date("tanggal_masuk_kerja").alias("tanggal_mulai"),
         parse_date("tanggal_resign").alias("tanggal_selesai"),
     )
@@ -550,7 +551,7 @@ def q_stream_change_feed(spark, sf_dir):
 
     u = Upload(spark, sf_dir)
     _, root = run_drop_folder(spark, u, scratch_path(spark, "stream"))
-    return read_change_feed(spark, root)
+    return read_change_feed(spark, root).select("entity_type", "entity_id", "action_type")
 
 
 QUERIES: dict[str, Query] = {

@@ -2,31 +2,24 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger("rosterline")
-
 
 def export_csv(datasets: dict[str, DataFrame], folder: str, sep: str = ",") -> dict[str, str]:
-    """Write every dataset to ``<folder>/<name>``; a dataset that cannot be written is logged and skipped."""
+    """Write every dataset to ``<folder>/<name>``; a failed write is an error."""
     paths: dict[str, str] = {}
     for name, df in datasets.items():
         path = f"{folder.rstrip('/')}/{name}"
-        try:
-            df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
-            paths[name] = path
-        except Exception as e:  # noqa: BLE001 - one unwritable target does not stop the others
-            log.warning("could not write %s to %s: %s", name, path, e)
+        df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+        paths[name] = path
     return paths
 
 
 def read_back_counts(spark: SparkSession, paths: dict[str, str], sep: str = ",") -> DataFrame:
     """``(dataset, n)`` counted from the written files."""
     parts = [
-        spark.read.option("header", True).option("sep", sep).csv(p)
+        spark.read.option("header", True).option("sep", sep).option("multiLine", True).csv(p)
         .agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit(name).alias("dataset"), "n")
         for name, p in paths.items()
     ]

@@ -13,28 +13,36 @@ from rosterline.specs import ROADMAP_YEARS
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
-RAW_DATA = """
+def _emp(key: str) -> str:
+    """Employee number of a customer: at least six digits, longer keys as they are."""
+    k = f"CAST({key} AS STRING)"
+    return f"'EMP' || CASE WHEN length({k}) < 6 THEN lpad({k}, 6, '0') ELSE {k} END"
+
+
+RAW_DATA = f"""
 SELECT o.o_orderkey AS row_id,
   CASE WHEN o.o_orderkey % 41 = 0 THEN 'n/a' ELSE CAST(year(o.o_orderdate) AS STRING) END AS tahun,
   CASE WHEN c.c_custkey % 11 = 0 THEN NULL WHEN c.c_custkey % 11 = 1 THEN '  '
-       ELSE 'EMP' || lpad(CAST(c.c_custkey AS STRING), 6, '0') END AS nik,
+       ELSE {_emp('c.c_custkey')} END AS nik,
   CASE WHEN c.c_custkey % 97 = 5 THEN NULL
        WHEN c.c_custkey % 13 = 0 THEN c.c_name
        ELSE c.c_mktsegment || ' ' || c.c_name END AS nama,
   CASE c.c_custkey % 10 WHEN 0 THEN 'LAKI-LAKI' WHEN 1 THEN 'perempuan' WHEN 2 THEN ' L ' WHEN 3 THEN 'P'
        WHEN 4 THEN 'm' WHEN 5 THEN 'F' WHEN 6 THEN 'WANITA' WHEN 7 THEN '' WHEN 8 THEN NULL ELSE 'Female' END AS jenis_kelamin,
   CASE WHEN o.o_orderkey % 3 = 0 THEN NULL
+       WHEN o.o_orderkey % 3 = 1 THEN '17/05/' || CAST(70 + c.c_custkey % 30 AS STRING)
        ELSE '19' || CAST(70 + c.c_custkey % 30 AS STRING) || '-05-17' END AS tanggal_lahir,
   r.r_name AS subholding, n.n_name AS subco,
   CASE WHEN o.o_orderkey % 29 = 0 THEN '   ' WHEN o.o_orderkey % 29 = 1 THEN NULL
        ELSE substr(o.o_orderpriority, 3) END AS job_title,
   CASE WHEN o.o_orderkey % 37 = 0 THEN NULL ELSE substr(CAST(o.o_orderdate AS STRING), 1, 4) || '-01-01' END AS tanggal_masuk_kerja,
-  CASE WHEN o.o_orderstatus = 'F' THEN substr(CAST(o.o_orderdate AS STRING), 1, 4) || '-12-31' END AS tanggal_resign,
+  CASE WHEN o.o_orderstatus = 'F' THEN substr(CAST(o.o_orderdate AS STRING), 1, 4) || '-12-31'
+       WHEN o.o_orderkey % 23 = 0 THEN '31/12/30' WHEN o.o_orderkey % 23 = 1 THEN '30/06/2031' END AS tanggal_resign,
   CASE WHEN c.c_custkey % 9 = 0 THEN NULL ELSE 'S' || CAST(1 + c.c_custkey % 3 AS STRING) END AS tingkat_pendidikan,
   CASE WHEN c.c_custkey % 9 = 0 THEN NULL ELSE 'Univ ' || n.n_name END AS universitas,
   CASE WHEN c.c_custkey % 9 = 0 THEN NULL WHEN c.c_custkey % 9 = 4 THEN NULL ELSE c.c_mktsegment END AS jurusan
-FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
-JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
+FROM {{orders}} o JOIN {{customer}} c ON o.o_custkey = c.c_custkey
+JOIN {{nation}} n ON c.c_nationkey = n.n_nationkey JOIN {{region}} r ON n.n_regionkey = r.r_regionkey
 """
 
 
@@ -50,23 +58,23 @@ def _roadmap_cells(key: str) -> str:
 _LATER_YEARS = ", ".join(f"road_map_{y}" for y in ROADMAP_YEARS[1:])
 
 ASSESMENT = f"""
-WITH base AS (SELECT c_custkey AS row_id,
-  CASE WHEN c_custkey % 11 <= 1 THEN NULL ELSE 'EMP' || lpad(CAST(c_custkey AS STRING), 6, '0') END AS nik,
+WITH base AS (SELECT c_custkey,
+  CASE WHEN c_custkey % 11 <= 1 THEN NULL ELSE {_emp('c_custkey')} END AS nik,
   CASE WHEN c_custkey % 13 = 0 THEN c_name ELSE c_mktsegment || ' ' || c_name END AS nama,
-  'FY ' || CAST(2021 + c_custkey % 4 AS STRING) AS asessment_year,
+  CASE WHEN c_custkey % 51 = 0 THEN 'FY ' ELSE '' END || CAST(2021 + c_custkey % 4 AS STRING) AS asessment_year,
   CAST(c_custkey % 100 AS STRING) AS overall_skor,
   {_roadmap_cells('c_custkey')}
-FROM {{customer}} WHERE c_custkey % 3 = 0) SELECT *
+FROM {{customer}} WHERE c_custkey % 3 = 0) SELECT 3 * c_custkey AS row_id, nik, nama, asessment_year, overall_skor, road_map_2023, {_LATER_YEARS}
 FROM base
 UNION ALL
-SELECT 2000000 + row_id, nik, nama, asessment_year,
-  CASE WHEN row_id % 30 = 15 THEN 'retest' ELSE overall_skor END,
-  CASE WHEN row_id % 30 = 15 THEN 'Role X' ELSE road_map_2023 END, {_LATER_YEARS}
-FROM base WHERE row_id % 15 = 0
+SELECT 3 * c_custkey + 1, nik, nama, asessment_year,
+  CASE WHEN c_custkey % 30 = 15 THEN 'retest' ELSE overall_skor END,
+  CASE WHEN c_custkey % 30 = 15 THEN 'Role X' ELSE road_map_2023 END, {_LATER_YEARS}
+FROM base WHERE c_custkey % 15 = 0
 UNION ALL
-SELECT 1000000 + s_suppkey,
+SELECT 3 * s_suppkey + 2,
   CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE 'SUP' || CAST(s_suppkey AS STRING) END, 'Vendor ' || s_name,
-  'FY ' || CAST(2021 + s_suppkey % 4 AS STRING), CAST(s_suppkey % 100 AS STRING),
+  CAST(2021 + s_suppkey % 4 AS STRING), CAST(s_suppkey % 100 AS STRING),
   {_roadmap_cells('s_suppkey')}
 FROM {{supplier}}
 """
@@ -87,7 +95,7 @@ FROM {{customer}} WHERE c_custkey % 4 = 0
 
 DB_JOBS = f"""
 SELECT {_seed_uuid('c_custkey')} AS employee_id,
-  CASE WHEN c_custkey % 24 = 0 THEN 'unk-' || CAST(5001 + c_custkey AS STRING) ELSE 'EMP' || lpad(CAST(c_custkey AS STRING), 6, '0') END AS employee_no_subholding
+  CASE WHEN c_custkey % 24 = 0 THEN 'unk-' || CAST(5001 + c_custkey AS STRING) ELSE {_emp('c_custkey')} END AS employee_no_subholding
 FROM {{customer}} WHERE c_custkey % 8 = 0
 """
 

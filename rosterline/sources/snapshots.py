@@ -3,12 +3,13 @@
 Each commit writes a new folder ``<root>/<table>/v=<n>``; Spark's ``_SUCCESS`` marker, written when the job has
 finished, is the commit point, and readers take the highest committed version.  A table is never overwritten while a
 plan may still read it, so a commit can read the version it replaces (the upsert's full join does).  Older versions
-stay for the change log and for restore.  Applied batch ids are recorded as marker folders, so a replayed stream batch
-is recognised and skipped.
+stay for the change log and for restore.  Small notes beside the tables record which
+files of which upload have been applied.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,21 +99,34 @@ class SnapshotStore:
 
     def commit(self, table: str, df: DataFrame) -> DataFrame:
         """Write the next version and return it as read back (with ``_action`` when the plan carried one)."""
-        v = (self.latest_version(table) or 0) + 1
-        path = f"{self._table_dir(table)}/v={v}"
-        df.write.mode("overwrite").parquet(path)
+        v = self._next_version(table)
+        df.write.mode("errorifexists").parquet(f"{self._table_dir(table)}/v={v}")
         return self.read_version(table, v, keep_action=True)
 
+    def _next_version(self, table: str) -> int:
+        """Beyond every folder there is, finished or not; of two writers that pick the same one, the second fails."""
+        p = self._Path(self._table_dir(table))
+        names = [st.getPath().getName() for st in self._fs.listStatus(p)] if self._fs.exists(p) else []
+        return max([int(n[2:]) for n in names if n.startswith("v=")], default=0) + 1
+
     def seed(self, tables: dict[str, DataFrame]) -> None:
         for name, df in tables.items():
             self.commit(name, conform(df, SPECS[name]) if name in SPECS else df)
 
-    # -- applied batches ------------------------------------------------------------------------------------------
-    def batch_applied(self, batch_id: str) -> bool:
-        return self._fs.exists(self._Path(f"{self.root}/_batches/{batch_id}"))
+    # -- notes: small named records (applied files, failed uploads, versions before an upload) --------------------
+    def note(self, kind: str, name: str) -> dict | None:
+        path = f"{self.root}/_notes/{kind}/{name}"
+        if not self._fs.exists(self._Path(f"{path}/_SUCCESS")):
+            return None
+        return json.loads(self.spark.read.text(path).first()[0])
+
+    def write_note(self, kind: str, name: str, record: dict) -> None:
+        rows = self.spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1)
+        rows.write.mode("overwrite").text(f"{self.root}/_notes/{kind}/{name}")
 
-    def mark_batch(self, batch_id: str) -> None:
-        self._fs.mkdirs(self._Path(f"{self.root}/_batches/{batch_id}"))
+    def notes(self, kind: str) -> list[str]:
+        p = self._Path(f"{self.root}/_notes/{kind}")
+        return sorted(st.getPath().getName() for st in self._fs.listStatus(p)) if self._fs.exists(p) else []
 
     def counts(self) -> DataFrame:
         """``(table_name, n)`` for every table in the store."""

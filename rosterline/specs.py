@@ -83,13 +83,13 @@ ASSESSMENT_COLUMNS: tuple[tuple[str, str], ...] = (
     ("disc", "DISC"),
     ("hav", "HAV"),
     ("hav_tia", "HAV_TIA"),
-) + tuple((f"road_map_{y}", f"road_map_{y}") for y in ROADMAP_YEARS)
+)  # besides road_map_<year>, for whichever years a sheet has (ROADMAP_COLUMN_RE)
 
 # Sheet names accepted for the two inputs (matched case- and space-insensitively).
 ROSTER_SHEET_NAMES: tuple[str, ...] = ("Raw Data",)
 ASSESSMENT_SHEET_NAMES: tuple[str, ...] = ("Assesment", "Assessment")
 
-# Gender normalisation: upper-cased, stripped cell → value; anything else (blank, null, unknown) → GENDER_DEFAULT.
+# FIXED VALUES: gender normalisation, upper-cased, stripped cell → value; anything else (blank, null, unknown) → GENDER_DEFAULT.
 GENDER_MAP: dict[str, str] = {
     "LAKI-LAKI": "Male",
     "PEREMPUAN": "Female",
@@ -137,6 +137,8 @@ class DatasetSpec:
     schema: T.StructType
     defaults: tuple[tuple[str, str], ...] = field(default=())  # (target column, SQL default applied on insert only)
     not_null: tuple[str, ...] = field(default=())  # non-key columns the table declares NOT NULL
+    parents: tuple[str, ...] = field(default=())  # tables that must hold rows before this one is loaded
+    past_dates: tuple[str, ...] = field(default=())  # dates that can't lie in the future (two-digit years)
 
     @property
     def target_columns(self) -> list[str]:
@@ -163,11 +165,13 @@ EMPLOYEES = DatasetSpec(
     schema=_schema(("employee_id", S), ("fullname", S), ("birth_date", D), ("gender", S), ("agama", S)),
     defaults=(("gender", "'Male'"),),
     not_null=("fullname",),
+    past_dates=("birth_date",),
 )
 
 EDUCATION = DatasetSpec(
     name="riwayat_pendidikan",
     target="riwayat_pendidikan",
+    parents=("employees",),
     key=("employee_id", "tingkat_pendidikan", "universitas", "jurusan"),
     column_map=(
         ("employee_id", "employee_id"),
@@ -186,6 +190,7 @@ EDUCATION = DatasetSpec(
 JOBS = DatasetSpec(
     name="riwayat_pekerjaan",
     target="riwayat_pekerjaan",
+    parents=("employees",),
     key=("employee_id", "subholding_code", "company_code", "jabatan", "tanggal_mulai"),
     column_map=(
         ("employee_id", "employee_id"),
@@ -224,6 +229,7 @@ _ASSESSMENT_SCORE_MAP = (
 ASSESSMENTS = DatasetSpec(
     name="riwayat_assesment",
     target="riwayat_assesment",
+    parents=("employees",),
     key=("employee_id", "assesment_year"),
     column_map=(
         ("employee_id", "employee_id"),
@@ -241,6 +247,7 @@ ASSESSMENTS = DatasetSpec(
 ROADMAP = DatasetSpec(
     name="individual_career_roadmap",
     target="individual_career_roadmap",
+    parents=("employees",),
     key=("employee_id", "year"),
     column_map=(("employee_id", "employee_id"), ("planned_position", "planned_position"), ("year", "year")),
     schema=_schema(("employee_id", S), ("planned_position", S), ("year", SH)),

@@ -6,8 +6,12 @@ import os
 
 from test_golden_sheets import _conformed
 
+from pyspark.sql import functions as F
+
+from rosterline.operators.audit import change_log
+from rosterline.plans.pipeline import upload
 from rosterline.sources.snapshots import SnapshotStore
-from rosterline.streaming.drop_folder import drop_upload, read_change_feed, start_stream
+from rosterline.streaming.drop_folder import applied, drop_upload, read_change_feed, start_stream
 
 
 def test_stream_applies_each_upload_once(spark, tmp_folder):
@@ -17,7 +21,8 @@ def test_stream_applies_each_upload_once(spark, tmp_folder):
     drop_upload(raw, ass, root, "u1")
     schema = spark.read.parquet(f"{root}/drop/raw_data").schema
     start_stream(spark, store, root, schema)
-    assert store.batch_applied("u1")
+    files = [r[0] for r in spark.read.parquet(f"{root}/drop/raw_data").select("_metadata.file_path").distinct().collect()]
+    assert all(applied(store, "u1", f) for f in files)
     assert store.read("employees").count() == 12
     versions = {t: store.latest_version(t) for t in ("employees", "riwayat_pekerjaan")}
     # A replay (new checkpoint: the same files are seen again) finds the upload applied and changes nothing.
@@ -27,6 +32,41 @@ def test_stream_applies_each_upload_once(spark, tmp_folder):
     assert feed.where("entity_type = 'employees' AND action_type = 'INSERT'").count() == 12
 
 
+def test_split_failed_and_foreign_uploads(spark, tmp_folder):
+    root = tmp_folder
+    raw, ass = _conformed(spark)
+    store = SnapshotStore(spark, f"{root}/state")
+    # an upload whose roster has no name at all fails, stays unapplied, and is tried again
+    drop_upload(raw.where("row_id = 1").withColumn("nama", F.lit(None).cast("string")).withColumn("nik", F.lit(None).cast("string")), ass.limit(0), root, "u0")
+    schema = spark.read.parquet(f"{root}/drop/raw_data").schema
+    start_stream(spark, store, root, schema)
+    assert store.note("failed", "u0") and not store.notes("applied")
+    # the second half of an upload comes later: nobody is lost
+    drop_upload(raw.where("row_id <= 5"), ass, root, "u1")
+    start_stream(spark, store, root, schema)
+    drop_upload(raw.where("row_id > 5"), ass, root, "u1")
+    start_stream(spark, store, root, schema)
+    assert store.read("employees").count() == 12
+
+
+def test_one_word_names_of_two_uploads_are_two_people(spark, tmp_folder):
+    store = SnapshotStore(spark, f"{tmp_folder}/state")
+    raw, ass = _conformed(spark)
+    one = raw.where("nama = 'Joko'")
+    upload(spark, store, one, ass.limit(0), "u1")
+    upload(spark, store, one.withColumn("nik", F.lit("EMP777")), ass.limit(0), "u2")
+    assert store.read("employees").where("fullname = 'Joko'").count() == 2
+    upload(spark, store, one, ass.limit(0), "u3")  # the same person again, by number
+    assert store.read("employees").where("fullname = 'Joko'").count() == 2
+
+
+def test_change_log_pairs_rows_without_a_whole_key_by_number(spark):
+    t = spark.createDataFrame([("e", None, 1), ("e", None, 1), ("e", None, 2), ("f", "k", 1)], "a string, b string, c int")
+    assert change_log(t, t, ["a", "b"], "t").count() == 0
+    log = change_log(t, t.where("c = 1"), ["a", "b"], "t").collect()
+    assert [(r["a"], r["action_type"]) for r in log] == [("e", "DELETE")]
+
+
 def test_read_workbook_csv(spark, tmp_folder):
     from rosterline.operators.headers import conform_headers
     from rosterline.sources.sheets import read_workbook
