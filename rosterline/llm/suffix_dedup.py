@@ -335,7 +335,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     local = single.join(_checked(found), ["k", "seq"]).select("k", "seq", "text", "found")
     local = stage(local.mapInArrow(_settle_locally(length), f"{_MARK}, place bigint, h bigint, slice binary"), "local")
     left = local.where("slice is not null")
-    blocks = max(1, (left.agg(F.sum(F.octet_length("slice"))).first()[0] or 0) // GLOBAL)
+    # blocks of at most about GLOBAL bytes, and enough of them for all tasks
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(4 * tasks, (left.agg(F.sum(F.octet_length("slice"))).first()[0] or 0) // GLOBAL)
     dealt = left.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(blocks)))
     marks = dealt.groupBy("bucket").applyInPandas(_settle_bucket(length), _MARK)
     marks = stage(local.where("slice is null").select("k", "seq", "start", "n").union(marks).union(copies), "marks")
