@@ -18,7 +18,7 @@ STRIP = "(" + " || ".join(f"chr({ord(c)})" for c in STRIP_CHARS) + ")"
 RAW_TEXT_COLS = ["tahun", "nik", "nama", "jenis_kelamin", "tanggal_lahir", "subholding", "subco", "job_title",
                  "tanggal_masuk_kerja", "tanggal_resign", "tingkat_pendidikan", "universitas", "jurusan"]
 ROADMAP_COLS = [f"road_map_{y}" for y in ROADMAP_YEARS]
-ASS_TEXT_COLS = ["nik", "nama", "asessment_year", "overall_skor"] + ROADMAP_COLS
+ASS_TEXT_COLS = ["nik", "nama", "sub_holding", "sub_company", "job_title", "asessment_year", "overall_skor"] + ROADMAP_COLS
 JOB_COLS = ["employee_id", "employee_no_subholding", "subholding_code", "company_code", "divisi", "department",
             "level_jabatan", "jabatan", "functions", "golongan", "kelompok_jabatan", "tanggal_mulai", "tanggal_selesai",
             "status"]
@@ -241,12 +241,13 @@ FROM (SELECT *, TRUE AS _in FROM {edu}) s FULL OUTER JOIN (SELECT *, TRUE AS _in
     # Phase 2 against the refreshed state.
     cte(f"{p}ass_r", _resolution(p, f"{p}ass_f", f"{p}st1_emp", f"{p}st1_jobs", f"{SALT}:p2", 1))
     cte(f"{p}p2_employees", f"""
-SELECT employee_id, {first_by('nik', 'row_id')}, {first_by('nama', 'row_id')} FROM {p}ass_r
+SELECT employee_id, {', '.join(first_by(c, 'row_id') for c in ['nik', 'nama', 'subholding', 'subco'])}
+FROM (SELECT *, sub_holding AS subholding, sub_company AS subco FROM {p}ass_r)
 WHERE employee_id NOT IN (SELECT employee_id FROM {p}st1_emp) GROUP BY employee_id""")
     cte(f"{p}p2_jobs", f"""
-SELECT employee_id, nik, tanggal_masuk_kerja, 'active' AS status, row_id AS _ord FROM (
-  SELECT *, row_number() OVER (PARTITION BY employee_id, tanggal_masuk_kerja ORDER BY row_id) AS rn FROM (
-    SELECT employee_id, nama, nik,
+SELECT employee_id, nik, subholding, subco, job_title, tanggal_masuk_kerja, 'active' AS status, row_id AS _ord FROM (
+  SELECT *, row_number() OVER (PARTITION BY employee_id, subholding, subco, job_title, tanggal_masuk_kerja ORDER BY row_id) AS rn FROM (
+    SELECT employee_id, nama, nik, sub_holding AS subholding, sub_company AS subco, {job_title('job_title')} AS job_title,
            CASE WHEN regexp_extract(asessment_year, '(\\d{{4}})', 1) = '' THEN NULL
                 ELSE regexp_extract(asessment_year, '(\\d{{4}})', 1) || '-01-01' END AS tanggal_masuk_kerja,
            row_id FROM {p}ass_r WHERE employee_id NOT IN (SELECT employee_id FROM {p}st1_jobs)))
@@ -268,6 +269,19 @@ GROUP BY employee_id, planned_position, year""")
 SELECT {_merge_select(EMP_COLS, ['employee_id'], ['fullname'], {'gender': "'Male'"})}
 FROM (SELECT *, TRUE AS _in FROM {p}st1_emp) s FULL OUTER JOIN (SELECT *, TRUE AS _in FROM {p}p2_emp_t) i
   ON s.employee_id = i.employee_id""")
+    cte(f"{p}p2_jobs_tv", f"""
+SELECT employee_id, nik AS employee_no_subholding, subholding AS subholding_code, subco AS company_code,
+       job_title AS jabatan, {pdate('tanggal_masuk_kerja')} AS tanggal_mulai, status, _ord
+FROM {p}p2_jobs
+WHERE employee_id IS NOT NULL AND subholding IS NOT NULL AND subco IS NOT NULL AND job_title IS NOT NULL
+  AND {pdate('tanggal_masuk_kerja')} IS NOT NULL""")
+    cte(f"{p}p2_jobs_t", f"SELECT * FROM {p}p2_jobs_tv WHERE employee_id IN (SELECT employee_id FROM {p}st2_emp)")
+    cte(f"{p}p2_jobs_w", f"""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(JOB_KEY)} ORDER BY _ord DESC) AS rn
+FROM {p}p2_jobs_t) WHERE rn = 1""")
+    cte(f"{p}st2_jobs", f"""
+SELECT {_merge_select(JOB_COLS, JOB_KEY, ['employee_no_subholding', 'status'], {})}
+FROM (SELECT *, TRUE AS _in FROM {p}st1_jobs) s FULL OUTER JOIN (SELECT *, TRUE AS _in FROM {p}p2_jobs_w) i ON {_key_on(JOB_KEY)}""")
     cte(f"{p}st2_assess", f"""
 SELECT employee_id, assesment_year, overal_score FROM (
   SELECT *, row_number() OVER (PARTITION BY employee_id, assesment_year ORDER BY _ord DESC) AS rn FROM (
@@ -372,14 +386,14 @@ FROM db_employees e LEFT JOIN db_jobs j ON e.employee_id = j.employee_id""",
     "match_stats": f"""
 SELECT 0 AS sheet, match_kind, {cnt()} AS n FROM raw_r GROUP BY match_kind
 UNION ALL SELECT 1 AS sheet, match_kind, {cnt()} AS n FROM ass_r GROUP BY match_kind""",
-    "new_employees": "SELECT employee_id, nik, nama FROM p2_employees",
-    "job_history_supplement": "SELECT employee_id, nik, tanggal_masuk_kerja, status FROM p2_jobs",
+    "new_employees": "SELECT employee_id, nik, nama, subholding, subco FROM p2_employees",
+    "job_history_supplement": "SELECT employee_id, nik, subholding, subco, job_title, tanggal_masuk_kerja, status FROM p2_jobs",
     "assessment_history": "SELECT employee_id, asessment_year, overall_skor FROM p2_assess",
     "career_roadmap": "SELECT employee_id, planned_position, year FROM p2_roadmap",
     "merge_phases": """
 SELECT employee_id, nik, nama, tanggal_lahir, jenis_kelamin, subholding, subco, job_title FROM x_p1_employees
 UNION ALL
-SELECT employee_id, nik, nama, NULL, NULL, NULL, NULL, NULL FROM x_p2_employees""",
+SELECT employee_id, nik, nama, NULL, NULL, subholding, subco, NULL FROM x_p2_employees""",
     "upsert_state": "SELECT * FROM st1_emp",
     "insert_ignore": "SELECT * FROM st1_edu",
     "append_rows": "SELECT * FROM db_jobs_c UNION ALL SELECT " + ", ".join(
@@ -420,7 +434,7 @@ FROM {src}""".replace("doomed", "(SELECT employee_id FROM st1_emp WHERE fullname
         [f"SELECT 'employees' AS tabel, {cnt()} AS n FROM st2_emp WHERE fullname ILIKE 'vendor %'"]
         + [f"SELECT '{t}' AS tabel, {cnt()} AS n FROM {src} "
            f"WHERE employee_id IN (SELECT employee_id FROM st2_emp WHERE fullname ILIKE 'vendor %')"
-           for t, src in (("riwayat_pekerjaan", "st1_jobs"), ("riwayat_pendidikan", "st1_edu"),
+           for t, src in (("riwayat_pekerjaan", "st2_jobs"), ("riwayat_pendidikan", "st1_edu"),
                           ("riwayat_assesment", "st2_assess"), ("individual_career_roadmap", "st2_road"))]
     ),
     "check_unique": f"""
@@ -462,7 +476,7 @@ WHERE b._in IS NULL OR a._in IS NULL OR {' OR '.join(f'a.{c} IS DISTINCT FROM b.
     "load_report": f"""
 SELECT 'employees' AS dataset,
   CAST((SELECT count(*) FROM p1_emp_t) + (SELECT count(*) FROM p2_emp_t) AS BIGINT) AS rows_upserted, TRUE AS success
-UNION ALL SELECT 'riwayat_pekerjaan', CAST((SELECT count(*) FROM p1_jobs_w) AS BIGINT), TRUE
+UNION ALL SELECT 'riwayat_pekerjaan', CAST((SELECT count(*) FROM p1_jobs_w) + (SELECT count(*) FROM p2_jobs_w) AS BIGINT), TRUE
 UNION ALL SELECT 'riwayat_pendidikan',
   CAST((SELECT count(*) FROM (SELECT DISTINCT {', '.join('i.' + k for k in EDU_KEY)} FROM p1_edu_t i
         WHERE NOT EXISTS (SELECT 1 FROM db_edu_c s WHERE {_key_on(EDU_KEY)}))) AS BIGINT), TRUE
@@ -472,7 +486,7 @@ UNION ALL SELECT 'individual_career_roadmap', CAST((SELECT count(*) FROM st2_roa
     "pipeline_counts": f"""
 SELECT 'employees' AS table_name, {cnt()} AS n FROM st2_emp
 UNION ALL SELECT 'riwayat_pendidikan', {cnt()} FROM st1_edu
-UNION ALL SELECT 'riwayat_pekerjaan', {cnt()} FROM st1_jobs
+UNION ALL SELECT 'riwayat_pekerjaan', {cnt()} FROM st2_jobs
 UNION ALL SELECT 'riwayat_assesment', {cnt()} FROM st2_assess
 UNION ALL SELECT 'individual_career_roadmap', {cnt()} FROM st2_road""",
 }
@@ -494,12 +508,47 @@ SELECT 'employees' AS entity_type, coalesce(a.employee_id, b.employee_id) AS ent
   CASE WHEN b._in IS NULL THEN 'INSERT' WHEN a._in IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS action_type
 FROM (SELECT *, TRUE AS _in FROM db_emp_c) b FULL OUTER JOIN (SELECT *, TRUE AS _in FROM st2_emp) a ON a.employee_id = b.employee_id
 WHERE b._in IS NULL OR a._in IS NULL OR {' OR '.join(f'a.{c} IS DISTINCT FROM b.{c}' for c in EMP_COLS)}
-UNION ALL SELECT 'riwayat_pekerjaan', concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in JOB_KEY)}), 'INSERT' FROM p1_jobs_w
+UNION ALL SELECT 'riwayat_pekerjaan', concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in JOB_KEY)}), 'INSERT' FROM (SELECT {', '.join(JOB_KEY)} FROM p1_jobs_w UNION ALL SELECT {', '.join(JOB_KEY)} FROM p2_jobs_w)
 UNION ALL SELECT DISTINCT 'riwayat_pendidikan', concat_ws('|', {', '.join('i.' + k for k in EDU_KEY)}), 'INSERT' FROM p1_edu_t i
   WHERE NOT EXISTS (SELECT 1 FROM db_edu_c s WHERE {_key_on(EDU_KEY)})
 UNION ALL SELECT 'riwayat_assesment', concat_ws('|', employee_id, CAST(assesment_year AS VARCHAR)), 'INSERT' FROM st2_assess
 UNION ALL SELECT 'individual_career_roadmap', concat_ws('|', employee_id, CAST(year AS VARCHAR)), 'INSERT' FROM st2_road"""
 
+def _n(source: str) -> str:
+    return f"(SELECT count(*) FROM {source})"
+
+
+_WHOLE_JOB = ("WHERE employee_id IS NOT NULL AND subholding IS NOT NULL AND subco IS NOT NULL AND job_title IS NOT NULL "
+              "AND tanggal_masuk_kerja IS NOT NULL")
+_YEARS = "(SELECT employee_id, TRY_CAST(asessment_year AS SMALLINT) AS y FROM p2_assess WHERE asessment_year IS NOT NULL)"
+# Rows that did not get in, by table: cells that don't fit the target's types, and dependents without their employee.
+FINAL["load_rejects"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, CAST({rejected} AS BIGINT) AS rejected, CAST({orphaned} AS BIGINT) AS orphaned"
+    for t, rejected, orphaned in (
+        ("employees", f"{_n('p1_employees')} - {_n('p1_emp_t')} + {_n('p2_employees')} - {_n('p2_emp_t')}", "0"),
+        ("riwayat_pekerjaan",
+         f"{_n('p1_jobs ' + _WHOLE_JOB)} - {_n('p1_jobs_tv')} + {_n('p2_jobs ' + _WHOLE_JOB)} - {_n('p2_jobs_tv')}",
+         f"{_n('p1_jobs_tv')} - {_n('p1_jobs_t')} + {_n('p2_jobs_tv')} - {_n('p2_jobs_t')}"),
+        ("riwayat_pendidikan", "0", f"{_n('p1_edu_tv')} - {_n('p1_edu_t')}"),
+        ("riwayat_assesment", _n(_YEARS + " WHERE y IS NULL"),
+         _n(_YEARS + " WHERE y IS NOT NULL AND employee_id NOT IN (SELECT employee_id FROM st2_emp)")),
+        ("individual_career_roadmap", "0", f"{_n('p2_roadmap')} - {_n('p2_road_t')}"),
+    )
+)
+# A roster without names gives no valid master row, so nothing else is loaded.
+FINAL["gate_closed"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, '{status}' AS status, {cnt()} AS rows_in_table FROM {src}"
+    for t, status, src in (("employees", "empty", "db_emp_c"), ("riwayat_pekerjaan", "skipped", "db_jobs_c"),
+                           ("riwayat_pendidikan", "skipped", "db_edu_c"))
+)
+# The tables' rows after an upload, where several given rows share a key: the last one's values.
+FINAL["final_tables"] = """
+SELECT 'riwayat_pekerjaan' AS table_name, employee_id,
+  concat_ws('|', subholding_code, company_code, jabatan, CAST(tanggal_mulai AS VARCHAR)) AS item,
+  concat_ws('|', employee_no_subholding, CAST(tanggal_selesai AS VARCHAR), status) AS value FROM st2_jobs
+UNION ALL SELECT 'riwayat_assesment', employee_id, CAST(assesment_year AS VARCHAR), overal_score FROM st2_assess
+UNION ALL SELECT 'individual_career_roadmap', employee_id, CAST(year AS VARCHAR), planned_position FROM st2_road"""
+
 #: Keys without a SQL text.
 ROWS_ONLY: tuple[str, ...] = ()
 

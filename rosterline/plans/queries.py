@@ -529,6 +529,35 @@ def q_pipeline_counts(spark, sf_dir):
     return store.counts()
 
 
+def q_load_rejects(spark, sf_dir):
+    u = Upload(spark, sf_dir)
+    done = upload(spark, _seeded_store(spark, u, "rejects"), u.raw, u.ass)
+    rows = [(r.dataset, r.rejected, r.orphaned) for r in done.results.values()]
+    return spark.createDataFrame(rows, "dataset string, rejected bigint, orphaned bigint")
+
+
+def q_gate_closed(spark, sf_dir):
+    u = Upload(spark, sf_dir)
+    store = _seeded_store(spark, u, "gate")
+    done = upload(spark, store, u.raw.withColumn("nama", F.lit(None).cast("string")), u.ass)
+    rows = spark.createDataFrame([(r.dataset, r.status) for r in done.results.values()], "dataset string, status string")
+    counts = store.counts().select(F.col("table_name").alias("dataset"), F.col("n").alias("rows_in_table"))
+    return rows.join(counts, "dataset")
+
+
+def q_final_tables(spark, sf_dir):
+    state = Upload(spark, sf_dir).state_after_p2
+    text = lambda c: F.col(c).cast("string")
+    row = lambda spec, item, value: state.read(spec.name).select(
+        F.lit(spec.name).alias("table_name"), "employee_id", item.alias("item"), value.alias("value"))
+    return _union_all([
+        row(JOBS, F.concat_ws("|", "subholding_code", "company_code", "jabatan", text("tanggal_mulai")),
+            F.concat_ws("|", "employee_no_subholding", text("tanggal_selesai"), "status")),
+        row(ASSESSMENTS, text("assesment_year"), F.col("overal_score")),
+        row(ROADMAP, text("year"), F.col("planned_position")),
+    ])
+
+
 def q_export_datasets(spark, sf_dir):
     from rosterline.sources.export import export_csv, read_back_counts
 
@@ -599,6 +628,9 @@ QUERIES: dict[str, Query] = {
     "recycle_restore": q_recycle_restore,
     "load_report": q_load_report,
     "pipeline_counts": q_pipeline_counts,
+    "load_rejects": q_load_rejects,
+    "gate_closed": q_gate_closed,
+    "final_tables": q_final_tables,
     "export_datasets": q_export_datasets,
     "stream_upsert": q_stream_upsert,
     "stream_change_feed": q_stream_change_feed,

@@ -59,11 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df):
-    """Compute ``df`` once into the shared checkpoint folder and continue from there.
+    """Compute ``df`` once into Parquet in the shared checkpoint folder and continue from there.
 
     Used where one intermediate result feeds several outputs (a resolved sheet feeds three datasets) and at every state
     commit: later plans read the files instead of re-running the lineage, and a lost executor costs a re-read, not a
-    recomputation from the sources.  Reliable checkpoints only; never a machine-local one.
+    recomputation from the sources; and they read only the columns they use.  Never a machine-local folder.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,19 +61,22 @@ ASSESMENT = f"""
 WITH base AS (SELECT c_custkey,
   CASE WHEN c_custkey % 11 <= 1 THEN NULL ELSE {_emp('c_custkey')} END AS nik,
   CASE WHEN c_custkey % 13 = 0 THEN c_name ELSE c_mktsegment || ' ' || c_name END AS nama,
+  'SH' || CAST(c_custkey % 5 AS STRING) AS sub_holding, 'CO' || CAST(c_custkey % 7 AS STRING) AS sub_company,
+  CASE WHEN c_custkey % 19 = 0 THEN ' ' ELSE 'Analyst' END AS job_title,
   CASE WHEN c_custkey % 51 = 0 THEN 'FY ' ELSE '' END || CAST(2021 + c_custkey % 4 AS STRING) AS asessment_year,
   CAST(c_custkey % 100 AS STRING) AS overall_skor,
   {_roadmap_cells('c_custkey')}
-FROM {{customer}} WHERE c_custkey % 3 = 0) SELECT 3 * c_custkey AS row_id, nik, nama, asessment_year, overall_skor, road_map_2023, {_LATER_YEARS}
+FROM {{customer}} WHERE c_custkey % 3 = 0) SELECT 3 * c_custkey AS row_id, nik, nama, sub_holding, sub_company, job_title, asessment_year, overall_skor, road_map_2023, {_LATER_YEARS}
 FROM base
 UNION ALL
-SELECT 3 * c_custkey + 1, nik, nama, asessment_year,
+SELECT 3 * c_custkey + 1, nik, nama, sub_holding, sub_company, job_title, asessment_year,
   CASE WHEN c_custkey % 30 = 15 THEN 'retest' ELSE overall_skor END,
   CASE WHEN c_custkey % 30 = 15 THEN 'Role X' ELSE road_map_2023 END, {_LATER_YEARS}
 FROM base WHERE c_custkey % 15 = 0
 UNION ALL
 SELECT 3 * s_suppkey + 2,
   CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE 'SUP' || CAST(s_suppkey AS STRING) END, 'Vendor ' || s_name,
+  'SH' || CAST(s_suppkey % 5 AS STRING), 'CO' || CAST(s_suppkey % 7 AS STRING), CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Supplier' END,
   CAST(2021 + s_suppkey % 4 AS STRING), CAST(s_suppkey % 100 AS STRING),
   {_roadmap_cells('s_suppkey')}
 FROM {{supplier}}
