@@ -298,9 +298,14 @@ SELECT employee_id, planned_position, year FROM (
   SELECT *, row_number() OVER (PARTITION BY employee_id, year ORDER BY _ord DESC) AS rn FROM {p}p2_road_t) WHERE rn = 1""")
 
 
-COUNTER = ("(SELECT CAST(coalesce(max(TRY_CAST(replace(employee_no_subholding, 'unk-', '') AS BIGINT)) + 1, 5001) AS BIGINT) "
-           "FROM db_jobs WHERE regexp_full_match(employee_no_subholding, '^unk-[0-9]+$'))")
+def _counter(jobs: str) -> str:
+    return ("(SELECT CAST(coalesce(max(TRY_CAST(replace(employee_no_subholding, 'unk-', '') AS BIGINT)) + 1, 5001) AS BIGINT) "
+            f"FROM {jobs} WHERE regexp_full_match(employee_no_subholding, '^unk-[0-9]+$'))")
+
+
+COUNTER = _counter("db_jobs")
 chain("", "db_emp_c", "db_jobs_c", "db_edu_c", COUNTER)
+chain("y_", "st2_emp", "st2_jobs", "st1_edu", _counter("st2_jobs"))  # the same upload again
 chain("x_", "empty_emp", "empty_jobs", "empty_edu", "5001")
 
 _NAMES = [n for n, _ in CTES]
@@ -495,8 +500,15 @@ UNION ALL SELECT 'individual_career_roadmap', {cnt()} FROM st2_road""",
 # same sheets changes nothing, an export holds every row of the merged datasets.
 FINAL["recycle_restore"] = FINAL["upsert_state"]
 FINAL["stream_upsert"] = FINAL["default_fill"]
-FINAL["reload_noop"] = f"""
-SELECT table_name, n AS rows_first, n AS rows_second, CAST(0 AS BIGINT) AS changed FROM ({FINAL['pipeline_counts']})"""
+# (a second upload of the same sheets: roster rows whose number only the assessment sheet's people brought into the state
+# find their employee now; nothing else changes)
+FINAL["reload_noop"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST((SELECT count(*) FROM {a}) AS BIGINT) AS rows_first, "
+    f"CAST((SELECT count(*) FROM y_{a}) AS BIGINT) AS rows_second, "
+    f"CAST((SELECT count(*) FROM (SELECT * FROM y_{a} EXCEPT ALL SELECT * FROM {a})) AS BIGINT) AS changed"
+    for t, a in (("employees", "st2_emp"), ("riwayat_pendidikan", "st1_edu"), ("riwayat_pekerjaan", "st2_jobs"),
+                 ("riwayat_assesment", "st2_assess"), ("individual_career_roadmap", "st2_road"))
+)
 FINAL["export_datasets"] = " UNION ALL ".join(
     f"SELECT '{t}' AS dataset, CAST({' + '.join(f'(SELECT count(*) FROM x_{src})' for src in parts)} AS BIGINT) AS n"
     for t, parts in (("employees", ("p1_employees", "p2_employees")), ("riwayat_pendidikan", ("p1_education",)),
