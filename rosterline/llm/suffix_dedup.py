@@ -36,8 +36,8 @@ from .minhash import mix
 ANCHOR = 50
 #: The cover's period and its residues: every number modulo 32 is a difference of two of them.
 PERIOD, COVER = 32, (0, 1, 2, 3, 7, 11, 19)
-#: Suffixes in a bucket, bytes of text in a block of the local step, bytes of slices in a global block.
-BUCKET, LOCAL, GLOBAL = 500_000, 4_000_000, 8_000_000
+#: Suffixes in a bucket, bytes of slices in a block of the local and of the global step (a block takes about 60 times that).
+BUCKET, LOCAL, GLOBAL = 200_000, 2_000_000, 2_000_000
 #: Tables of one row per document are broadcast up to this many rows and list items, else joined by sorting.
 SMALL = 1_000_000
 NULL_ID = -(1 << 63)
@@ -58,10 +58,19 @@ DISTANCE = _distances()
 
 
 def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The 8 bytes at each place as a number that sorts like them."""
+    """The 8 bytes at each place as a number that sorts like them; ``text``: bytes, or these numbers at all places."""
+    if text.dtype == np.uint64:
+        return text[at]
     return np.lib.stride_tricks.sliding_window_view(text, 8)[at].view(">u8").ravel().astype(np.uint64)
 
 
+def _all_words(text: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(text) - 7, np.uint64)
+    for j in range(8):
+        out = out << np.uint64(8) | text[j : len(text) - 7 + j]
+    return out
+
+
 def _ranked(keys: list[np.ndarray]) -> np.ndarray:
     """Dense ranks of rows by ``keys``, the first key first."""
     order = np.lexsort(keys[::-1])
@@ -89,9 +98,12 @@ def cover_ranks(text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return places, rank
 
 
-def sort_bucket(text: np.ndarray, at: np.ndarray, rank_at: np.ndarray) -> np.ndarray:
-    """The order of the suffixes that start at ``at``; ``rank_at``: the sample's ranks by place, -1 elsewhere."""
-    first = _ranked([_words(text, at + 8 * j) for j in range(PERIOD // 8)])
+def sort_bucket(text: np.ndarray, at: np.ndarray, rank_at: np.ndarray, buckets: tuple[np.ndarray, ...] = ()) -> np.ndarray:
+    """The order of the suffixes that start at ``at``; ``rank_at``: the sample's ranks by place, -1 elsewhere.
+
+    ``buckets``: numbers of smaller buckets, which then stay apart.
+    """
+    first = _ranked([*buckets, *(_words(text, at + 8 * j) for j in range(PERIOD // 8))])
     order = np.argsort(first, kind="stable")
     tied = first[order]
     run = np.flatnonzero(np.append(True, tied[1:] != tied[:-1]))
@@ -101,7 +113,7 @@ def sort_bucket(text: np.ndarray, at: np.ndarray, rank_at: np.ndarray) -> np.nda
         return order
     group, residue = first[open_], at[open_] % PERIOD
     # within a residue, the sample's ranks at one distance decide
-    rank = rank_at[at[open_] + DISTANCE[residue, residue]]
+    rank = rank_at[at[open_] + DISTANCE[residue, residue]].astype(np.int64)
     by = np.lexsort((rank, residue, group))
     open_, group, residue, rank = open_[by], group[by], residue[by], rank[by]
     head = np.append(True, (group[1:] != group[:-1]) | (residue[1:] != residue[:-1]))
@@ -132,20 +144,22 @@ def repeated(text: np.ndarray, at: np.ndarray, bucket: np.ndarray, age: np.ndarr
 
     Equal strings have equal ``bucket`` values; a block takes whole buckets until it holds BUCKET suffixes.
     """
-    text = np.concatenate((text, np.zeros(256, np.uint8)))
     out = np.zeros(len(at), bool)
     if not len(at):
         return out
-    places, ranks = cover_ranks(text, len(text) - 224)
-    rank_at = np.full(len(text) + PERIOD, -1, np.int64)
+    size = len(text) + 32
+    text = _all_words(np.concatenate((text, np.zeros(256, np.uint8))))
+    places, ranks = cover_ranks(text, size)
+    rank_at = np.full(size + PERIOD, -1, np.int32)
     rank_at[places] = ranks
     by = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))
+    fresh = np.append(True, bucket[by][1:] != bucket[by][:-1])
+    edges, number = np.flatnonzero(fresh), np.cumsum(fresh)
     ends, start = np.append(edges[1:], len(by)), 0
     while start < len(by):
         stop = ends[np.searchsorted(ends, min(start + BUCKET, len(by)), side="right") - 1] if ends[np.searchsorted(ends, start, side="right")] <= start + BUCKET else ends[np.searchsorted(ends, start, side="right")]
         part = by[start:stop]
-        part = part[sort_bucket(text, at[part], rank_at)]
+        part = part[sort_bucket(text, at[part], rank_at, (number[start:stop],))]
         x, y = at[part[:-1]], at[part[1:]]
         same = np.ones(len(x), bool)
         for j in [*range(0, length - 7, 8), length - 8]:
@@ -211,11 +225,12 @@ def _windows(rows: list[tuple[int, int, int, int, int]], texts: list[bytes], has
     inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     at = np.repeat(offsets, count) + inside
     begins = start[row] + inside
-    # windows at the same distance from equal anchors may be equal
+    # windows at the same distance from equal anchors may be equal: these are the buckets
+    bucket = (mix(hashes.view(np.uint64)[row] + (place[row] - begins).astype(np.uint64))).view(np.int64)
     order = np.lexsort((begins, seq[row], k[row]))
     age = np.empty(len(row), np.int64)
     age[order] = np.arange(len(row))
-    return row, begins, repeated(text, at, hashes[row], age, length)
+    return row, begins, repeated(text, at, bucket, age, length)
 
 
 def _runs(row: np.ndarray, begins: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -234,14 +249,16 @@ def _settle_locally(length: int):
     """Of documents with their repeated anchors: runs of repeated windows, and slices of the windows left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size, most = 0, LOCAL // (2 * length)
         for batch in batches:
             for k, seq, text, found in zip(*(batch.column(c) for c in ("k", "seq", "text", "found")), strict=True):
-                held.append((k.as_py(), seq.as_py(), text.as_py(), found.values))
-                size += min(len(held[-1][2]), len(found.values) * 2 * length)
-                if size >= LOCAL:
-                    yield settle(held)
-                    held, size = [], 0
+                whole = text.as_py()
+                for s in range(0, len(found.values), most):  # a document's anchors may go to several blocks
+                    held.append((k.as_py(), seq.as_py(), whole, found.values.slice(s, most)))
+                    size += len(held[-1][3])
+                    if size >= most:
+                        yield settle(held)
+                        held, size = [], 0
         if held:
             yield settle(held)
 
