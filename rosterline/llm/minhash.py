@@ -78,7 +78,7 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def word_hashes(data: np.ndarray, part: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and 64-bit hashes of the words of UTF-8 bytes; A-Z count as a-z.
 
     Long inputs are read in parts that end at white space, which bounds the memory.
@@ -375,7 +375,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # second pass: band groups that still hold several components
     labelled = grouped.join(found.withColumnRenamed("node", "_id"), "_id", "left").withColumn("comp", F.coalesce("component", "_id"))
-    mixed = stage(labelled.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"), "mixed")
+    # (the first pass has compared both members of a group of two)
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).where("a <> b and n > 2")
+    mixed = stage(mixed.select("key"), "mixed")
     open_ = stage(labelled.join(mixed, "key", "left_semi").select("key", "_id", "comp").distinct(), "open")
     more = _block_links(open_, heads, sets_of, percent)
     if not more.isEmpty():
