@@ -25,7 +25,7 @@ from .common import ship_code, text_of
 from .token_count import byte_symbols
 
 #: A worker remembers the ids of this many distinct chunks and then starts afresh (bounds its memory).
-REMEMBERED = 600_000
+REMEMBERED = 450_000
 #: Texts are indexed together until they hold this many characters.
 TOGETHER = 12_000_000
 
