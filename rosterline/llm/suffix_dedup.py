@@ -72,13 +72,27 @@ def _all_words(text: np.ndarray) -> np.ndarray:
 
 
 def _ranked(keys: list[np.ndarray]) -> np.ndarray:
-    """Dense ranks of rows by ``keys``, the first key first."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
+    """Dense ranks of rows by ``keys``, the first key first.
+
+    Sorted by the first key; a later key sorts only the runs of equal rows that it tells apart.
+    """
+    order = np.argsort(keys[0])
+    sorted_ = keys[0][order]
+    new = np.append(True, sorted_[1:] != sorted_[:-1])[: len(order)]
+    for key in keys[1:]:
+        value, run = key[order], np.cumsum(new)
+        differs = np.append(False, (value[1:] != value[:-1]) & ~new[1:])[: len(order)]
+        if not differs.any():
+            continue
+        open_ = np.zeros(len(order) + 1, bool)
+        open_[run[differs]] = True
+        places = np.flatnonzero(open_[run])
+        rows = order[places]
+        order[places] = rows[np.lexsort((key[rows], run[places]))]
+        value = key[order]
+        new[1:] |= value[1:] != value[:-1]
     rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new)
+    rank[order] = np.cumsum(new) - 1
     return rank
 
 
