@@ -175,10 +175,11 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """_id, n_shingles, set_hash, regs (128 registers) and bands of every row; set_hash is null without shingles."""
     ship_code(docs.sparkSession)
-    # sets of so few shingles that only equal ones can reach the threshold need no bands
+    # a set of n shingles and a different one have at most n / (n + 1) in common; sets that can't reach the threshold
+    # so need no bands
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in range(0, batch.num_rows, 1024):
@@ -192,7 +193,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets], pa.binary()),
                         pa.array([r.tobytes() if len(x) else None for r, x in zip(regs, sets, strict=True)], pa.binary()),
-                        pa.array([k if len(x) > 5 else [] for k, x in zip(keys, sets, strict=True)], pa.list_(pa.int64())),
+                        pa.array([k if len(x) and 100 * len(x) >= percent * (len(x) + 1) else [] for k, x in zip(keys, sets, strict=True)], pa.list_(pa.int64())),
                     ],
                     names=["_id", "n_shingles", "set_hash", "regs", "bands"],
                 )
@@ -347,7 +348,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two documents are linked if 100 * |intersection| >= ``percent`` * |union| of their shingle sets.
     """
-    rows = stage(sketches(docs, id_col, text_col, size), "sketch")
+    rows = stage(sketches(docs, id_col, text_col, size, percent), "sketch")
     member = rows.where("_id is not null and set_hash is not null")
     heads = member.groupBy("set_hash").agg(F.min(F.struct("_id", "n_shingles", "regs", "bands")).alias("h"))
     heads = stage(heads.select("set_hash", "h.*"), "heads")

@@ -58,6 +58,15 @@ def test_documents(spark):
     assert found(df.limit(0), 85) == []
 
 
+def test_few_shingles(spark):
+    letters = "a b c d e f g h i j".split()
+    rows = [(k, " ".join(letters[:k])) for k in range(1, 11)]  # 7 to 10 words: 3/4, 4/5 and 5/6 in common
+    rows += [(100 * k + n, " ".join(f"{x}{k}" for x in letters[:n])) for k in range(1, 60) for n in (8, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 85, 100):
+        assert found(df, percent) == brute(rows, percent)
+
+
 def test_large_group_in_blocks(spark, monkeypatch):
     rnd = random.Random(9)
     base = [f"w{rnd.randrange(1000)}" for _ in range(120)]
