@@ -1,8 +1,8 @@
 """URL filter: rules first, else naive Bayes on the words of host and path.
 
 Host names are often several words written together.  A unigram model, counted over the titles of all pages and the
-words of all paths, splits them by Viterbi's algorithm into their most likely words.  Multinomial naive Bayes then
-scores the words of host and path.  Its classes are learned from all urls: those with a word of a short list of
+words of all paths, splits them by Viterbi's algorithm into their most likely words.  The top-level domain is one word
+as it stands.  Multinomial naive Bayes then scores the words of host and path.  Its classes are learned from all urls: those with a word of a short list of
 unwanted words (``seeds``) against the others, so that words which go along with these count as well.
 
 Null urls and such without "://" have an empty host and path; without words the prior decides (allow, unless most
@@ -28,6 +28,8 @@ WORD = 20
 SMALL = 100_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The host's last label, without a port or the root's dot.
+_TOP = r"\.([^.:]*)\.?(?::[^.]*)?$"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -59,10 +61,16 @@ def path_words(path: Column) -> Column:
 
 def host_parts(host: Column) -> Column:
     """The host's runs of letters without those of the top-level domain, which isn't split into words."""
-    names = F.when(host.contains("."), F.regexp_replace(host, r"\.[^.]*$", "")).otherwise(host)
+    names = F.when(host.contains("."), F.regexp_replace(host, _TOP, "")).otherwise(host)
     return F.filter(F.split(names, r"[^\p{L}]+"), lambda w: F.length(w) > 0)
 
 
+def top_level(host: Column) -> Column:
+    """The top-level domain as an array of one word; empty if the host has none, or a number (of an address) there."""
+    label = F.regexp_extract(host, _TOP, 1)
+    return F.when(label.rlike(r"\p{L}"), F.array(label)).otherwise(F.array().cast("array<string>"))
+
+
 def best_words(part: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
     """Viterbi: the most likely split into words; ``known``: counts by start and length.
 
@@ -123,6 +131,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
     words = every.join(broadcast_checked(split, SMALL), "part").groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("w"))
     words = words.select("host", F.flatten(F.col("w.words")).alias("words"))
     hosts = hosts.select("host").join(words, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+    hosts = hosts.withColumn("words", F.concat("words", top_level(F.col("host"))))
     bad = F.arrays_overlap("words", F.array(*map(F.lit, seeds)))
     hosts = stage(hosts.withColumn("bad", bad), "host-words")
     marked = paths.select("path", bad.alias("path_bad"))

@@ -33,6 +33,15 @@ def test_rules_and_edge_cases(spark):
     assert url_filter.judged(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_top_level_domain_counts(spark):
+    hosts = ["best-offers.casino", "name.xxx", "two.labels.sex:8080", "root.porn.", "casino", "a.comporn", "plain.org", "10.0.0.7", "10.0.0.7:80", "", "x."]
+    pages = spark.createDataFrame([(k, f"http://{h}/a") for k, h in enumerate(hosts * 3)], "page_id long, url string").withColumn("html", F.lit(None).cast("string"))
+    got = {r["host"]: (r["verdict"], r["host_words"]) for r in url_filter.judged(pages, []).collect()}
+    assert {h: v for h, (v, _) in got.items()} == {h: "block" if k < 5 else "allow" for k, h in enumerate(hosts)}
+    last = {h: w[-1:] for h, (_, w) in got.items()}
+    assert last == dict(zip(hosts, [["casino"], ["xxx"], ["sex"], ["porn"], ["casino"], ["comporn"], ["org"], [], [], [], ["x"]], strict=True))
+
+
 def test_verdicts(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     bad = F.col("host").rlike("spam-farm|cheap-pills|casino-win|free-bets|adult-x|ads-track")
