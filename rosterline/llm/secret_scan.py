@@ -5,9 +5,10 @@ characters of the usual encodings that mixes letter cases or letters and digits.
 characters it computes a chi-squared statistic of alphabet uniformity, a runs test about the alphabet's middle and the
 lag-1 serial correlation, each as a z-value; the sum of their squares is small for random strings.
 
-False discoveries are controlled against ordinary writing: every document gives one stretch of its letters, of a length
-class and at a place that a hash of its text chooses, which goes through the same battery (letters folded into each
-alphabet).  A candidate's p-value is the share of stretches of its length class that look as random as it does.  P-values are weighted by the candidate's bits (long strings get more of the error
+False discoveries are controlled against ordinary writing: in every length class, the letters of every text are cut into
+as many stretches as they fill, one after another, which go through the same battery (letters folded into each alphabet;
+their sums are counted on bit planes).  Texts with equal letters count once, so that copies don't decide a class.
+A candidate's p-value is the share of stretches of its length class that look as random as it does.  P-values are weighted by the candidate's bits (long strings get more of the error
 budget), and the Benjamini-Hochberg rule over all candidates of the corpus decides which are reported as kind random.
 
 Positions are code points, ends exclusive.  Null texts count as empty, empty texts have no spans, rows with equal or
@@ -17,6 +18,9 @@ secrets is replaced).
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import others, stage
@@ -81,8 +85,29 @@ def _digit(code: Column, size: int) -> Column:
     return place.when(code.isin(43, 45), F.lit(62)).otherwise(F.lit(63))
 
 
-def _statistic(codes: Column, size: int, fold: bool) -> Column:
-    """Sum of squared z-values of the three tests on character codes, for the alphabet of ``size`` symbols."""
+def _chi(n: Column, size: int, squares: Column) -> Column:
+    """Chi-squared z-value of ``n`` symbols of an alphabet of ``size``, 0 or more; ``squares``: sum of squared counts."""
+    return F.greatest((squares * size / n - n - (size - 1)) / F.sqrt(2.0 * (size - 1) * (n - 1) / n), F.lit(0.0))
+
+
+def _runs(n: Column, high: Column, changes: Column) -> Column:
+    """z-value of the runs about the middle; ``high``: symbols of the upper half, ``changes`` of half."""
+    down = n - high
+    expected = 2 * high * down / n + 1
+    variance = (expected - 1) * (expected - 2) / (n - 1)
+    return F.when(variance > 0, (changes + 1 - expected) / F.sqrt(variance)).otherwise(F.sqrt(n))
+
+
+def _serial(n: Column, total: Column, square: Column, product: Column, ends: Column) -> Column:
+    """z-value of the lag-1 correlation, from the symbols' sums, products of neighbours, and first plus last symbol."""
+    mean = total / n
+    spread = square - n * mean * mean
+    lag = product - mean * (2 * total - ends) + (n - 1) * mean * mean
+    return F.when(spread > 0, (lag / spread + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
+
+
+def _statistic(codes: Column, size: int) -> Column:
+    """The battery's statistic of character codes, for the alphabet of ``size`` symbols."""
     def tests(x: Column) -> Column:
         n = F.size(x).cast("double")
         # sum of squared counts, from the lengths of the runs of equal symbols once they are sorted
@@ -93,7 +118,6 @@ def _statistic(codes: Column, size: int, fold: bool) -> Column:
             return F.struct((acc["sum"] + 2 * length - 1).alias("sum"), length.alias("length"), v.alias("last"))
 
         squares = F.aggregate(F.array_sort(x), run, count, lambda acc: acc["sum"])
-        chi = (squares * size / n - n - (size - 1)) / F.sqrt(2.0 * (size - 1) * (n - 1) / n)
         # one pass over adjacent symbols: sums, products, symbols of the upper half, changes of half
         first = F.struct(*(F.lit(0.0).alias(a) for a in ("sum", "square", "product", "high", "changes")), F.lit(-1).alias("last"))
 
@@ -109,24 +133,126 @@ def _statistic(codes: Column, size: int, fold: bool) -> Column:
             )
 
         def end(acc: Column) -> Column:
-            mean = acc["sum"] / n
-            spread = acc["square"] - n * mean * mean
             ends = F.element_at(x, 1).cast("double") + F.element_at(x, -1).cast("double")
-            lag = acc["product"] - mean * (2 * acc["sum"] - ends) + (n - 1) * mean * mean
-            serial = F.when(spread > 0, (lag / spread + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
-            up, down = acc["high"], n - acc["high"]
-            expected = 2 * up * down / n + 1
-            variance = (expected - 1) * (expected - 2) / (n - 1)
-            runs = F.when(variance > 0, (acc["changes"] + 1 - expected) / F.sqrt(variance)).otherwise(F.sqrt(n))
-            return F.pow(F.greatest(chi, F.lit(0.0)), F.lit(2.0)) + runs * runs + serial * serial
+            chi, runs = _chi(n, size, squares), _runs(n, acc["high"], acc["changes"])
+            serial = _serial(n, acc["sum"], acc["square"], acc["product"], ends)
+            return F.pow(chi, F.lit(2.0)) + runs * runs + serial * serial
 
         return F.aggregate(x, first, step, end)
 
-    digits = F.transform(codes, lambda c: F.pmod(F.when(c >= 97, c - 97).otherwise(c - 65), F.lit(size)) if fold else _digit(c, size))
+    digits = F.transform(codes, lambda c: _digit(c, size))
     # an array of one element binds the digits once, so that the tests don't compute them anew
     return F.element_at(F.transform(F.array(digits), tests), 1)
 
 
+def _bin(value: Column) -> Column:
+    return F.least(F.floor(value * 20), F.lit(1_000_000)).cast("long")
+
+
+def _ordinary(docs: DataFrame) -> DataFrame:
+    """size, cell, bin of every stretch of letters of the distinct texts (_text), in every length class they fill.
+
+    Letters are numbers of five bits.  A text becomes five bit planes in words of 64 letters; a stretch takes its bits
+    out of them by shifts (up to 64 letters in lo, the rest in hi), and counts, sums and products are numbers of set
+    bits.  So no step goes over single letters.
+    """
+    left, right = (lambda x, k, f=f: F.call_function(f, x, k) for f in ("shiftleft", "shiftrightunsigned"))
+    bits, col = F.bit_count, F.col
+    texts = docs.select(F.lower(F.regexp_replace("_text", "[^A-Za-z]+", "")).alias("letters")).where(F.length("letters") >= LENGTHS[0]).distinct()
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+
+    def plane(b: int) -> Column:
+        marks = F.translate(F.col("letters"), alphabet, "".join(str(k >> b & 1) for k in range(26)))
+        words = F.regexp_extract_all(marks, F.lit(".{1,64}"), F.lit(0))
+        words = F.transform(words, lambda w: F.conv(F.rpad(w, 64, "0"), 2, -10).cast("long"))
+        return F.concat(words, F.array(*[F.lit(0).cast("long")] * 3))
+
+    rows = texts.select(F.length("letters").alias("length"), *(plane(b).alias(f"w{b}") for b in range(5)))
+    rows = rows.withColumn("cell", F.explode(F.array(*map(F.lit, LENGTHS)))).where("length >= cell")
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("cell"), F.col("cell"))))
+    cell, offset = F.col("cell"), F.col("at").bitwiseAND(63)
+    rest = F.greatest(cell - 64, F.lit(0))
+
+    def word(b: int, k: int) -> Column:
+        """64 letters from the stretch's letter 64 * k, the first in the highest bit."""
+        get = lambda j: F.coalesce(F.get(f"w{b}", F.shiftright("at", 6) + j), F.lit(0).cast("long"))
+        return left(get(k), offset).bitwiseOR(right(right(get(k + 1), F.lit(1)), 63 - offset))
+
+    def cut(x: Column, part: str) -> Column:
+        """The first letters of 64, as many as the part has, the last one in the lowest bit."""
+        if part == "lo":
+            return right(x, 64 - F.least(cell, F.lit(64)))
+        return F.when(rest > 0, right(x, 64 - rest)).otherwise(F.lit(0).cast("long"))
+
+    parts = {"lo": 0, "hi": 1}
+    masks = [cut(word(b, k), part).alias(f"{part}{b}") for part, k in parts.items() for b in range(5)]
+    valid = [cut(F.lit(-1).cast("long"), part).alias(part) for part in parts]
+    rows = rows.select("cell", *masks, *valid)
+    both = lambda f: f("lo") + f("hi")
+    bit = lambda part, b: F.col(f"{part}{b}")
+
+    last = lambda x: x.bitwiseAND(F.lit(1).cast("long")).cast("int")
+    # the letters on both sides of the place where hi follows lo, and those at the ends
+    hi_first = lambda x: F.when(rest > 0, last(right(x, rest - 1))).otherwise(0)
+    lo_first = lambda x: last(right(x, F.least(cell, F.lit(64)) - 1))
+    end = lambda b: F.when(rest > 0, last(bit("hi", b))).otherwise(last(bit("lo", b)))
+    total = lambda xs: functools.reduce(operator.add, xs)
+    value = lambda f, n: total(f(b) * (1 << b) for b in range(n))
+
+    def product(n: int) -> Column:
+        pairs = [both(lambda p, b=b, c=c: bits(right(bit(p, b), F.lit(1)).bitwiseAND(bit(p, c)))) * (1 << b + c) for b in range(n) for c in range(n)]
+        return total(pairs) + value(lambda b: last(bit("lo", b)), n) * value(lambda b: hi_first(bit("hi", b)), n)
+
+    def upper(part: str, half: int) -> Column:
+        """The letters of the upper half: 8 and more modulo 16, or 18 and more."""
+        if half == 8:
+            return bit(part, 3)
+        return bit(part, 4).bitwiseAND(bit(part, 3).bitwiseOR(bit(part, 2)).bitwiseOR(bit(part, 1)))
+
+    rows = rows.select("*", *(upper(p, half).alias(f"{p}_up{half}") for p in parts for half in (8, 18)))
+
+    def changes(half: int) -> Column:
+        up = lambda p: F.col(f"{p}_up{half}")
+        inner = both(lambda p: bits(right(up(p), F.lit(1)).bitwiseXOR(up(p)).bitwiseAND(right(F.col(p), F.lit(1)))))
+        return inner + F.when(rest > 0, (last(up("lo")) != hi_first(up("hi"))).cast("int")).otherwise(0)
+
+    pairs = [(f"product{n}", product(n)) for n in (4, 5)]
+    pairs += [(f"sum{n}", value(lambda b: both(lambda p, b=b: bits(bit(p, b))), n)) for n in (4, 5)]
+    pairs += [(f"ends{n}", value(lambda b: lo_first(bit("lo", b)) + end(b), n)) for n in (4, 5)]
+    pairs += [(f"high{half}", both(lambda p, half=half: bits(col(f"{p}_up{half}")))) for half in (8, 18)]
+    pairs += [(f"changes{half}", changes(half)) for half in (8, 18)]
+    rows = rows.select("cell", *(f"{p}{b}" for p in parts for b in ("", *range(5))), *(c.cast("double").alias(n) for n, c in pairs))
+    kept = ["cell", *(n for n, _ in pairs)]
+
+    def chosen(part: str, code: int, planes: range) -> list[Column]:
+        """The planes as they are where the code has a bit, else inverted."""
+        return [bit(part, b) if code >> b - planes[0] & 1 else F.bitwise_not(bit(part, b)) for b in planes]
+
+    # (small steps: methods of more than 8,000 bytes of code aren't compiled)
+    meet = lambda xs: functools.reduce(Column.bitwiseAND, xs)
+    tops = [meet([F.col(p), *chosen(p, t, range(2, 5))]).alias(f"{p}_top{t}") for p in parts for t in range(7)]
+    lows = [meet(chosen(p, t, range(2))).alias(f"{p}_low{t}") for p in parts for t in range(4)]
+    rows = rows.select(*kept, *tops, *lows)
+    number = lambda k: both(lambda p: bits(F.col(f"{p}_top{k >> 2}").bitwiseAND(F.col(f"{p}_low{k & 3}"))).cast("double"))
+    rows = rows.select(*kept, *(number(k).alias(f"c{k}") for k in range(26)))
+    names = {26: [f"c{k}" for k in range(26)], 16: [f"d{k}" if k < 10 else f"c{k}" for k in range(16)]}
+
+    def squared(m: int) -> list[Column]:
+        cs = [F.col(c) for c in names[m]]
+        return [total(c * c for c in cs).alias(f"squares{m}"), total(c * float(k * k) for k, c in enumerate(cs)).alias(f"square{m}")]
+
+    rows = rows.select(*kept, *squared(26), *(f"c{k}" for k in range(10, 16)), *((F.col(f"c{k}") + F.col(f"c{k + 16}")).alias(f"d{k}") for k in range(10)))
+    rows = rows.select(*kept, "squares26", "square26", *squared(16)).withColumn("n", F.col("cell").cast("double"))
+    n = F.col("n")
+    rows = rows.select("*", *(_serial(n, *(col(c) for c in (f"sum{k}", f"square{m}", f"product{k}", f"ends{k}"))).alias(f"serial{m}") for m, k in ((16, 4), (26, 5))))
+    rows = rows.select("*", _runs(n, col("high8"), col("changes8")).alias("runs16"), _runs(n, col("high18"), col("changes18")).alias("runs36"))
+    # letters don't reach the upper half of alphabets of 62 and 64 symbols
+    rows = rows.select("cell", "serial16", "serial26", "runs16", "runs36", F.sqrt(n).alias("runs62"), F.sqrt(n).alias("runs64"), *(_chi(n, a, col("squares16" if a == 16 else "squares26")).alias(f"chi{a}") for a in ALPHABETS))
+    sum_of = lambda a: total(col(c) * col(c) for c in (f"chi{a}", f"runs{a}", "serial16" if a == 16 else "serial26"))
+    rows = rows.select("cell", *(_bin(sum_of(a)).alias(f"bin{a}") for a in ALPHABETS))
+    return rows.select("cell", F.explode(F.array(*(F.struct(F.lit(a).alias("size"), F.col(f"bin{a}").alias("bin")) for a in ALPHABETS))).alias("x")).select("x.size", "cell", "x.bin")
+
+
 def _class_of(length: Column) -> Column:
     out = F.lit(LENGTHS[0])
     for low in LENGTHS[1:]:
@@ -164,7 +290,7 @@ def _value(x: Column) -> Column:
     """The statistic of a candidate for its own alphabet."""
     out = F.lit(None).cast("double")
     for size in ALPHABETS:
-        out = F.when(x["size"] == size, _statistic(x["codes"], size, False)).otherwise(out)
+        out = F.when(x["size"] == size, _statistic(x["codes"], size)).otherwise(out)
     return out
 
 
@@ -174,22 +300,20 @@ def thresholds(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> d
     Both sides are counted over all documents as histograms of the statistic (steps of 0.05), so that the driver gets
     one number for each of the at most 44 cells.
     """
-    step = lambda v: F.least(F.floor(v * 20), F.lit(1_000_000)).cast("long")
-    cell_type = "array<struct<size:int,cell:int,bin:bigint,n:int,ordinary:boolean>>"
-    rows = _tested(docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")))
-    # a stretch three times as long as needed, of which the letters are kept
-    draw = F.xxhash64("_text", F.lit(11))
-    cell = F.element_at(F.array(*map(F.lit, LENGTHS)), (F.pmod(draw, F.lit(len(LENGTHS))) + 1).cast("int"))
-    rows = rows.withColumn("cell", cell).withColumn("at", (F.pmod(F.xxhash64("_text", F.lit(12)), F.greatest(F.length("_text") - 3 * F.col("cell"), F.lit(0)) + 1) + 1).cast("int"))
-    rows = rows.withColumn("letters", F.regexp_replace(F.col("_text").substr(F.col("at"), 3 * F.col("cell")), "[^A-Za-z]", ""))
-    rows = rows.withColumn("codes", F.transform(F.split(F.col("letters").substr(F.lit(1), F.col("cell")), ""), lambda c: F.ascii(c)))
-    drawn = F.array(*(F.struct(F.lit(a).alias("size"), F.col("cell"), step(_statistic(F.col("codes"), a, True)).alias("bin"), F.col("cell").alias("n"), F.lit(True).alias("ordinary")) for a in ALPHABETS))
-    drawn = F.when(F.length("letters") >= F.col("cell"), drawn).otherwise(_none(cell_type))
-    found = F.transform("tests", lambda x: F.struct(x["size"].alias("size"), _class_of(x["n"]).alias("cell"), step(_value(x)).alias("bin"), x["n"].alias("n"), F.lit(False).alias("ordinary")))
-    every = rows.select(F.explode(F.concat(drawn, found)).alias("x")).select("x.*")
-    count = lambda mask: F.coalesce(F.sum(F.when(mask, 1)), F.lit(0))
-    both = every.groupBy("size", "cell", "bin").agg(count(F.col("ordinary")).alias("null_n"), count(~F.col("ordinary")).alias("n"), F.avg(F.when(~F.col("ordinary"), F.col("n"))).alias("length"))
-    both = stage(both, "battery")
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    found = F.transform("tests", lambda x: F.struct(x["size"].alias("size"), _class_of(x["n"]).alias("cell"), _bin(_value(x)).alias("bin"), x["n"].alias("n")))
+    found = _tested(texts).select(F.explode(found).alias("x")).select("x.*")
+    sides = found.groupBy("size", "cell", "bin").agg(F.lit(0).cast("long").alias("null_n"), F.count("*").alias("n"), F.sum("n").alias("length"))
+    null = _ordinary(texts).groupBy("size", "cell", "bin").agg(F.count("*").alias("null_n"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("length"))
+    both = sides.union(null).groupBy("size", "cell", "bin").agg(*(F.sum(c).alias(c) for c in ("null_n", "n", "length")))
+    # many columns make generated methods that the JVM wouldn't compile; below this limit Spark runs step by step instead
+    conf, limit = docs.sparkSession.conf, "spark.sql.codegen.hugeMethodLimit"
+    before = conf.get(limit)
+    conf.set(limit, "8000")
+    try:
+        both = stage(both.withColumn("length", F.when(F.col("n") > 0, F.col("length") / F.col("n"))), "battery")
+    finally:
+        conf.set(limit, before)
     # p-values by cell: the share of ordinary stretches whose statistic is as small
     upto = Window.partitionBy("size", "cell").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("size", "cell")

@@ -1,5 +1,8 @@
 """Secret scan: base spans against Python's regex engine, planted random strings, redaction."""
 
+import collections
+import itertools
+import math
 import random
 import re
 
@@ -47,6 +50,51 @@ def test_random_strings_are_found_and_words_left_alone(spark):
     assert hits == {k: [v] for k, v in planted.items()}
 
 
+def reference(letters, size):
+    """The battery's statistic of a stretch of letters, as defined."""
+    x = [(ord(c.lower()) - 97) % size for c in letters]
+    n, mean = len(x), sum(x) / len(x)
+    chi = (sum(v * v for v in collections.Counter(x).values()) * size / n - n - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n)
+    spread = sum(v * v for v in x) - n * mean * mean
+    lag = sum((a - mean) * (b - mean) for a, b in itertools.pairwise(x))
+    serial = (lag / spread + 1 / n) * math.sqrt(n) if spread > 1e-9 else math.sqrt(n)
+    up = [v >= size // 2 for v in x]
+    expected = 2 * sum(up) * (n - sum(up)) / n + 1
+    variance = (expected - 1) * (expected - 2) / (n - 1)
+    runs = (sum(a != b for a, b in itertools.pairwise(up)) + 1 - expected) / math.sqrt(variance) if variance > 0 else math.sqrt(n)
+    return max(chi, 0) ** 2 + runs * runs + serial * serial
+
+
+def test_null_takes_every_stretch_of_every_distinct_text(spark):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("aeinrstABCxyz QZ.é9") for _ in range(n)) for n in (5, 17, 20, 90, 400, 700)]
+    want = collections.Counter()
+    for t in texts:
+        letters = re.sub("[^A-Za-z]", "", t)
+        for n in secret_scan.LENGTHS:
+            for k in range(0, len(letters) - n + 1, n):
+                want.update((size, n, int(reference(letters[k : k + n], size) * 20 + 1e-9)) for size in secret_scan.ALPHABETS)
+    docs = spark.createDataFrame([(t,) for t in texts * 2 + [""]], "_text string")
+    got = collections.Counter(tuple(r) for r in secret_scan._ordinary(docs).collect())
+    assert sum(got.values()) == sum(want.values())
+    assert sum((got - want).values()) <= 2  # (rounding at a bin's edge)
+
+
+def test_few_documents_and_copies(spark):
+    rnd = random.Random(6)
+    syllables = ["the", "ing", "er", "and", "tion", "re", "at", "on", "ed"]
+    plain = [" ".join("".join(rnd.choice(syllables) for _ in range(4)) for _ in range(120)) for _ in range(150)]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    planted = {k: "".join(rnd.choice(letters) for _ in range(40)) for k in range(0, 150, 30)}
+    odd = "".join(rnd.sample(letters[:26], 26)) * 20  # looks random in every class
+    rows = [(k, t + (f" {planted[k]} end" if k in planted else "")) for k, t in enumerate(plain)] + [(1000 + k, odd) for k in range(75)]
+    cuts = [secret_scan.thresholds(spark.createDataFrame(r, "doc_id long, text string")) for r in (rows, rows[:151])]
+    assert cuts[0] == cuts[1]
+    got = secret_scan.scan(spark.createDataFrame(rows[:150], "doc_id long, text string")).collect()
+    hits = {r["doc_id"]: [r["text"][x["start"] : x["end"]] for x in r["secrets"]] for r in got if r["secrets"]}
+    assert hits == {k: [v] for k, v in planted.items()}
+
+
 def test_redaction(spark):
     df = secret_scan.scan(spark.createDataFrame([("ab password=b7db7aa4a5fcc78305 é 0123456789abcdef0",), ("plain",)], "text string"))
     got = [r[0] for r in df.select(secret_scan.redacted(F.col("text"), F.col("secrets"))).collect()]
