@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_codec, embedding_dedup, fingerprint, line_crf, minhash, mixing, secret_scan, suffix_dedup, token_count, url_filter
+from . import (
+    block_search,
+    bpe_codec,
+    embedding_dedup,
+    fingerprint,
+    line_crf,
+    minhash,
+    mixing,
+    orchard_codes,
+    secret_scan,
+    suffix_dedup,
+    token_count,
+    url_filter,
+    whitening,
+)
 from .common import table
 
 #: Folder of the public vocabulary files where the package that knows it isn't installed.
@@ -79,6 +93,21 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, neighbours=10)
+
+
+def op13_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = orchard_codes.encode(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    code = F.lower(F.array_join(F.transform("codes", lambda c: F.lpad(F.hex(c), 2, "0")), ""))
+    return out.select("vec_id", code.alias("code"), "error", "label_error", F.lit(orchard_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_secret_scan": op2_secret_scan,
@@ -90,8 +119,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_multiset_fingerprint": op9_multiset_fingerprint,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_block_nearest": op12_block_nearest,
+    "op13_orchard_codes": op13_orchard_codes,
 }
 
+def _orchard_sql() -> str:
+    """Whole numbers by part; each round: nearest entries by arg_min, then the floors of the means; codes at last."""
+    near = """
+        near{r} AS (
+            SELECT vec_id, label, part, arg_min(entry, d * 64 + entry) AS entry, min(d) AS d, any_value(x) AS x FROM (
+                SELECT p.*, b.entry, list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - b.x[i]) * (p.x[i] - b.x[i])))::BIGINT AS d
+                FROM parts p JOIN book{r} b ON b.part = p.part
+            ) GROUP BY vec_id, label, part
+        )"""
+    book = """
+        sums{n} AS (SELECT part, entry, i, floor(sum(x[i])::DECIMAL(38,0) / count(*))::BIGINT AS m FROM near{r}, range(1, (SELECT size + 1 FROM shape)) t(i) GROUP BY part, entry, i),
+        book{n} AS (SELECT b.part, b.entry, coalesce(s.x, b.x) AS x FROM book{r} b LEFT JOIN (SELECT part, entry, list(m ORDER BY i) AS x FROM sums{n} GROUP BY part, entry) s USING (part, entry))"""
+    steps = [near.format(r=0), book.format(n=1, r=0), near.format(r=1), book.format(n=2, r=1), near.format(r=2)]
+    return f"""
+        WITH v AS (
+            SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        shape AS (SELECT max(len(e)) // 16 AS size FROM v),
+        parts AS (SELECT vec_id, label, part, e[part * size + 1 : part * size + size] AS x FROM v, shape, range(16) r(part)),
+        firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < 64),
+        book0 AS (SELECT part, entry, x FROM parts JOIN firsts USING (vec_id)),
+        {",".join(steps)},
+        errors AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY vec_id),
+        flat AS (SELECT part, entry, i, x[i] AS c FROM book2, range(1, (SELECT size + 1 FROM shape)) t(i))
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, i)) FROM flat) AS codebooks_sha256
+        FROM errors
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_poisson_mixing": """
         WITH sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
@@ -113,4 +176,19 @@ ORACLE_SQL: dict[str, str] = {
                md5('7-order:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || n.copy) AS shuffle_key
         FROM documents d JOIN copies c ON c.doc_id IS NOT DISTINCT FROM d.doc_id, LATERAL (SELECT unnest(range(1, c.copies + 1)) AS copy) n
     """,
+    "op12_block_nearest": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   sqrt(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])))) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        ),
+        ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank, vec_id, score FROM pairs)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op13_orchard_codes": _orchard_sql(),
 }
