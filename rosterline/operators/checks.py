@@ -1,4 +1,4 @@
-"""Integrity checks and foreign-key filters (one pass or one join each)."""
+"""Integrity checks (one pass or one join each)."""
 
 from __future__ import annotations
 
@@ -31,12 +31,6 @@ def check_fk(child: DataFrame, parent: DataFrame, child_key: list[str], parent_k
     ).select(F.lit(relation).alias("relation"), "checked", "orphans")
 
 
-def fk_filter(child: DataFrame, parent: DataFrame, key: str = "employee_id") -> tuple[DataFrame, DataFrame]:
-    """``(kept, orphans)``: dependents whose parent exists, and those whose parent does not."""
-    ids = parent.select(key)
-    return child.join(ids, key, "left_semi"), child.join(ids, key, "left_anti")
-
-
 def check_domain(df: DataFrame, column: str, domain: tuple[str, ...], table: str) -> DataFrame:
     """Values outside the allowed set (null passes, as in a CHECK constraint): ``(table_name, column_name, value, n)``."""
     c = F.col(column)

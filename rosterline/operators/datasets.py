@@ -1,7 +1,8 @@
 """The five output datasets built from resolved sheets.
 
 Every dataset keeps ``_ord``: the sheet position its row stands for, so a later last-wins reduction (several rows with
-one target key) can pick the row the reference would have written last.
+one target key) can pick the row the reference would have written last.  Deduplicated ones keep ``_copies``: the rows a
+row stands for, so that dedup statistics are sums over what is written anyway.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def education_history(resolved: DataFrame) -> DataFrame:
 
 def _finalize_jobs(df: DataFrame, status_from_end_date: bool = False) -> DataFrame:
     df = fill_blank(df, "job_title", JOB_TITLE_DEFAULT)
-    kept = keep_first(df, _present(df, JOB_DEDUP_SUBSET), "row_id")
+    kept = keep_first(df, _present(df, JOB_DEDUP_SUBSET), "row_id", copies_as="_copies")
     if "nama" in kept.columns:
         kept = kept.drop("nama")
     status = F.lit(JOB_STATUS)

@@ -30,8 +30,10 @@ def first_non_null(df: DataFrame, keys: list[str], order: list[str | Column], co
     return df.groupBy(*keys).agg(*aggs)
 
 
-def keep_first(df: DataFrame, subset: list[str], order: str | Column = "row_id", keep_order_as: str | None = None) -> DataFrame:
-    """Drop rows repeating an earlier row on ``subset`` (null equals null); the earliest row in ``order`` stays."""
+def keep_first(df: DataFrame, subset: list[str], order: str | Column = "row_id", keep_order_as: str | None = None,
+               copies_as: str | None = None) -> DataFrame:
+    """Drop rows repeating an earlier row on ``subset`` (null equals null); the earliest row in ``order`` stays.
+    ``copies_as``: how many rows it stands for."""
     others = [c for c in df.columns if c not in subset]
     ordering = _c(order)
     aggs = []
@@ -39,12 +41,16 @@ def keep_first(df: DataFrame, subset: list[str], order: str | Column = "row_id",
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_row"))
     if keep_order_as:
         aggs.append(F.min(ordering).alias(keep_order_as))
+    if copies_as:
+        aggs.append(F.count(F.lit(1)).alias(copies_as))
     if not aggs:
         return df.select(*subset).distinct()
     out = df.groupBy(*subset).agg(*aggs)
     sel = [F.col(c) if c in subset else F.col(f"_row.{c}").alias(c) for c in df.columns]
     if keep_order_as:
         sel.append(F.col(keep_order_as))
+    if copies_as:
+        sel.append(F.col(copies_as))
     return out.select(*sel)
 
 
@@ -58,8 +64,9 @@ def last_wins(df: DataFrame, key: list[str], order: str = "_ord") -> DataFrame:
 
 
 def distinct_with_order(df: DataFrame, columns: list[str], order: str | Column = "row_id", order_as: str = "_ord") -> DataFrame:
-    """``SELECT DISTINCT columns`` that also keeps the first position of each distinct row (for later last-wins)."""
-    return df.groupBy(*columns).agg(F.min(_c(order)).alias(order_as))
+    """``SELECT DISTINCT columns`` that also keeps the first position of each distinct row (for later last-wins) and the
+    number of its copies (``_copies``)."""
+    return df.groupBy(*columns).agg(F.min(_c(order)).alias(order_as), F.count(F.lit(1)).alias("_copies"))
 
 
 def duplicate_rows(df: DataFrame, subset: list[str], row_key: str = "row_id") -> DataFrame:

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.operators.cleaning import coerce_to_target, drop_all_null, drop_incomplete_keys
+from rosterline.operators.cleaning import classify
 from rosterline.operators.dedup import last_wins
 from rosterline.operators.headers import project_to_target
-from rosterline.specs import DatasetSpec
+from rosterline.specs import NOW, DatasetSpec
 
 
 def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -27,24 +27,26 @@ def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     ])
 
 
-def prepare_incoming(dataset: DataFrame, spec: DatasetSpec) -> tuple[DataFrame | None, DataFrame | None]:
-    """Transform dataset → typed target rows ready to merge, plus rejected rows.
+def project_incoming(dataset: DataFrame, spec: DatasetSpec) -> DataFrame | None:
+    """Transform dataset → target-named text columns with ``_ord`` and ``_copies``; ``None`` when a key column is absent
+    altogether (the dataset is skipped)."""
+    proj = project_to_target(dataset, spec, extra=("_ord", "_copies"))
+    return proj if all(k in proj.columns for k in spec.key) else None
 
-    Rename through the column map, drop all-null rows and rows with a null key column, coerce types.  ``None`` when a
-    key column is absent altogether (the dataset is skipped).
-    """
-    proj = project_to_target(dataset, spec, extra=("_ord",))
-    target_cols = [c for c in proj.columns if c != "_ord"]
-    if not target_cols or any(k not in target_cols for k in spec.key):
-        return None, None
-    proj = drop_all_null(proj, target_cols)
-    proj = drop_incomplete_keys(proj, spec.key)
-    typed, rejects = coerce_to_target(proj, spec)
-    return typed, rejects
 
+def prepare_incoming(dataset: DataFrame, spec: DatasetSpec, load_date: Column, parents: DataFrame | None = None) -> DataFrame | None:
+    """Typed rows ready to merge: those that ``classify`` has nothing against."""
+    proj = project_incoming(dataset, spec)
+    return None if proj is None else accepted(classify(proj, spec, load_date, parents))
 
-def merge(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str = "_ord") -> DataFrame:
-    """The state after the upsert, with ``_action`` ∈ insert / update / ignore / keep per row."""
+
+def accepted(flagged: DataFrame) -> DataFrame:
+    return flagged.where(F.col("_reason").isNull()).drop("_reason", "_given", "_copies")
+
+
+def merge(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str = "_ord", now: Column | None = None) -> DataFrame:
+    """The state after the upsert, with ``_action`` ∈ insert / update / ignore / keep per row, and ``_before``: the old
+    row where the upsert changed it.  ``now``: the time of the load, for columns that default to it."""
     key = list(spec.key)
     supplied = [c for c in incoming.columns if c != order]
     if order in incoming.columns:
@@ -75,7 +77,8 @@ def merge(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str =
     for f in spec.schema.fields:
         c = f.name
         sc = F.col(f"_s_{c}")
-        default = F.expr(defaults[c]).cast(f.dataType) if c in defaults else F.lit(None).cast(f.dataType)
+        text = defaults.get(c, "NULL")
+        default = (now if now is not None else F.current_timestamp()) if text == NOW else F.expr(text).cast(f.dataType)
         if c in key:
             v = F.when(in_s, sc).otherwise(F.col(f"_i_{c}"))
         elif c in supplied:
@@ -89,7 +92,10 @@ def merge(state: DataFrame, incoming: DataFrame, spec: DatasetSpec, order: str =
         .when(in_i, F.lit("insert"))
         .otherwise(F.lit("keep"))
     )
-    return j.select(*cols, action.alias("_action"))
+    names = spec.target_columns
+    j = j.select(*cols, action.alias("_action"), F.struct(*(F.col(f"_s_{c}").alias(c) for c in names)).alias("_old"))
+    changed = (F.col("_action") == "update") & ~F.struct(*names).eqNullSafe(F.col("_old"))
+    return j.select(*names, "_action", F.when(changed, F.col("_old")).alias("_before"))
 
 
 def append_rows(state: DataFrame, incoming: DataFrame, spec: DatasetSpec) -> DataFrame:

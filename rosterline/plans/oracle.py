@@ -13,6 +13,7 @@ from rosterline.sources.fixtures import duckdb_fixture
 from rosterline.specs import ROADMAP_YEARS, STRIP_CHARS
 
 SALT = "rosterline"
+LOADED = "2026-01-01 00:00:00"  # the time of every load
 STRIP = "(" + " || ".join(f"chr({ord(c)})" for c in STRIP_CHARS) + ")"
 
 RAW_TEXT_COLS = ["tahun", "nik", "nama", "jenis_kelamin", "tanggal_lahir", "subholding", "subco", "job_title",
@@ -62,7 +63,7 @@ def pdate(x: str, past: bool = False) -> str:
     return (
         f"coalesce(CAST(try_strptime({x}, '%Y-%m-%d') AS DATE), CAST(try_strptime({x}, '%Y-%m-%d %H:%M:%S') AS DATE), "
         f"CASE WHEN regexp_full_match({x}, '[0-9]+/[0-9]+/[0-9]{{4}}') THEN CAST(try_strptime({x}, '%d/%m/%Y') AS DATE) END, "
-        + (f"CASE WHEN {yy} > current_date THEN CAST({yy} - INTERVAL 100 YEAR AS DATE) ELSE {yy} END)" if past else f"{yy})")
+        + (f"CASE WHEN {yy} > DATE '{LOADED[:10]}' THEN CAST({yy} - INTERVAL 100 YEAR AS DATE) ELSE {yy} END)" if past else f"{yy})")
     )
 
 
@@ -111,22 +112,6 @@ cte("empty_emp", "SELECT * FROM db_emp_c WHERE false")
 cte("empty_jobs", "SELECT * FROM db_jobs_c WHERE false")
 cte("empty_edu", "SELECT * FROM db_edu_c WHERE false")
 
-cte("miss_rows", f"""
-SELECT nama, 0 AS sheet, row_id FROM raw_g WHERE {missing('nik')} AND nama IS NOT NULL
-UNION ALL
-SELECT nama, 1 AS sheet, row_id FROM ass_c WHERE {missing('nik')} AND nama IS NOT NULL""")
-cte("missing_names", """
-SELECT nama, sheet AS first_sheet, row_id AS first_row_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY nama ORDER BY sheet, row_id) AS rn FROM miss_rows) WHERE rn = 1""")
-
-
-# Numbers that only the assessment has a name for.
-cte("other_names", f"""
-SELECT nik, (list(nama ORDER BY row_id))[1] AS nama FROM ass_c
-WHERE NOT {missing('nik')} AND nama IS NOT NULL AND nik NOT IN (SELECT nik FROM raw_g WHERE NOT {missing('nik')} AND nama IS NOT NULL)
-GROUP BY nik""")
-
-
 def _numbers(emp: str, jobs: str) -> str:
     """k, eid: the state's employee of every number (the smallest id of several)."""
     return f"""
@@ -208,29 +193,41 @@ def _key_on(key: list[str]) -> str:
     return " AND ".join(f"s.{k} = i.{k}" for k in key)
 
 
-def chain(p: str, emp: str, jobs: str, edu: str, counter: str, raw: str = "raw_g", salt: str = SALT) -> None:
-    """Phase 1 → load → phase 2 → load, prefixed ``p``, against the given state tables."""
+def chain(p: str, emp: str, jobs: str, edu: str, counter: str, raw: str = "raw_g", salt: str = SALT, ass: str = "ass_c") -> None:
+    """Phase 1 → load → phase 2 → load, prefixed ``p``, of two sheets against the given state tables."""
+    cte(f"{p}miss_rows", f"""
+SELECT nama, 0 AS sheet, row_id FROM {raw} WHERE {missing('nik')} AND nama IS NOT NULL
+UNION ALL
+SELECT nama, 1 AS sheet, row_id FROM {ass} WHERE {missing('nik')} AND nama IS NOT NULL""")
+    cte(f"{p}missing_names", f"""
+SELECT nama, sheet AS first_sheet, row_id AS first_row_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY nama ORDER BY sheet, row_id) AS rn FROM {p}miss_rows) WHERE rn = 1""")
+    # Numbers that only the assessment has a name for.
+    cte(f"{p}other_names", f"""
+SELECT nik, (list(nama ORDER BY row_id))[1] AS nama FROM {ass}
+WHERE NOT {missing('nik')} AND nama IS NOT NULL AND nik NOT IN (SELECT nik FROM {raw} WHERE NOT {missing('nik')} AND nama IS NOT NULL)
+GROUP BY nik""")
     cte(f"{p}existing", f"""
 SELECT lower(e.fullname) AS name_key,
   coalesce(min(j.employee_no_subholding) FILTER (WHERE NOT starts_with(j.employee_no_subholding, 'unk-')),
            min(j.employee_no_subholding) FILTER (WHERE starts_with(j.employee_no_subholding, 'unk-'))) AS existing_key
 FROM {emp} e JOIN {jobs} j ON e.employee_id = j.employee_id
 WHERE j.employee_no_subholding IS NOT NULL AND j.employee_no_subholding <> ''
-  AND lower(e.fullname) IN (SELECT lower({tr('nama')}) FROM missing_names)
+  AND lower(e.fullname) IN (SELECT lower({tr('nama')}) FROM {p}missing_names)
 GROUP BY 1""")
     cte(f"{p}known", f"""
 SELECT name_key, coalesce(min(k) FILTER (WHERE NOT starts_with(k, 'unk-')), min(k) FILTER (WHERE starts_with(k, 'unk-'))) AS existing_key FROM (
   SELECT lower(e.fullname) AS name_key, j.employee_no_subholding AS k FROM {emp} e JOIN {jobs} j ON e.employee_id = j.employee_id
   WHERE j.employee_no_subholding IS NOT NULL AND j.employee_no_subholding <> ''
   UNION ALL SELECT lower(nama), nik FROM {raw} WHERE NOT {missing('nik')} AND nama IS NOT NULL
-  UNION ALL SELECT lower(nama), nik FROM ass_c WHERE NOT {missing('nik')} AND nama IS NOT NULL)
-WHERE name_key IN (SELECT lower(nama) FROM missing_names) GROUP BY 1""")
+  UNION ALL SELECT lower(nama), nik FROM {ass} WHERE NOT {missing('nik')} AND nama IS NOT NULL)
+WHERE name_key IN (SELECT lower(nama) FROM {p}missing_names) GROUP BY 1""")
     cte(f"{p}assigned", f"""
-SELECT m.nama, x.existing_key AS key FROM missing_names m JOIN {p}known x ON lower({tr('m.nama')}) = x.name_key
+SELECT m.nama, x.existing_key AS key FROM {p}missing_names m JOIN {p}known x ON lower({tr('m.nama')}) = x.name_key
 UNION ALL
 SELECT m.nama, 'unk-' || CAST({counter} + row_number() OVER (ORDER BY m.first_sheet, m.first_row_id) - 1 AS VARCHAR) AS key
-FROM missing_names m WHERE NOT EXISTS (SELECT 1 FROM {p}known x WHERE x.name_key = lower({tr('m.nama')}))""")
-    for name, src, sheet, cols in (("raw_f", raw, 0, RAW_TEXT_COLS), ("ass_f", "ass_c", 1, ASS_TEXT_COLS)):
+FROM {p}missing_names m WHERE NOT EXISTS (SELECT 1 FROM {p}known x WHERE x.name_key = lower({tr('m.nama')}))""")
+    for name, src, sheet, cols in (("raw_f", raw, 0, RAW_TEXT_COLS), ("ass_f", ass, 1, ASS_TEXT_COLS)):
         sel = []
         for c in cols:
             if c == "nik":
@@ -244,7 +241,7 @@ FROM missing_names m WHERE NOT EXISTS (SELECT 1 FROM {p}known x WHERE x.name_key
                 sel.append(f"r.{c}")
         cte(f"{p}{name}", f"""
 SELECT r.row_id, {', '.join(sel)}, {missing('r.nik')} AND r.nama IS NULL AS alone FROM {src} r
-LEFT JOIN {p}assigned a ON r.nama = a.nama LEFT JOIN other_names o ON o.nik = r.nik""")
+LEFT JOIN {p}assigned a ON r.nama = a.nama LEFT JOIN {p}other_names o ON o.nik = r.nik""")
     identities(p, emp, jobs, salt)
     cte(f"{p}raw_r", _resolution(p, f"{p}raw_f", 0, salt))
 
@@ -372,6 +369,11 @@ chain("", "db_emp_c", "db_jobs_c", "db_edu_c", COUNTER)
 # another upload: the same names under other numbers
 cte("raw_b", f"SELECT * REPLACE (CASE WHEN {missing('nik')} THEN nik ELSE 'B' || nik END AS nik) FROM raw_g")
 chain("y_", "st2_emp", "st2_jobs", "st1_edu", _counter("st2_jobs"), "raw_b", "second")
+# two uploads without an assessment, the second of other people
+cte("no_ass", "SELECT * FROM ass_c WHERE false")
+cte("raw_s", "SELECT * REPLACE ('B' || nik AS nik, nama || ' Second' AS nama) FROM raw_g")
+chain("f_", "db_emp_c", "db_jobs_c", "db_edu_c", COUNTER, "raw_g", "a", "no_ass")
+chain("g_", "f_st2_emp", "f_st2_jobs", "f_st1_edu", _counter("f_st2_jobs"), "raw_s", "b", "no_ass")
 chain("x_", "empty_emp", "empty_jobs", "empty_edu", "5001")
 
 _NAMES = [n for n, _ in CTES]
@@ -396,6 +398,8 @@ def build(final: str) -> str:
 # Final queries
 # ---------------------------------------------------------------------------------------------------------------------
 
+TABLES = (("employees", "st2_emp"), ("riwayat_pekerjaan", "st2_jobs"), ("riwayat_pendidikan", "st1_edu"),
+          ("riwayat_assesment", "st2_assess"), ("individual_career_roadmap", "st2_road"))
 JOB_SUBSET = "employee_id, subholding, subco, job_title, tanggal_masuk_kerja"
 
 
@@ -470,7 +474,9 @@ SELECT employee_id, nik, nama, NULL, NULL, subholding, subco, NULL FROM x_p2_emp
     "append_rows": "SELECT * FROM db_jobs_c UNION ALL SELECT " + ", ".join(
         c if c in ("employee_id", "employee_no_subholding", "subholding_code", "company_code", "jabatan", "tanggal_mulai",
                    "tanggal_selesai", "status") else f"CAST(NULL AS VARCHAR) AS {c}" for c in JOB_COLS) + " FROM p1_jobs_t",
-    "default_fill": "SELECT * FROM st2_emp",
+    "default_fill": f"""
+SELECT e.*, CASE WHEN d.employee_id IS NULL THEN '{LOADED}' END AS created_at, CASE WHEN d.employee_id IS NULL THEN '{LOADED}' END AS updated_at
+FROM st2_emp e LEFT JOIN db_emp_c d ON d.employee_id = e.employee_id""",
     "upsert_stats": " UNION ALL ".join([
         _upsert_stats("employees", "p1_emp_t",
                       "SELECT i.employee_id, s.employee_id IS NOT NULL AS m FROM p1_emp_t i "
@@ -484,12 +490,10 @@ SELECT employee_id, nik, nama, NULL, NULL, subholding, subco, NULL FROM x_p2_emp
                       do_nothing=True),
     ]),
     "cascade_delete": " UNION ALL ".join(
-        f"""SELECT '{t}' AS table_name, CAST(count(*) FILTER (WHERE employee_id IN (SELECT employee_id FROM doomed)) AS BIGINT) AS deleted,
-  CAST(count(*) FILTER (WHERE employee_id IS NULL OR employee_id NOT IN (SELECT employee_id FROM doomed)) AS BIGINT) AS remaining
-FROM {src}""".replace("doomed", "(SELECT employee_id FROM st1_emp WHERE fullname ILIKE '%customer#%7')")
-        for t, src in (("individual_career_roadmap", "(SELECT * FROM empty_emp)"),
-                       ("riwayat_assesment", "(SELECT * FROM empty_emp)"),
-                       ("riwayat_pendidikan", "st1_edu"), ("riwayat_pekerjaan", "st1_jobs"), ("employees", "st1_emp"))
+        f"""SELECT '{t}' AS table_name, CAST(count(*) FILTER (WHERE doomed) AS BIGINT) AS deleted, CAST(count(*) FILTER (WHERE NOT doomed) AS BIGINT) AS remaining,
+  CAST(count(*) FILTER (WHERE doomed) AS BIGINT) AS binned
+FROM (SELECT employee_id IN (SELECT employee_id FROM st2_emp WHERE fullname ILIKE '%customer#%7') AS doomed FROM {src})"""
+        for t, src in TABLES
     ),
     "fk_filter": " UNION ALL ".join(
         f"""SELECT '{t}' AS dataset, CAST(count(*) FILTER (WHERE employee_id IN (SELECT employee_id FROM db_employees)) AS BIGINT) AS kept,
@@ -533,7 +537,13 @@ SELECT 'raw_data' AS table_name, 'jenis_kelamin' AS column_name, jenis_kelamin A
 WHERE jenis_kelamin IS NOT NULL AND jenis_kelamin NOT IN ('Male', 'Female') GROUP BY jenis_kelamin
 UNION ALL
 SELECT 'employees', 'gender', gender, {cnt()} FROM st1_emp
-WHERE gender IS NOT NULL AND gender NOT IN ('Male', 'Female') GROUP BY gender""",
+WHERE gender IS NOT NULL AND gender NOT IN ('Male', 'Female') GROUP BY gender
+UNION ALL
+SELECT 'riwayat_pekerjaan', 'status', status, {cnt()} FROM st1_jobs
+WHERE status IS NOT NULL AND status NOT IN ('active', 'inactive') GROUP BY status
+UNION ALL
+SELECT 'riwayat_pendidikan', 'tingkat_pendidikan', tingkat_pendidikan, {cnt()} FROM st1_edu
+WHERE tingkat_pendidikan IS NOT NULL AND tingkat_pendidikan NOT IN ('S1', 'S2') GROUP BY tingkat_pendidikan""",
     "check_not_null": " UNION ALL ".join(
         f"SELECT 'raw_data' AS table_name, '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls FROM raw_c"
         for c in ("nik", "nama", "tanggal_masuk_kerja")
@@ -564,8 +574,17 @@ UNION ALL SELECT 'individual_career_roadmap', {cnt()} FROM st2_road""",
 
 # A restored state is the state before the delete, a streamed upload ends where a direct one does, a second upload of the
 # same sheets changes nothing, an export holds every row of the merged datasets.
-FINAL["recycle_restore"] = FINAL["upsert_state"]
-FINAL["stream_upsert"] = FINAL["default_fill"]
+_cells = lambda *cols: "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols) + ")"
+FINAL["recycle_restore"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, employee_id, {_cells(*cols)} AS cells FROM {src}"
+    for (t, src), cols in zip(TABLES, (
+        ("fullname", "birth_date", "gender"),
+        ("subholding_code", "company_code", "jabatan", "tanggal_mulai", "employee_no_subholding", "tanggal_selesai", "status"),
+        ("tingkat_pendidikan", "universitas", "jurusan"), ("assesment_year", "overal_score"), ("year", "planned_position")))
+)
+FINAL["stream_upsert"] = "SELECT * FROM st2_emp"
+FINAL["upload_files"] = FINAL["pipeline_counts"]
+FINAL["stream_with_bad_upload"] = FINAL["pipeline_counts"] + " UNION ALL SELECT 'quarantine', CAST(2 AS BIGINT)"
 FINAL["reload_noop"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST((SELECT count(*) FROM {a}) AS BIGINT) AS rows_first, "
     f"CAST((SELECT count(*) FROM {a}) AS BIGINT) AS rows_second, CAST(0 AS BIGINT) AS changed"
@@ -612,6 +631,73 @@ FINAL["load_rejects"] = " UNION ALL ".join(
         ("individual_career_roadmap", "0", f"{_n('p2_roadmap')} - {_n('p2_road_t')}"),
     )
 )
+# Where every given row went.
+_PLACES = (
+    ("employees", f"{_n('p1_employees')} + {_n('p2_employees')}", f"{_n('p1_emp_t')} + {_n('p2_emp_t')}", f"{_n('p1_emp_t')} + {_n('p2_emp_t')}", "0"),
+    ("riwayat_pekerjaan", f"{_n('p1_jobs')} + {_n('p2_jobs')}", f"{_n('p1_jobs_t')} + {_n('p2_jobs_t')}", f"{_n('p1_jobs_w')} + {_n('p2_jobs_w')}",
+     f"{_n('p1_jobs')} - {_n('p1_jobs ' + _WHOLE_JOB)} + {_n('p2_jobs')} - {_n('p2_jobs ' + _WHOLE_JOB)}"),
+    ("riwayat_pendidikan", _n("p1_education"), _n("p1_edu_t"), f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(EDU_KEY)} FROM p1_edu_t))",
+     f"{_n('p1_education')} - {_n('p1_edu_tv')}"),
+    ("riwayat_assesment", _n("p2_assess"), _n(_YEARS + " WHERE y IS NOT NULL AND employee_id IN (SELECT employee_id FROM st2_emp)"), _n("st2_assess"),
+     _n("p2_assess WHERE asessment_year IS NULL")),
+    ("individual_career_roadmap", _n("p2_roadmap"), _n("p2_road_t"), _n("st2_road"), "0"),
+)
+FINAL["load_accounting"] = "SELECT *, CAST(incomplete + rejected + orphaned AS BIGINT) AS reject_rows, CAST(0 AS BIGINT) AS unaccounted FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, CAST({given} AS BIGINT) AS given, CAST({loaded} AS BIGINT) AS loaded, CAST({valid} - ({loaded}) AS BIGINT) AS collapsed, "
+    f"CAST(0 AS BIGINT) AS empty, CAST({incomplete} AS BIGINT) AS incomplete"
+    for t, given, valid, loaded, incomplete in _PLACES
+) + ") JOIN (" + FINAL["load_rejects"] + ") USING (dataset)"
+
+
+def _refused(t: str, src: str, emp: str, items: list[str], incomplete: str, rejected: str, given: str = "TRUE") -> str:
+    return f"""
+SELECT '{t}' AS dataset, CASE WHEN {incomplete} THEN 'incomplete' WHEN {rejected} THEN 'rejected' ELSE 'orphaned' END AS reason, employee_id, {_cells(*items) if items else "''"} AS item
+FROM {src} WHERE ({incomplete}) OR ({rejected}) OR employee_id NOT IN (SELECT employee_id FROM {emp})"""
+
+
+_JOB_ITEMS = ["subholding", "subco", "job_title", "tanggal_masuk_kerja"]
+_any_null = lambda cols: " OR ".join(f"{c} IS NULL" for c in cols)
+_bad_date = lambda c, past=False: f"({c} IS NOT NULL AND {pdate(c, past=past)} IS NULL)"
+_NEVER = "employee_id IS NULL"
+FINAL["reject_rows"] = " UNION ALL ".join([
+    f"SELECT 'employees' AS dataset, 'rejected' AS reason, employee_id, '' AS item FROM p1_employees WHERE nama IS NULL OR {_bad_date('tanggal_lahir', True)}",
+    "SELECT 'employees', 'rejected', employee_id, '' FROM p2_employees WHERE nama IS NULL",
+    _refused("riwayat_pekerjaan", "p1_jobs", "st1_emp", _JOB_ITEMS, _any_null(_JOB_ITEMS), f"{_bad_date('tanggal_masuk_kerja')} OR {_bad_date('tanggal_resign')}"),
+    _refused("riwayat_pekerjaan", "p2_jobs", "st2_emp", _JOB_ITEMS, _any_null(_JOB_ITEMS), _bad_date("tanggal_masuk_kerja")),
+    _refused("riwayat_pendidikan", "p1_education", "st1_emp", EDU_KEY[1:], _any_null(EDU_KEY[1:]), _NEVER),
+    _refused("riwayat_assesment", "p2_assess", "st2_emp", ["asessment_year"], "asessment_year IS NULL", "TRY_CAST(asessment_year AS SMALLINT) IS NULL"),
+    _refused("individual_career_roadmap", "p2_roadmap", "st2_emp", ["year"], _NEVER, _NEVER),
+])
+FINAL["dedup_stats"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, CAST({_n(sheet)} AS BIGINT) AS rows_in, CAST({_n(full)} AS BIGINT) AS non_empty, "
+    f"CAST({_n(full)} - {_n(out)} AS BIGINT) AS dropped, CAST({_n(out)} AS BIGINT) AS rows_out"
+    for t, sheet, full, out in (
+        ("riwayat_pekerjaan", "raw_r", "raw_r", "p1_jobs"),
+        ("riwayat_pendidikan", "raw_r", "raw_r WHERE NOT (tingkat_pendidikan IS NULL AND universitas IS NULL AND jurusan IS NULL)", "p1_education"),
+        ("riwayat_assesment", "ass_c", "ass_r", "p2_assess"))
+)
+FINAL["gender_defaults"] = f"""
+SELECT upper({tr('jenis_kelamin')}) AS value, {cnt()} AS n FROM raw_c
+WHERE jenis_kelamin IS NULL OR upper({tr('jenis_kelamin')}) NOT IN ('LAKI-LAKI', 'PEREMPUAN', 'L', 'P', 'M', 'F') GROUP BY 1"""
+FINAL["ingest_files"] = "SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, " + ", ".join(
+    f"replace({c}, 'Univ ', 'Univ \"of\"' || chr(10)) AS {c}" if c == "universitas" else c for c in RAW_TEXT_COLS) + " FROM raw_c"
+
+
+def _feed(owner: str, p: str, emp: str, jobs: str, edu: str) -> str:
+    """Numbers of an upload's changes against the tables before it."""
+    changed = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in EMP_COLS)
+    return f"""
+SELECT '{owner}' AS upload_id, 'employees' AS entity_type, CASE WHEN b._in IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action_type, a.employee_id AS entity_id
+FROM {p}st2_emp a LEFT JOIN (SELECT *, TRUE AS _in FROM {emp}) b ON a.employee_id = b.employee_id WHERE b._in IS NULL OR {changed}
+UNION ALL SELECT '{owner}', 'riwayat_pekerjaan', 'INSERT', concat_ws('|', {', '.join(f'CAST(i.{k} AS VARCHAR)' for k in JOB_KEY)}) FROM {p}p1_jobs_w i
+  WHERE NOT EXISTS (SELECT 1 FROM {jobs} s WHERE {_key_on(JOB_KEY)})
+UNION ALL SELECT DISTINCT '{owner}', 'riwayat_pendidikan', 'INSERT', concat_ws('|', {', '.join('i.' + k for k in EDU_KEY)}) FROM {p}p1_edu_t i
+  WHERE NOT EXISTS (SELECT 1 FROM {edu} s WHERE {_key_on(EDU_KEY)})"""
+
+
+FINAL["feed_after_failure"] = f"""
+SELECT upload_id, entity_type, action_type, {cnt()} AS n, {cnt('DISTINCT entity_id')} AS entities FROM (
+{_feed("a", "f_", "db_emp_c", "db_jobs_c", "db_edu_c")} UNION ALL {_feed("b", "g_", "f_st2_emp", "f_st2_jobs", "f_st1_edu")}) GROUP BY upload_id, entity_type, action_type"""
 # A roster without names gives no valid master row, so nothing else is loaded.
 FINAL["gate_closed"] = " UNION ALL ".join(
     f"SELECT '{t}' AS dataset, '{status}' AS status, {cnt()} AS rows_in_table FROM {src}"

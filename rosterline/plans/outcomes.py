@@ -10,15 +10,27 @@ STATUSES = ("failed", "loaded", "skipped", "empty", "absent")
 
 @dataclass(frozen=True)
 class Outcome:
-    """loaded: rows went in; empty: no valid row; absent: a key column is missing; skipped: a parent isn't there."""
+    """loaded: rows went in; empty: no valid row; absent: a key column is missing; skipped: a parent isn't there.
+
+    given = rows_upserted + ignored (distinct keys) + collapsed (rows of a key beyond its last) + empty + incomplete +
+    rejected + orphaned; before_dedup: the sheet rows that the given ones stand for.
+    """
 
     dataset: str
     status: str = "empty"
     rows_upserted: int = 0
+    before_dedup: int = 0
+    given: int = 0
+    ignored: int = 0
+    collapsed: int = 0
+    empty: int = 0
+    incomplete: int = 0
     rejected: int = 0
     orphaned: int = 0
     error: str | None = None
 
+    COUNTS = ("rows_upserted", "before_dedup", "given", "ignored", "collapsed", "empty", "incomplete", "rejected", "orphaned")
+
     @property
     def success(self) -> bool:
         return self.status == "loaded"
@@ -29,9 +41,7 @@ class Outcome:
         return replace(
             self,
             status=min(self.status, later.status, key=STATUSES.index),
-            rows_upserted=self.rows_upserted + later.rows_upserted,
-            rejected=self.rejected + later.rejected,
-            orphaned=self.orphaned + later.orphaned,
+            **{c: getattr(self, c) + getattr(later, c) for c in self.COUNTS},
             error="; ".join(errors) or None,
         )
 

@@ -7,17 +7,20 @@ rows for people without any, assessments and the career roadmap, and loads them.
 
 All transforms are lazy DataFrame plans.  Lineage is cut where one result feeds several (the resolved sheets) and at
 every commit: with a ``SnapshotStore`` a commit is a versioned Parquet write the next phase reads back, with a
-``LazyState`` (query registry, tests) it is a checkpoint in the shared folder.
+``LazyState`` (query registry, tests) it is a staged copy in the shared folder.  A loaded dataset is computed once: rows
+to load and rows with a reason against them are written together, and all counts are taken from what is written.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.operators.cleaning import normalize_gender_column
+from rosterline.operators.cleaning import classify, normalize_gender_column
 from rosterline.operators.datasets import (
     assessment_history,
     career_roadmap,
@@ -30,21 +33,55 @@ from rosterline.operators.datasets import (
 from rosterline.operators.headers import conform_headers
 from rosterline.operators.keys import ASSESSMENT, ROSTER, next_counter_value
 from rosterline.operators.resolve import attach, cell_pairs, fill_pairs, identify, refresh
-from rosterline.operators.upsert import merge, prepare_incoming
+from rosterline.operators.upsert import accepted, merge, project_incoming
 from rosterline.plans.outcomes import Outcome, UploadReport, report
 from rosterline.session import cut
-from rosterline.sources.sheets import clean_cells
 from rosterline.sources.snapshots import LazyState, SnapshotStore, StateStore
-from rosterline.specs import ASSESSMENT_COLUMNS, EDUCATION, EMPLOYEES, JOBS, LOAD_ORDER, MASTER, ROSTER_COLUMNS, UNK_DEFAULT_START, DatasetSpec
+from rosterline.specs import (
+    ASSESSMENT_COLUMNS,
+    ASSESSMENTS,
+    EDUCATION,
+    EMPLOYEES,
+    JOBS,
+    LOAD_ORDER,
+    MASTER,
+    ROADMAP,
+    ROSTER_COLUMNS,
+    UNK_DEFAULT_START,
+    DatasetSpec,
+)
 
 DEFAULT_SALT = "rosterline"
 
 
+#: A dataset, or what builds it: an error in building one table is that table's own.
+Dataset = DataFrame | Callable[[], DataFrame]
+
+
+@dataclass(frozen=True)
+class Clock:
+    """The time of a load: one value for all its rows, also when tasks run again."""
+
+    at: datetime
+
+    @classmethod
+    def now(cls) -> Clock:
+        return cls(datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0))
+
+    @property
+    def time(self) -> Column:
+        return F.lit(self.at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+
+    @property
+    def date(self) -> Column:
+        return F.lit(self.at.strftime("%Y-%m-%d")).cast("date")
+
+
 @dataclass
 class Phase1:
     """identities: the upload's distinct (number, name) cells with filled number and name, employee_id and match_kind."""
 
-    datasets: dict[str, DataFrame]
+    datasets: dict[str, Dataset]
     assessment: DataFrame
     roster_resolved: DataFrame
     identities: DataFrame
@@ -71,9 +108,9 @@ def phase1(raw: DataFrame, assessment: DataFrame, state: StateStore, start_count
     # The resolved roster feeds three datasets, the identities both sheets: compute each once.
     raw_r = cut(attach(raw, ids, ROSTER, salt))
     datasets = {
-        EMPLOYEES.name: employees_from_roster(raw_r),
-        EDUCATION.name: education_history(raw_r),
-        JOBS.name: job_history(raw_r, status_from_end_date=status_from_end_date),
+        EMPLOYEES.name: lambda: employees_from_roster(raw_r),
+        EDUCATION.name: lambda: education_history(raw_r),
+        JOBS.name: lambda: job_history(raw_r, status_from_end_date=status_from_end_date),
     }
     return Phase1(datasets, assessment, raw_r, ids, salt)
 
@@ -84,44 +121,50 @@ def resolve_assessment(p1: Phase1, state: StateStore) -> DataFrame:
     return cut(attach(p1.assessment, ids, ASSESSMENT, p1.salt))
 
 
-def phase2(p1: Phase1, state: StateStore) -> dict[str, DataFrame]:
+def phase2(p1: Phase1, state: StateStore) -> dict[str, Dataset]:
+    """The assessment's datasets.  People and jobs new to the state are those new after phase 1, whenever they are built."""
     ass_r = resolve_assessment(p1, state)
+    emp, jobs = state.read(EMPLOYEES.name), state.read(JOBS.name)
     return {
-        EMPLOYEES.name: new_employees(ass_r, state.read(EMPLOYEES.name)),
-        JOBS.name: job_history_supplement(ass_r, state.read(JOBS.name)),
-        "riwayat_assesment": assessment_history(ass_r),
-        "individual_career_roadmap": career_roadmap(ass_r),
+        EMPLOYEES.name: lambda: new_employees(ass_r, emp),
+        JOBS.name: lambda: job_history_supplement(ass_r, jobs),
+        ASSESSMENTS.name: lambda: assessment_history(ass_r),
+        ROADMAP.name: lambda: career_roadmap(ass_r),
     }
 
 
-def fk_split(typed: DataFrame, employees: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Dependents whose employee exists, and the orphans (reported, not loaded)."""
-    ids = employees.select("employee_id")
-    return typed.join(ids, "employee_id", "left_semi"), typed.join(ids, "employee_id", "left_anti")
+def built(dataset: Dataset) -> DataFrame:
+    return dataset if isinstance(dataset, DataFrame) else dataset()
 
 
-def _load_one(state: StateStore, dataset: DataFrame, spec: DatasetSpec, evaluate: bool) -> Outcome:
-    """Coerces, filters by parents, merges and commits one dataset; its input is computed once, for rows and counts."""
-    typed, rejects = prepare_incoming(dataset, spec)
-    if typed is None:
+def _load_one(state: StateStore, dataset: Dataset, spec: DatasetSpec, clock: Clock, owner: str, evaluate: bool) -> Outcome:
+    """Classifies, merges and commits one dataset; with ``evaluate`` it is written once, for rows, rejects and counts."""
+    proj = project_incoming(built(dataset), spec)
+    if proj is None:
         return Outcome(spec.name, "absent")
-    orphans = None
-    if spec.parents:
-        typed, orphans = fk_split(typed, state.read(spec.parents[0]))
-    committed = state.commit(spec.name, merge(state.read(spec.name), typed, spec))
+    parents = state.read(spec.parents[0]) if spec.parents else None
+    flagged = classify(proj, spec, clock.date, parents)
     if not evaluate:
+        state.commit(spec.name, merge(state.read(spec.name), accepted(flagged), spec, now=clock.time))
         return Outcome(spec.name, "loaded")
+    flagged = state.write_given(spec.name, flagged, owner)
+    copies = F.col("_copies") if "_copies" in flagged.columns else F.lit(1)
+    seen = {r["_reason"]: r for r in flagged.groupBy("_reason").agg(F.count(F.lit(1)).alias("n"), F.sum(copies).alias("m")).collect()}
+    out = Outcome(spec.name, "empty", given=sum(r["n"] for r in seen.values()), before_dedup=sum(r["m"] for r in seen.values()),
+                  **{reason: r["n"] for reason, r in seen.items() if reason})
+    if None not in seen:
+        return out
+    rows = accepted(flagged)
+    touched = state.touched(rows)
+    merged = merge(state.read_buckets(spec.name, touched), rows, spec, now=clock.time)
+    committed = state.commit(spec.name, merged, touched, owner)
     done = {r["_action"]: r["n"] for r in committed.groupBy("_action").agg(F.count(F.lit(1)).alias("n")).collect()}
-    lost = rejects.select(F.lit("rejected").alias("_why"))
-    if orphans is not None:
-        lost = lost.unionByName(orphans.select(F.lit("orphaned").alias("_why")))
-    why = {r["_why"]: r["n"] for r in lost.groupBy("_why").agg(F.count(F.lit(1)).alias("n")).collect()}
-    changed = done.get("insert", 0) + done.get("update", 0)
-    status = "loaded" if changed + done.get("ignore", 0) else "empty"
-    return Outcome(spec.name, status, changed, why.get("rejected", 0), why.get("orphaned", 0))
+    keys = {a: done.get(a, 0) for a in ("insert", "update", "ignore")}
+    return replace(out, status="loaded", rows_upserted=keys["insert"] + keys["update"], ignored=keys["ignore"], collapsed=seen[None]["n"] - sum(keys.values()))
 
 
-def load(state: StateStore, datasets: dict[str, DataFrame], present: tuple[str, ...] = (), evaluate: bool = True) -> dict[str, Outcome]:
+def load(state: StateStore, datasets: dict[str, Dataset], present: tuple[str, ...] = (), evaluate: bool = True,
+         clock: Clock | None = None, owner: str = DEFAULT_SALT) -> dict[str, Outcome]:
     """Loads datasets along the parent graph of their specs; every table's commit stands on its own.
 
     A table whose parent neither loaded here nor is ``present`` already is skipped, and says because of which.  An
@@ -129,6 +172,7 @@ def load(state: StateStore, datasets: dict[str, DataFrame], present: tuple[str,
     every commit for loaded.
     """
     outcomes: dict[str, Outcome] = {}
+    clock = clock or Clock.now()
 
     def settle(spec: DatasetSpec) -> Outcome:
         for parent in spec.parents:
@@ -137,7 +181,7 @@ def load(state: StateStore, datasets: dict[str, DataFrame], present: tuple[str,
                 cause = f": {before.error}" if before and before.error else ""
                 return Outcome(spec.name, "skipped", error=f"{parent} holds no loaded rows{cause}")
         try:
-            return _load_one(state, datasets[spec.name], spec, evaluate)
+            return _load_one(state, datasets[spec.name], spec, clock, owner, evaluate)
         except Exception as e:  # noqa: BLE001 - kept in the outcome, so the report and whoever marks an upload see it
             return Outcome(spec.name, "failed", error=str(e))
 
@@ -148,25 +192,27 @@ def load(state: StateStore, datasets: dict[str, DataFrame], present: tuple[str,
 
 
 def upload(spark: SparkSession, store: SnapshotStore | LazyState, raw: DataFrame, assessment: DataFrame,
-           upload_id: str = DEFAULT_SALT, evaluate: bool = True) -> UploadReport:
+           upload_id: str = DEFAULT_SALT, evaluate: bool = True, clock: Clock | None = None) -> UploadReport:
     """One upload (L5): counter snapshot → phase 1 → load → phase 2 on the refreshed state → load → report.
 
     ``upload_id`` salts generated ids: the same upload gives the same ids again, another upload doesn't take its
-    one-word names for the same people.  Without a loaded master there is no second phase.
+    one-word names for the same people.  Without a loaded master there is no second phase.  ``clock``: the time that
+    inserted rows get and that decides the century of birth dates (default: now).
     """
+    clock = clock or Clock.now()
     counter = next_counter_value(store.read(JOBS.name))
     p1 = phase1(raw, assessment, store, counter, upload_id)
-    first = load(store, p1.datasets, evaluate=evaluate)
+    first = load(store, p1.datasets, evaluate=evaluate, clock=clock, owner=upload_id)
     if not first[MASTER].success:
         return report(first)
-    return report(first, load(store, phase2(p1, store), present=(MASTER,), evaluate=evaluate))
+    return report(first, load(store, phase2(p1, store), present=(MASTER,), evaluate=evaluate, clock=clock, owner=upload_id))
 
 
 def upload_sheets(spark: SparkSession, store: SnapshotStore | LazyState, raw: DataFrame, assessment: DataFrame,
-                  upload_id: str, evaluate: bool = True) -> UploadReport:
-    """``upload`` of sheets as they come, with workbook headers and uncleaned cells."""
-    raw, assessment = conform_sheets(clean_cells(raw), clean_cells(assessment))
-    return upload(spark, store, cut(raw), cut(assessment), upload_id, evaluate)
+                  upload_id: str, evaluate: bool = True, clock: Clock | None = None) -> UploadReport:
+    """``upload`` of sheets as ``sources.sheets.read_workbook`` gives them: workbook headers, numbered rows."""
+    raw, assessment = conform_sheets(raw, assessment)
+    return upload(spark, store, cut(raw), cut(assessment), upload_id, evaluate, clock)
 
 
 def transform_only(spark: SparkSession, raw: DataFrame, assessment: DataFrame, share_state: bool = True,
@@ -183,7 +229,8 @@ def transform_only(spark: SparkSession, raw: DataFrame, assessment: DataFrame, s
         p2 = phase2(p1, state)
     else:
         p2 = phase2(p1, LazyState(spark))
-    merged = dict(p1.datasets)
-    for name, df in p2.items():
+    merged = {name: built(d) for name, d in p1.datasets.items()}
+    for name, d in p2.items():
+        df = built(d)
         merged[name] = merged[name].unionByName(df, allowMissingColumns=True) if name in merged else df
     return merged

@@ -7,14 +7,15 @@ query runs over whole tables.  Helper columns (``_ord``, ``_action``) never leav
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.functions.dates import parse_date
 from rosterline.functions.text import blank_to_default, is_missing, normalize_gender, strip_ws, token_count
-from rosterline.operators import audit, checks
-from rosterline.operators.cleaning import drop_all_null, drop_incomplete_keys, fill_blank
+from rosterline.operators import audit, checks, recycle
+from rosterline.operators.cleaning import classify, defaulted_genders, drop_all_null, drop_incomplete_keys, fill_blank
 from rosterline.operators.datasets import JOB_DEDUP_SUBSET, golden_record as golden
 from rosterline.operators.dedup import duplicate_rows as dup_rows
 from rosterline.operators.headers import conform_headers, project_to_target
@@ -23,22 +24,35 @@ from rosterline.operators.keys import next_counter as counter_df
 from rosterline.operators.keys import next_counter_value
 from rosterline.operators.resolve import cell_pairs, match_stats as stats_by_kind
 from rosterline.operators.resolve import state_lookup as lookup_rows
-from rosterline.operators.upsert import append_rows as append, conform, merge, prepare_incoming, upsert_stats as stats
+from rosterline.operators.upsert import append_rows as append, conform, merge, prepare_incoming, project_incoming, upsert_stats as stats
 from rosterline.plans.pipeline import (
     DEFAULT_SALT,
-    fk_split,
+    Clock,
+    built,
     load,
     phase1,
     phase2,
     resolve_assessment,
     transform_only,
     upload,
+    upload_sheets,
 )
 from rosterline.session import cut, scratch_path
 from rosterline.sources.fixtures import Fixtures
-from rosterline.sources.sheets import clean_cells
+from rosterline.sources.sheets import clean_cells, read_workbook, write_workbook
 from rosterline.sources.snapshots import LazyState, SnapshotStore
-from rosterline.specs import ASSESSMENTS, EDUCATION, EMPLOYEES, GENDER_DOMAIN, JOBS, ROADMAP, ROSTER_COLUMNS, SPECS
+from rosterline.specs import (
+    ASSESSMENT_COLUMNS,
+    ASSESSMENTS,
+    EDUCATION,
+    EMPLOYEES,
+    GENDER_DOMAIN,
+    JOB_STATUS_DOMAIN,
+    JOBS,
+    ROADMAP,
+    ROSTER_COLUMNS,
+    SPECS,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +60,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 DELETE_PATTERN = "%customer#%7"
 COUNT_PATTERN = "vendor %"
 
+# The time of every load here (it decides the century of birth dates, so the oracle states it too).
+CLOCK = Clock(datetime(2026, 1, 1))
+
 # Workbook spellings used to check header matching (upper/lower case, padding, a format hint after a newline or in
 # parentheses, one column the roster does not define).
 WORKBOOK_HEADERS = {
@@ -80,9 +97,16 @@ class Upload:
         self.raw = cut(clean_cells(self.fx.raw_data))
         self.ass = cut(clean_cells(self.fx.assesment))
         self._p1 = None
+        self._built: dict[tuple[int, str], DataFrame] = {}
         self._state = None
         self._p2 = None
 
+    def dataset(self, phase: int, name: str) -> DataFrame:
+        """One dataset of a phase, as the phase builds it."""
+        if (phase, name) not in self._built:
+            self._built[phase, name] = built((self.p1.datasets if phase == 1 else self.p2)[name])
+        return self._built[phase, name]
+
     def db_state(self) -> LazyState:
         return LazyState(self.spark, {
             EMPLOYEES.name: self.fx.db_employees,
@@ -103,7 +127,7 @@ class Upload:
     def state_after_p1(self) -> LazyState:
         p1 = self.p1
         if not getattr(self, "_loaded1", False):
-            load(self._state, p1.datasets, evaluate=False)
+            load(self._state, p1.datasets, evaluate=False, clock=CLOCK)
             self._loaded1 = True
         return self._state
 
@@ -117,11 +141,19 @@ class Upload:
     def state_after_p2(self) -> LazyState:
         p2 = self.p2
         if not getattr(self, "_loaded2", False):
-            load(self._state, p2, present=(EMPLOYEES.name,), evaluate=False)
+            load(self._state, p2, present=(EMPLOYEES.name,), evaluate=False, clock=CLOCK)
             self._loaded2 = True
         return self._state
 
 
+STAMPS = ("created_at", "updated_at")
+
+
+def _rows(state, spec) -> DataFrame:
+    """A state table without the times of its rows."""
+    return state.read(spec.name).drop(*STAMPS)
+
+
 def _no_ord(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
@@ -169,7 +201,7 @@ def q_target_projection(spark, sf_dir):
 
 
 def q_key_complete(spark, sf_dir):
-    jobs = project_to_target(Upload(spark, sf_dir).p1.datasets[JOBS.name], JOBS)
+    jobs = project_to_target(Upload(spark, sf_dir).dataset(1, JOBS.name), JOBS)
     return drop_incomplete_keys(drop_all_null(jobs), JOBS.key)
 
 
@@ -177,7 +209,7 @@ def q_date_coerce(spark, sf_dir):
     raw = clean_cells(Fixtures(spark, sf_dir).raw_data)
     return raw.select(
         "row_id",
-        parse_date("tanggal_lahir", latest=F.current_date()).alias("birth_date"),
+        parse_date("tanggal_lahir", latest=CLOCK.date).alias("birth_date"),
         parse_date("tanggal_masuk_kerja").alias("tanggal_mulai"),
         parse_date("tanggal_resign").alias("tanggal_selesai"),
     )
@@ -204,15 +236,15 @@ def q_golden_record(spark, sf_dir):
 
 
 def q_employees_from_roster(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p1.datasets[EMPLOYEES.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(1, EMPLOYEES.name))
 
 
 def q_education_history(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p1.datasets[EDUCATION.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(1, EDUCATION.name))
 
 
 def q_job_history(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p1.datasets[JOBS.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(1, JOBS.name))
 
 
 def q_duplicate_rows(spark, sf_dir):
@@ -290,19 +322,19 @@ def q_match_stats(spark, sf_dir):
 
 
 def q_new_employees(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p2[EMPLOYEES.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(2, EMPLOYEES.name))
 
 
 def q_job_history_supplement(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p2[JOBS.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(2, JOBS.name))
 
 
 def q_assessment_history(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p2[ASSESSMENTS.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(2, ASSESSMENTS.name))
 
 
 def q_career_roadmap(spark, sf_dir):
-    return _no_ord(Upload(spark, sf_dir).p2[ROADMAP.name])
+    return _no_ord(Upload(spark, sf_dir).dataset(2, ROADMAP.name))
 
 
 def q_merge_phases(spark, sf_dir):
@@ -317,7 +349,7 @@ def q_merge_phases(spark, sf_dir):
 
 
 def q_upsert_state(spark, sf_dir):
-    return Upload(spark, sf_dir).state_after_p1.read(EMPLOYEES.name)
+    return _rows(Upload(spark, sf_dir).state_after_p1, EMPLOYEES)
 
 
 def q_insert_ignore(spark, sf_dir):
@@ -325,19 +357,19 @@ def q_insert_ignore(spark, sf_dir):
 
 
 def _typed_p1(u: Upload, spec) -> DataFrame:
-    typed, _ = prepare_incoming(u.p1.datasets[spec.name], spec)
-    if spec.name != EMPLOYEES.name:
-        typed, _ = fk_split(typed, u.state_after_p1.read(EMPLOYEES.name))
-    return typed
+    parents = u.state_after_p1.read(EMPLOYEES.name) if spec.parents else None
+    return prepare_incoming(u.dataset(1, spec.name), spec, CLOCK.date, parents)
 
 
 def q_append_rows(spark, sf_dir):
     u = Upload(spark, sf_dir)
-    return append(u.fx.db_jobs, _no_ord(_typed_p1(u, JOBS)), JOBS)
+    return append(u.fx.db_jobs, _no_ord(_typed_p1(u, JOBS)), JOBS).drop(*STAMPS)
 
 
 def q_default_fill(spark, sf_dir):
-    return Upload(spark, sf_dir).state_after_p2.read(EMPLOYEES.name)
+    """People's values and times: rows that the load inserts take the defaults and the clock, others keep what they have."""
+    emp = Upload(spark, sf_dir).state_after_p2.read(EMPLOYEES.name)
+    return emp.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in STAMPS})
 
 
 def q_upsert_stats(spark, sf_dir):
@@ -346,10 +378,8 @@ def q_upsert_stats(spark, sf_dir):
     parts = []
     # Load order of phase 1, each dataset against the state the previous commit left.
     for spec in (EMPLOYEES, JOBS, EDUCATION):
-        typed, _ = prepare_incoming(u.p1.datasets[spec.name], spec)
-        if spec.name != EMPLOYEES.name:
-            typed, _ = fk_split(typed, state.read(EMPLOYEES.name))
-        merged = merge(state.read(spec.name), typed, spec)
+        typed = cut(prepare_incoming(u.dataset(1, spec.name), spec, CLOCK.date, state.read(EMPLOYEES.name) if spec.parents else None))
+        merged = merge(state.read(spec.name), typed, spec, now=CLOCK.time)
         parts.append(stats(merged, typed, spec.name))
         state.commit(spec.name, merged)
     return _union_all(parts)
@@ -364,9 +394,9 @@ def _seeded_store(spark, u: Upload, name: str) -> SnapshotStore:
 def q_reload_noop(spark, sf_dir):
     u = Upload(spark, sf_dir)
     store = _seeded_store(spark, u, "reload")
-    upload(spark, store, u.raw, u.ass)
+    upload(spark, store, u.raw, u.ass, clock=CLOCK)
     first = {name: store.latest_version(name) for name in SPECS}
-    upload(spark, store, u.raw, u.ass)
+    upload(spark, store, u.raw, u.ass, clock=CLOCK)
     parts = []
     for name, spec in SPECS.items():
         a = store.read_version(name, first[name]) if first[name] else spark.createDataFrame([], spec.schema)
@@ -392,51 +422,36 @@ def q_two_uploads(spark, sf_dir):
     """The same names under other numbers in a second upload: one-word names of two uploads are two people."""
     u = Upload(spark, sf_dir)
     store = _seeded_store(spark, u, "two")
-    upload(spark, store, u.raw, u.ass)
-    upload(spark, store, cut(u.raw.withColumn("nik", F.when(~is_missing("nik"), F.concat(F.lit("B"), "nik")))), u.ass, "second")
+    upload(spark, store, u.raw, u.ass, clock=CLOCK)
+    upload(spark, store, cut(u.raw.withColumn("nik", F.when(~is_missing("nik"), F.concat(F.lit("B"), "nik")))), u.ass, "second", clock=CLOCK)
     emp = store.read(EMPLOYEES.name).where(token_count("fullname") == 1)
     return emp.groupBy("fullname").agg(F.count(F.lit(1)).cast("bigint").alias("people"))
 
 
-def _delete_by_name(state: LazyState, pattern: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Dependent-first delete of the people whose name matches; returns (before, after) per table."""
-    emp = state.read(EMPLOYEES.name)
-    doomed = emp.where(F.col("fullname").ilike(pattern)).select("employee_id")
-    before, after = {}, {}
-    for spec in (ROADMAP, ASSESSMENTS, EDUCATION, JOBS, EMPLOYEES):  # children first, the master last
-        t = state.read(spec.name)
-        before[spec.name] = t
-        after[spec.name] = t.join(doomed, "employee_id", "left_anti")
-    return before, after
+def _store_after_upload(spark, u: Upload, name: str) -> SnapshotStore:
+    """All five tables as an upload leaves them, committed."""
+    store = SnapshotStore(spark, scratch_path(spark, name))
+    store.seed({spec.name: u.state_after_p2.read(spec.name) for spec in SPECS.values()})
+    return store
 
 
 def q_cascade_delete(spark, sf_dir):
-    state = Upload(spark, sf_dir).state_after_p1
-    before, after = _delete_by_name(state, DELETE_PATTERN)
-    parts = []
-    for name in before:
-        nb = before[name].select(F.lit(1).alias("_b"), F.lit(0).alias("_a"))
-        na = after[name].select(F.lit(0).alias("_b"), F.lit(1).alias("_a"))
-        parts.append(
-            nb.unionByName(na).agg(
-                (F.sum("_b") - F.sum("_a")).cast("bigint").alias("deleted"), F.sum("_a").cast("bigint").alias("remaining")
-            ).select(F.lit(name).alias("table_name"), F.coalesce("deleted", F.lit(0).cast("bigint")).alias("deleted"),
-                     F.coalesce("remaining", F.lit(0).cast("bigint")).alias("remaining"))
-        )
-    return _union_all(parts)
+    store = _store_after_upload(spark, Upload(spark, sf_dir), "delete")
+    before = store.counts().select("table_name", F.col("n").alias("_before"))
+    recycle.delete_people(store, F.col("fullname").ilike(DELETE_PATTERN), "d1", CLOCK.time)
+    binned = recycle.recycle_bin(store).groupBy(F.col("entity_type").alias("table_name")).agg(F.count(F.lit(1)).alias("binned"))
+    out = before.join(store.counts(), "table_name").join(binned, "table_name", "left")
+    return out.select("table_name", (F.col("_before") - F.col("n")).alias("deleted"), F.col("n").alias("remaining"), F.coalesce("binned", F.lit(0)).cast("bigint").alias("binned"))
 
 
 def q_fk_filter(spark, sf_dir):
     u = Upload(spark, sf_dir)
-    master = u.fx.db_employees
     parts = []
     for spec in (JOBS, EDUCATION):
-        typed, _ = prepare_incoming(u.p1.datasets[spec.name], spec)
-        kept, orphans = checks.fk_filter(typed, master)
-        flagged = kept.select(F.lit(0).alias("_o")).unionByName(orphans.select(F.lit(1).alias("_o")))
+        flagged = classify(project_incoming(u.dataset(1, spec.name), spec), spec, CLOCK.date, u.fx.db_employees)
         parts.append(flagged.agg(
-            F.count_if(F.col("_o") == 0).cast("bigint").alias("kept"),
-            F.count_if(F.col("_o") == 1).cast("bigint").alias("orphaned"),
+            F.count_if(F.col("_reason").isNull()).cast("bigint").alias("kept"),
+            F.count_if(F.col("_reason") == "orphaned").cast("bigint").alias("orphaned"),
         ).select(F.lit(spec.name).alias("dataset"), "kept", "orphaned"))
     return _union_all(parts)
 
@@ -473,9 +488,9 @@ def q_table_counts(spark, sf_dir):
 def q_check_unique(spark, sf_dir):
     u = Upload(spark, sf_dir)
     return _union_all([
-        checks.check_unique(u.p2[ASSESSMENTS.name], ["employee_id", "asessment_year"], ASSESSMENTS.name),
-        checks.check_unique(u.p2[ROADMAP.name], ["employee_id", "year"], ROADMAP.name),
-        checks.check_unique(u.p1.datasets[JOBS.name], JOB_DEDUP_SUBSET, JOBS.name),
+        checks.check_unique(u.dataset(2, ASSESSMENTS.name), ["employee_id", "asessment_year"], ASSESSMENTS.name),
+        checks.check_unique(u.dataset(2, ROADMAP.name), ["employee_id", "year"], ROADMAP.name),
+        checks.check_unique(u.dataset(1, JOBS.name), JOB_DEDUP_SUBSET, JOBS.name),
     ])
 
 
@@ -493,6 +508,8 @@ def q_check_domain(spark, sf_dir):
     return _union_all([
         checks.check_domain(u.raw, "jenis_kelamin", GENDER_DOMAIN, "raw_data"),
         checks.check_domain(u.state_after_p1.read(EMPLOYEES.name), "gender", GENDER_DOMAIN, EMPLOYEES.name),
+        checks.check_domain(u.state_after_p1.read(JOBS.name), "status", JOB_STATUS_DOMAIN, JOBS.name),
+        checks.check_domain(u.state_after_p1.read(EDUCATION.name), "tingkat_pendidikan", ("S1", "S2"), EDUCATION.name),
     ])
 
 
@@ -503,17 +520,18 @@ def q_check_not_null(spark, sf_dir):
 
 def q_change_log(spark, sf_dir):
     u = Upload(spark, sf_dir)
-    before = conform(u.fx.db_employees, EMPLOYEES)
-    after = u.state_after_p1.read(EMPLOYEES.name)
+    before = conform(u.fx.db_employees, EMPLOYEES).drop(*STAMPS)
+    after = _rows(u.state_after_p1, EMPLOYEES)
     return audit.change_log(before, after, ["employee_id"], EMPLOYEES.name).select("entity_type", "employee_id", "action_type")
 
 
 def q_recycle_restore(spark, sf_dir):
-    state = Upload(spark, sf_dir).state_after_p1
-    before, after = _delete_by_name(state, DELETE_PATTERN)
-    log = audit.change_log(before[EMPLOYEES.name], after[EMPLOYEES.name], ["employee_id"], EMPLOYEES.name)
-    binned = audit.recycle_bin(log, ["employee_id"])
-    return audit.restore(after[EMPLOYEES.name], binned, EMPLOYEES)
+    """All five tables after two deletes of overlapping people and the restore of both."""
+    store = _store_after_upload(spark, Upload(spark, sf_dir), "restore")
+    recycle.delete_people(store, F.col("fullname").ilike(DELETE_PATTERN), "d1", CLOCK.time)
+    recycle.delete_people(store, F.col("fullname").ilike(COUNT_PATTERN), "d2", CLOCK.time)
+    recycle.restore_people(store, ["d1", "d2"], "2026-01-02 00:00:00")
+    return _all_tables(store)
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -529,32 +547,93 @@ def _report_df(spark, report) -> DataFrame:
 def q_load_report(spark, sf_dir):
     u = Upload(spark, sf_dir)
     store = _seeded_store(spark, u, "load")
-    return _report_df(spark, upload(spark, store, u.raw, u.ass))
+    return _report_df(spark, upload(spark, store, u.raw, u.ass, clock=CLOCK))
 
 
 def q_pipeline_counts(spark, sf_dir):
     u = Upload(spark, sf_dir)
     store = _seeded_store(spark, u, "counts")
-    upload(spark, store, u.raw, u.ass)
+    upload(spark, store, u.raw, u.ass, clock=CLOCK)
     return store.counts()
 
 
 def q_load_rejects(spark, sf_dir):
     u = Upload(spark, sf_dir)
-    done = upload(spark, _seeded_store(spark, u, "rejects"), u.raw, u.ass)
+    done = upload(spark, _seeded_store(spark, u, "rejects"), u.raw, u.ass, clock=CLOCK)
     rows = [(r.dataset, r.rejected, r.orphaned) for r in done.results.values()]
     return spark.createDataFrame(rows, "dataset string, rejected bigint, orphaned bigint")
 
 
+def q_load_accounting(spark, sf_dir):
+    """Where every row of every dataset went; ``reject_rows``: rows in the tables of rejects."""
+    u = Upload(spark, sf_dir)
+    store = _seeded_store(spark, u, "accounting")
+    done = upload(spark, store, u.raw, u.ass, clock=CLOCK)
+    rows = [(r.dataset, r.given, r.rows_upserted + r.ignored, r.collapsed, r.empty, r.incomplete, r.rejected, r.orphaned) for r in done.results.values()]
+    counts = spark.createDataFrame(rows, "dataset string, given bigint, loaded bigint, collapsed bigint, empty bigint, incomplete bigint, rejected bigint, orphaned bigint")
+    kept = _union_all([store.rejects(name).groupBy(F.lit(name).alias("dataset")).agg(F.count(F.lit(1)).alias("reject_rows")) for name in SPECS])
+    balance = F.col("given") - F.col("loaded") - F.col("collapsed") - F.col("empty") - F.col("incomplete") - F.col("rejected") - F.col("orphaned")
+    return counts.join(kept, "dataset", "left").withColumn("reject_rows", F.coalesce("reject_rows", F.lit(0)).cast("bigint")).withColumn("unaccounted", balance)
+
+
+def q_reject_rows(spark, sf_dir):
+    """The rows that weren't loaded, with the reason and their cells."""
+    u = Upload(spark, sf_dir)
+    store = _seeded_store(spark, u, "rejected")
+    upload(spark, store, u.raw, u.ass, clock=CLOCK)
+    cell = lambda c: F.get_json_object("given", f"$.{c}")
+    return _union_all([
+        store.rejects(spec.name).select(F.lit(spec.name).alias("dataset"), "reason", cell("employee_id").alias("employee_id"),
+                                        F.concat_ws("|", *(F.coalesce(cell(c), F.lit("-")) for c in spec.key[1:])).alias("item"))
+        for spec in SPECS.values()
+    ])
+
+
+def q_dedup_stats(spark, sf_dir):
+    """Sheet rows in, rows with content, dropped as duplicates, out: sums over the datasets as they are written."""
+    u = Upload(spark, sf_dir)
+    parts = []
+    for name, phase, sheet in ((JOBS.name, 1, u.p1.roster_resolved), (EDUCATION.name, 1, u.p1.roster_resolved), (ASSESSMENTS.name, 2, u.ass)):
+        data = u.dataset(phase, name).agg(F.lit(0).alias("i"), F.sum("_copies").alias("c"), F.count(F.lit(1)).alias("o"))
+        parts.append(data.unionByName(sheet.agg(F.count(F.lit(1)).alias("i"), F.lit(0).alias("c"), F.lit(0).alias("o"))).agg(
+            F.sum("i").cast("bigint").alias("rows_in"), F.sum("c").cast("bigint").alias("non_empty"),
+            (F.sum("c") - F.sum("o")).cast("bigint").alias("dropped"), F.sum("o").cast("bigint").alias("rows_out"),
+        ).select(F.lit(name).alias("dataset"), "rows_in", "non_empty", "dropped", "rows_out"))
+    return _union_all(parts)
+
+
+def q_gender_defaults(spark, sf_dir):
+    return defaulted_genders(clean_cells(Fixtures(spark, sf_dir).raw_data))
+
+
 def q_gate_closed(spark, sf_dir):
     u = Upload(spark, sf_dir)
     store = _seeded_store(spark, u, "gate")
-    done = upload(spark, store, u.raw.withColumn("nama", F.lit(None).cast("string")), u.ass)
+    done = upload(spark, store, u.raw.withColumn("nama", F.lit(None).cast("string")), u.ass.withColumn("nama", F.lit(None).cast("string")), clock=CLOCK)
     rows = spark.createDataFrame([(r.dataset, r.status) for r in done.results.values()], "dataset string, status string")
     counts = store.counts().select(F.col("table_name").alias("dataset"), F.col("n").alias("rows_in_table"))
     return rows.join(counts, "dataset")
 
 
+def _all_tables(state) -> DataFrame:
+    """The five tables' rows in one shape."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    return _union_all([
+        state.read(spec.name).select(F.lit(spec.name).alias("table_name"), "employee_id",
+                                     F.concat_ws("|", *(text(c) for c in _COMPARED[spec.name])).alias("cells"))
+        for spec in SPECS.values()
+    ])
+
+
+_COMPARED = {
+    EMPLOYEES.name: ("fullname", "birth_date", "gender"),
+    JOBS.name: ("subholding_code", "company_code", "jabatan", "tanggal_mulai", "employee_no_subholding", "tanggal_selesai", "status"),
+    EDUCATION.name: ("tingkat_pendidikan", "universitas", "jurusan"),
+    ASSESSMENTS.name: ("assesment_year", "overal_score"),
+    ROADMAP.name: ("year", "planned_position"),
+}
+
+
 def q_final_tables(spark, sf_dir):
     state = Upload(spark, sf_dir).state_after_p2
     text = lambda c: F.col(c).cast("string")
@@ -577,22 +656,88 @@ def q_export_datasets(spark, sf_dir):
     return read_back_counts(spark, paths)
 
 
+def _headed(df: DataFrame, columns) -> DataFrame:
+    return df.withColumnsRenamed({i: WORKBOOK_HEADERS.get(i, h) for i, h in columns if i in df.columns})
+
+
+def q_ingest_files(spark, sf_dir):
+    """The sheets as several CSV files with workbook headers, line breaks and quotes in cells, read back as a workbook and
+    taken to the tables: the roster as it is conformed, numbered over the files."""
+    fx, folder = Fixtures(spark, sf_dir), scratch_path(spark, "workbook")
+    broken = fx.raw_data.withColumn("universitas", F.replace("universitas", F.lit("Univ "), F.lit('Univ "of"\n')))
+    write_workbook({"RAW  data": _headed(broken, ROSTER_COLUMNS), "assessment": _headed(fx.assesment, ASSESSMENT_COLUMNS)}, folder)
+    sheets = read_workbook(spark, folder)
+    return conform_headers(sheets["raw_data"], ROSTER_COLUMNS, "roster")
+
+
+def q_upload_files(spark, sf_dir):
+    """From files to tables: counts after an upload of a workbook."""
+    u = Upload(spark, sf_dir)
+    folder = scratch_path(spark, "workbook")
+    write_workbook({"Raw Data": _headed(u.raw, ROSTER_COLUMNS), "Assesment": _headed(u.ass, ASSESSMENT_COLUMNS)}, folder)
+    store, sheets = _seeded_store(spark, u, "files"), read_workbook(spark, folder)
+    upload_sheets(spark, store, sheets["raw_data"], sheets["assesment"], DEFAULT_SALT, clock=CLOCK)
+    return store.counts()
+
+
 def q_stream_upsert(spark, sf_dir):
     from rosterline.streaming.drop_folder import run_drop_folder
 
     u = Upload(spark, sf_dir)
-    store, _ = run_drop_folder(spark, u, scratch_path(spark, "stream"))
-    return store.read(EMPLOYEES.name)
+    store, _ = run_drop_folder(spark, u, scratch_path(spark, "stream"), CLOCK)
+    return _rows(store, EMPLOYEES)
 
 
 def q_stream_change_feed(spark, sf_dir):
     from rosterline.streaming.drop_folder import run_drop_folder, read_change_feed
 
     u = Upload(spark, sf_dir)
-    _, root = run_drop_folder(spark, u, scratch_path(spark, "stream"))
+    _, root = run_drop_folder(spark, u, scratch_path(spark, "stream"), CLOCK)
     return read_change_feed(spark, root).select("entity_type", "entity_id", "action_type")
 
 
+EDUCATION_CELLS = ("tingkat_pendidikan", "universitas", "jurusan")
+
+
+def _second_roster(u: Upload) -> DataFrame:
+    """Other people: the roster's rows under other numbers and names."""
+    return u.raw.withColumns({"nik": F.concat(F.lit("B"), "nik"), "nama": F.concat("nama", F.lit(" Second"))})
+
+
+def q_feed_after_failure(spark, sf_dir):
+    """Upload a fails after its employees are committed (no education columns), b succeeds, a gets its whole roster: the
+    feed, followed after every step, by upload."""
+    from rosterline.streaming.drop_folder import drop_upload, read_change_feed, start_stream
+
+    u = Upload(spark, sf_dir)
+    root = scratch_path(spark, "feed")
+    store = SnapshotStore(spark, f"{root}/state")
+    store.seed({EMPLOYEES.name: u.fx.db_employees, JOBS.name: u.fx.db_jobs, EDUCATION.name: u.fx.db_education})
+    none = u.ass.limit(0)
+    for upload_id, roster, piece in (("a", u.raw.drop(*EDUCATION_CELLS), "1"), ("b", _second_roster(u), "1"), ("a", u.raw, "2")):
+        drop_upload(roster, none, root, upload_id, piece)
+        start_stream(spark, store, root, clock=CLOCK)
+        feed = read_change_feed(spark, root)
+    return feed.groupBy("upload_id", "entity_type", "action_type").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.countDistinct("entity_id").cast("bigint").alias("entities"))
+
+
+def q_stream_with_bad_upload(spark, sf_dir):
+    """A good upload between one without a name column and one whose files are no text at all: the good one's tables."""
+    from rosterline.streaming.drop_folder import drop_upload, quarantine, start_stream
+
+    u = Upload(spark, sf_dir)
+    root = scratch_path(spark, "bad")
+    store = SnapshotStore(spark, f"{root}/state")
+    store.seed({EMPLOYEES.name: u.fx.db_employees, JOBS.name: u.fx.db_jobs, EDUCATION.name: u.fx.db_education})
+    drop_upload(u.raw.drop("nama"), u.ass, root, "bad1")
+    drop_upload(u.raw, u.ass, root, DEFAULT_SALT)
+    u.ass.write.parquet(f"{root}/drop/zz-bad2/Raw Data/1")
+    start_stream(spark, store, root, clock=CLOCK)
+    bad = quarantine(store).agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit("quarantine").alias("table_name"), "n")
+    return store.counts().unionByName(bad)
+
+
 QUERIES: dict[str, Query] = {
     "ingest_clean": q_ingest_clean,
     "header_match": q_header_match,
@@ -640,6 +785,14 @@ QUERIES: dict[str, Query] = {
     "load_report": q_load_report,
     "pipeline_counts": q_pipeline_counts,
     "load_rejects": q_load_rejects,
+    "load_accounting": q_load_accounting,
+    "reject_rows": q_reject_rows,
+    "dedup_stats": q_dedup_stats,
+    "gender_defaults": q_gender_defaults,
+    "ingest_files": q_ingest_files,
+    "upload_files": q_upload_files,
+    "feed_after_failure": q_feed_after_failure,
+    "stream_with_bad_upload": q_stream_with_bad_upload,
     "gate_closed": q_gate_closed,
     "final_tables": q_final_tables,
     "export_datasets": q_export_datasets,

@@ -1,16 +1,22 @@
 """Sheet ingest: two text tables in, every cell a string, every row numbered.
 
-A workbook is read as two tables (roster and assessment).  Row order matters downstream (keep-first dedup, first-seen
-numbering), and DataFrames have none, so ingest adds ``row_id``: taken from a column of the file when one is given,
-otherwise built from (file, position) once and written to the staged copy before anything else reads it.
+A workbook is read as two tables (roster and assessment), each from one or many files.  Row order matters downstream
+(keep-first dedup, first-seen numbering), and DataFrames have none, so ingest adds ``row_id``: taken from a column of the
+file when one is given, otherwise the rank of (file, position).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rosterline.functions.text import ascii_strip, finish_strip, null_if_empty_token, strip_ws
+from rosterline.functions.text import ascii_strip, finish_strip, null_if_empty_token
+from rosterline.operators.dense_index import dense_index
+from rosterline.session import cut
 from rosterline.specs import ASSESSMENT_SHEET_NAMES, ROSTER_SHEET_NAMES
 
 
@@ -43,35 +49,80 @@ def clean_cells(df: DataFrame, keep: tuple[str, ...] = ("row_id",)) -> DataFrame
 
 
 def with_row_id(df: DataFrame, row_id_col: str | None = None) -> DataFrame:
-    """Give every row a stable ``row_id``.
+    """Give every row a stable ``row_id``: the file's own numbering (``row_id_col``), else the rank of its
+    (file, position), from 0, over all files of the sheet.
 
-    With ``row_id_col`` the file's own numbering is used.  Otherwise (file name, position) is turned into a number;
-    callers must stage the result (``stage``) before using it twice, so recomputation cannot renumber rows.
+    The position is the start of the file split and the row's place in it, so files are read in splits; the numbering is
+    staged once (``dense_index``), so a recomputed task can't number differently.
     """
     if row_id_col:
         return df.withColumn("row_id", F.col(f"`{row_id_col}`").cast("bigint"))
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")]
+    return dense_index(cut(df.select("*", *place)), ["_file", "_block", "_at"], "row_id").drop("_file", "_block", "_at")
 
 
-def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";", row_id_col: str | None = None) -> DataFrame:
-    """Read one sheet as all-string columns (no type inference) and clean it."""
-    if fmt == "csv":
-        df = (
-            spark.read.option("header", True).option("sep", sep).option("multiLine", True)
-            .option("inferSchema", False).option("encoding", "UTF-8").csv(path)
-        )
-    elif fmt == "parquet":
-        df = spark.read.parquet(path)
-        df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) if c != row_id_col else F.col(f"`{c}`") for c in df.columns])
-    else:
-        raise ValueError(f"unsupported sheet format {fmt!r}")
-    return clean_cells(with_row_id(df, row_id_col))
+def csv_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``_file, _at, text``: the records of CSV files, whose quoted cells may hold line breaks, read in splits.
 
+    Files are read as lines.  A line lies inside a quoted cell if an odd number of quotes stands before it in its file:
+    counted in each split, with the parity of a file's earlier splits added (one row per split).  Lines between two line
+    ends outside quotes are one record, numbered by its first line; only lines of records with several are brought
+    together.  A line break inside a cell reads as one line feed.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_in"), (quotes % 2).alias("_odd"))
+    lines = cut(lines)
+    split = Window.partitionBy("_file", "_block").orderBy("_in")
+    per_split = lines.groupBy("_file", "_block").agg(F.sum("_odd").alias("_o"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_split.select("_file", "_block", F.coalesce(F.sum("_o").over(earlier), F.lit(0)).alias("_odd0"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_line0"))
+    lines = lines.join(before, ["_file", "_block"])
+    after = F.col("_odd0") + F.sum("_odd").over(split)
+    lines = lines.select("_file", "_block", (F.col("_line0") + F.row_number().over(split)).alias("_at"), "value", (after % 2).alias("_after"), ((after - F.col("_odd")) % 2).alias("_before"))
+    whole = lines.where("_before = 0 AND _after = 0").select("_file", "_at", F.col("value").alias("text"))
+    # Every line of a record with several but its first lies inside a cell; the record is named by that first line, which
+    # for the first lines of a split is the last one of an earlier split.
+    parts = cut(lines.where("_before = 1 OR _after = 1"))
+    start = F.when(F.col("_before") == 0, F.col("_at"))
+    starts = parts.groupBy("_file", "_block").agg(F.max(start).alias("_s")).select("_file", "_block", F.max("_s").over(earlier).alias("_carried"))
+    here = F.max(start).over(Window.partitionBy("_file", "_block").orderBy("_at"))
+    parts = parts.withColumn("_here", here).join(starts, ["_file", "_block"]).withColumn("_first", F.coalesce("_here", "_carried"))
+    joined = parts.groupBy("_file", F.col("_first").alias("_at")).agg(F.array_sort(F.collect_list(F.struct("_at", "value"))).alias("_l"))
+    return whole.unionByName(joined.select("_file", "_at", F.array_join(F.transform("_l", lambda x: x["value"]), "\n").alias("text")))
+
+
+def read_csv_sheet(spark: SparkSession, paths: list[str], sep: str = ";") -> DataFrame:
+    """All files of one CSV sheet, numbered by (file, position), every cell a string; files may order columns differently."""
+    records = cut(csv_records(spark, paths))
+    records = records.where(F.trim("text") != "")
+    heads = records.groupBy("_file").agg(F.min_by("text", "_at").alias("_head"), F.min("_at").alias("_from"))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    out = None
+    for (head,) in heads.select("_head").distinct().collect():  # one row per layout of the files
+        names = next(csv.reader(io.StringIO(head.removeprefix("\ufeff")), delimiter=sep))
+        names = [n if n.strip() else f"column {k + 1}" for k, n in enumerate(names)]
+        names = [n if n not in names[:k] else f"{n} {k + 1}" for k, n in enumerate(names)]
+        schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(names))])
+        rows = records.join(heads.where(F.col("_head") == F.lit(head)).select("_file", "_from"), "_file").where(F.col("_at") > F.col("_from"))
+        rows = rows.select("_file", "_at", F.from_csv("text", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("_r"))
+        rows = rows.select("_file", "_at", *(F.col(f"_r.c{k}").alias(n) for k, n in enumerate(names)))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], "row_id bigint")
+    return dense_index(out, ["_file", "_at"], "row_id").drop("_file", "_at")
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write to the shared folder and read back: fixes ``row_id`` and cuts lineage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+
+def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";", row_id_col: str | None = None) -> DataFrame:
+    """Read one sheet (a file or a folder of files) as all-string columns (no type inference) and clean it."""
+    if fmt == "csv":
+        df = read_csv_sheet(spark, [path], sep)
+        return clean_cells(with_row_id(df.drop("row_id"), row_id_col) if row_id_col else df)
+    if fmt == "parquet":
+        df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+        cells = df.select(*(F.col(f"`{c}`").cast("string").alias(c) if c != row_id_col else F.col(f"`{c}`") for c in df.columns), "_metadata")
+        return clean_cells(with_row_id(cells, row_id_col).drop("_metadata"))
+    raise ValueError(f"unsupported sheet format {fmt!r}")
 
 
 def read_workbook(spark: SparkSession, folder: str, fmt: str = "csv", sep: str = ";", row_id_col: str | None = None) -> dict[str, DataFrame]:
@@ -89,4 +140,11 @@ def read_workbook(spark: SparkSession, folder: str, fmt: str = "csv", sep: str =
     }
 
 
-__all__ = ["clean_cells", "find_sheet", "read_sheet", "read_workbook", "stage", "strip_ws", "with_row_id"]
+def write_workbook(sheets: dict[str, DataFrame], folder: str, sep: str = ";", piece: str = "1") -> None:
+    """Sheets (name → table) as CSV files under ``<folder>/<name>/<piece>``, rows in the order of ``row_id`` if there is one."""
+    for name, df in sheets.items():
+        ordered = df.orderBy("row_id").drop("row_id") if "row_id" in df.columns else df
+        ordered.write.mode("append").options(header=True, sep=sep, quote='"', escape='"').csv(f"{folder.rstrip('/')}/{name}/{piece}")
+
+
+__all__ = ["clean_cells", "csv_records", "find_sheet", "read_csv_sheet", "read_sheet", "read_workbook", "with_row_id", "write_workbook"]

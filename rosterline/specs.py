@@ -107,6 +107,7 @@ UNK_DEFAULT_START = 5001
 JOB_TITLE_DEFAULT = "Unknown"
 JOB_STATUS = "active"
 JOB_STATUS_ENDED = "inactive"
+JOB_STATUS_DOMAIN: tuple[str, ...] = (JOB_STATUS, JOB_STATUS_ENDED)
 
 # Cell texts that mean "empty" after stripping.
 EMPTY_TOKENS: tuple[str, ...] = ("nan", "NaN", "")
@@ -149,7 +150,10 @@ def _schema(*cols: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 
 
-S, D, SH = T.StringType(), T.DateType(), T.ShortType()
+S, D, SH, TS = T.StringType(), T.DateType(), T.ShortType(), T.TimestampType()
+
+#: Default of a column that takes the time of the load.
+NOW = "now()"
 
 # FIXED VALUES — target tables, conflict keys and column maps, in load order.
 EMPLOYEES = DatasetSpec(
@@ -162,8 +166,8 @@ EMPLOYEES = DatasetSpec(
         ("tanggal_lahir", "birth_date"),
         ("jenis_kelamin", "gender"),
     ),
-    schema=_schema(("employee_id", S), ("fullname", S), ("birth_date", D), ("gender", S), ("agama", S)),
-    defaults=(("gender", "'Male'"),),
+    schema=_schema(("employee_id", S), ("fullname", S), ("birth_date", D), ("gender", S), ("agama", S), ("created_at", TS), ("updated_at", TS)),
+    defaults=(("gender", "'Male'"), ("created_at", NOW), ("updated_at", NOW)),
     not_null=("fullname",),
     past_dates=("birth_date",),
 )
@@ -212,7 +216,9 @@ JOBS = DatasetSpec(
         ("employee_id", S), ("employee_no_subholding", S), ("subholding_code", S), ("company_code", S),
         ("divisi", S), ("department", S), ("level_jabatan", S), ("jabatan", S), ("functions", S),
         ("golongan", S), ("kelompok_jabatan", S), ("tanggal_mulai", D), ("tanggal_selesai", D), ("status", S),
+        ("created_at", TS), ("updated_at", TS),
     ),
+    defaults=(("created_at", NOW), ("updated_at", NOW)),
 )
 
 _ASSESSMENT_SCORE_MAP = (
@@ -250,7 +256,8 @@ ROADMAP = DatasetSpec(
     parents=("employees",),
     key=("employee_id", "year"),
     column_map=(("employee_id", "employee_id"), ("planned_position", "planned_position"), ("year", "year")),
-    schema=_schema(("employee_id", S), ("planned_position", S), ("year", SH)),
+    schema=_schema(("employee_id", S), ("planned_position", S), ("year", SH), ("created_at", TS)),
+    defaults=(("created_at", NOW),),
 )
 
 # Foreign-key load order: the master first, then its dependents.

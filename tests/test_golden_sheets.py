@@ -149,7 +149,7 @@ def test_options_status_and_fallback_key(spark):
 
     raw, ass = _conformed(spark)
     p1 = phase1(raw, ass, LazyState(spark), 5001, status_from_end_date=True, fallback_key=("name", "nik"))
-    status = {r["nik"]: r["status"] for r in p1.datasets["riwayat_pekerjaan"].collect()}
+    status = {r["nik"]: r["status"] for r in p1.datasets["riwayat_pekerjaan"]().collect()}
     assert status["EMP006"] == "inactive" and status["EMP001"] == "active"
     # A roster without an employee-number column is refused (required column).
     with pytest.raises(ValueError):

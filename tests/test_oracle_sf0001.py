@@ -14,7 +14,8 @@ from conftest import SF001
 KEYS = ["ingest_clean", "header_match", "gender_normalize", "date_coerce", "golden_record", "next_counter",
         "missing_names", "existing_key_lookup", "fill_missing_key", "entity_resolve", "job_history",
         "career_roadmap", "upsert_state", "change_log", "check_unique", "load_report", "recycle_restore", "export_datasets", "stream_change_feed",
-        "load_rejects", "gate_closed", "final_tables", "job_history_supplement", "check_fk"]
+        "load_rejects", "gate_closed", "final_tables", "job_history_supplement", "check_fk", "reload_noop", "two_uploads", "load_accounting", "reject_rows", "dedup_stats",
+        "ingest_files", "cascade_delete", "default_fill", "feed_after_failure", "stream_with_bad_upload"]
 
 
 def _norm(v):
