@@ -39,7 +39,7 @@ from rosterline.plans.pipeline import (
 )
 from rosterline.session import cut, scratch_path
 from rosterline.sources.fixtures import Fixtures
-from rosterline.sources.sheets import clean_cells, read_workbook, write_workbook
+from rosterline.sources.sheets import clean_cells, read_workbook, spread, write_workbook
 from rosterline.sources.snapshots import LazyState, SnapshotStore
 from rosterline.specs import (
     ASSESSMENT_COLUMNS,
@@ -94,8 +94,8 @@ class Upload:
         self.spark = spark
         self.fx = Fixtures(spark, sf_dir)
         # Ingest stages the cleaned sheets once (as a real upload does); every later step reads the staged copy.
-        self.raw = cut(clean_cells(self.fx.raw_data))
-        self.ass = cut(clean_cells(self.fx.assesment))
+        self.raw = cut(clean_cells(spread(self.fx.raw_data)))
+        self.ass = cut(clean_cells(spread(self.fx.assesment)))
         self._p1 = None
         self._built: dict[tuple[int, str], DataFrame] = {}
         self._state = None
@@ -230,7 +230,7 @@ def q_pattern_filter(spark, sf_dir):
 
 
 def q_golden_record(spark, sf_dir):
-    raw = fill_blank(clean_cells(Fixtures(spark, sf_dir).raw_data), "job_title")
+    raw = fill_blank(clean_cells(spread(Fixtures(spark, sf_dir).raw_data)), "job_title")
     cols = ["nik", "nama", "tanggal_lahir", "jenis_kelamin", "subholding", "subco", "job_title"]
     return golden(raw.select("tahun", *cols, "row_id"), "nik", cols)
 

@@ -48,6 +48,13 @@ def clean_cells(df: DataFrame, keep: tuple[str, ...] = ("row_id",)) -> DataFrame
     return step2.select(*[(null_if_empty_token(F.col(f"`{n}`")) if s else F.col(f"`{n}`")).alias(n) for _, n, s in fields])
 
 
+def spread(df: DataFrame, key: str = "row_id") -> DataFrame:
+    """Rows of a source with fewer files than the cluster has cores, dealt out by ``key``: cleaning is work for the CPU, and
+    a small file is one split."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key) if len(df.inputFiles()) < n else df
+
+
 def with_row_id(df: DataFrame, row_id_col: str | None = None) -> DataFrame:
     """Give every row a stable ``row_id``: the file's own numbering (``row_id_col``), else the rank of its
     (file, position), from 0, over all files of the sheet.
@@ -147,4 +154,4 @@ def write_workbook(sheets: dict[str, DataFrame], folder: str, sep: str = ";", pi
         ordered.write.mode("append").options(header=True, sep=sep, quote='"', escape='"').csv(f"{folder.rstrip('/')}/{name}/{piece}")
 
 
-__all__ = ["clean_cells", "csv_records", "find_sheet", "read_csv_sheet", "read_sheet", "read_workbook", "with_row_id", "write_workbook"]
+__all__ = ["clean_cells", "csv_records", "find_sheet", "read_csv_sheet", "read_sheet", "read_workbook", "spread", "with_row_id", "write_workbook"]
