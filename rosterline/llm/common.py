@@ -48,6 +48,14 @@ def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` into a fixed number of parts, for groups whose work isn't in proportion to their bytes (joined
+    by bytes, as adaptive execution would, a few tasks would have it all)."""
+    spark = df.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys)
+
+
 def text_of(column: str = "text"):
     """The text with null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import broadcast_checked, ship_code, stage, text_of
+from .common import broadcast_checked, dealt, ship_code, stage, text_of
 from .components import components
 
 BUCKET_BITS = 7
@@ -322,8 +322,8 @@ def _blocked(nodes: DataFrame, group: str, *extra: str) -> DataFrame:
     """Rows of every block pair (i, j) of each group; a row goes to as many pairs as its group has blocks."""
     blocks = stage(nodes.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
     nodes = nodes.join(blocks, group).withColumn("block", F.pmod(F.xxhash64("_id"), F.col("blocks")).cast("int"))
-    dealt = nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return dealt.select(group, "_id", *extra, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    spread = nodes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return spread.select(group, "_id", *extra, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
 
 def _block_links(open_: DataFrame, heads: DataFrame, sets_of, percent: int) -> DataFrame:
@@ -331,7 +331,7 @@ def _block_links(open_: DataFrame, heads: DataFrame, sets_of, percent: int) -> D
     kind = heads.schema["_id"].dataType.simpleString()
     schema = f"u {kind}, v {kind}"
     regs = heads.select("_id", "set_hash", "n_shingles", "regs")
-    near = _blocked(open_, "key", "comp").join(regs, "_id").groupBy("key", "i", "j").applyInPandas(_forest(percent), schema)
+    near = dealt(_blocked(open_, "key", "comp").join(regs, "_id"), "key", "i", "j").groupBy("key", "i", "j").applyInPandas(_forest(percent), schema)
     near = stage(near, "forest")
     if near.isEmpty():
         return near
@@ -340,7 +340,7 @@ def _block_links(open_: DataFrame, heads: DataFrame, sets_of, percent: int) -> D
     nodes = nodes.select("_id", F.coalesce("area", "_id").alias("area"))
     nodes = stage(nodes.join(open_.select("_id", "comp").distinct(), "_id"), "areas")
     held = _blocked(nodes, "area", "comp").join(regs, "_id").join(sets_of(nodes), ["_id", "set_hash"])
-    return stage(held.groupBy("area", "i", "j").applyInPandas(_link_block(percent), schema), "more")
+    return stage(dealt(held, "area", "i", "j").groupBy("area", "i", "j").applyInPandas(_link_block(percent), schema), "more")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:

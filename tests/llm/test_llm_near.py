@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from rosterline.llm import components, embedding_dedup, minhash
 
@@ -114,3 +115,27 @@ def test_vectors(spark, monkeypatch):
     run = lambda d: sorted(((r[0], r[1], r[2]) for r in embedding_dedup.near_duplicates(d).collect()), key=str)
     assert run(df) == vectors_brute(rows)
     assert run(df.limit(0)) == []
+
+
+@pytest.mark.parametrize("local", [0, 1_000_000])
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch, local):
+    """Long paths, stars and random links: both ways give the smallest node of every component."""
+    monkeypatch.setattr("rosterline.llm.components.LOCAL", local)
+    rng = np.random.default_rng(6)
+    links = [(k, k + 1) for k in range(100, 140)] + [(500, k) for k in range(400, 430)] + [tuple(map(int, rng.integers(1000, 1080, 2))) for _ in range(60)] + [(7, 7), (None, 3)]
+    near = {}
+    for u, v in links:
+        if u is not None and u != v:
+            near.setdefault(u, set()).add(v)
+            near.setdefault(v, set()).add(u)
+    want, seen = {}, set()
+    for start in sorted(near):
+        todo = [start]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                want[x] = start
+                todo += near[x]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "u long, v long").repartition(7)).collect()}
+    assert got == {k: v for k, v in want.items() if k != v}
