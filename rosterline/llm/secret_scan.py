@@ -1,15 +1,22 @@
 """Secrets in texts: fixed patterns plus a randomness test battery, with DataFrame functions only.
 
 Patterns give the base spans (kinds assign, access, hex).  The battery looks at every further run of 16 or more
-characters of the usual encodings that mixes letter cases or letters and digits.  For the encoding inferred from its
-characters it computes a chi-squared statistic of alphabet uniformity, a runs test about the alphabet's middle and the
-lag-1 serial correlation, each as a z-value; the sum of their squares is small for random strings.
+characters of the usual encodings that mixes letter cases or letters and digits; the hyphens of a UUID don't count.  For
+the encoding inferred from its characters it tests
+- uniformity: chi-squared of the symbols (hex digits, or letters regardless of case) and of the shares of small letters,
+  capitals, digits and signs,
+- runs: changes between these classes from one character to the next (names and paths change at words, random strings
+  nearly everywhere),
+- serial correlation of neighbouring symbols,
+each as a z-value; the sum of their squares is small for random strings.  A candidate must pass as random: strings that
+are exceed ``RANDOM`` with a chance of about 0.1 %.
 
 False discoveries are controlled against ordinary writing: in every length class, the letters of every text are cut into
-as many stretches as they fill, one after another, which go through the same battery (letters folded into each alphabet;
-their sums are counted on bit planes).  Texts with equal letters count once, so that copies don't decide a class.
-A candidate's p-value is the share of stretches of its length class that look as random as it does.  P-values are weighted by the candidate's bits (long strings get more of the error
-budget), and the Benjamini-Hochberg rule over all candidates of the corpus decides which are reported as kind random.
+as many stretches as they fill, one after another, which go through the same battery, dressed as each encoding would
+have them: capitals, signs or digits at words, and letters folded into hex digits (sums are counted on bit planes).  Texts with equal words count once, so that copies don't decide a class.
+A candidate's p-value is the share of stretches of its length class that look as random as it does.  P-values are
+weighted by the candidate's bits (long strings get more of the error budget), and the Benjamini-Hochberg rule over all
+candidates of the corpus decides which are reported as kind random.
 
 Positions are code points, ends exclusive.  Null texts count as empty, empty texts have no spans, rows with equal or
 null ids each get their own result, an empty table gives an empty result, and all columns of the input pass through (one named
@@ -19,6 +26,7 @@ secrets is replaced).
 from __future__ import annotations
 
 import functools
+import math
 import operator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -37,8 +45,17 @@ TOKEN = r"[A-Za-z0-9+/_-]{16,}"
 RATE = 0.05
 #: Alphabet sizes of the encodings that are told apart: hex, letters of one case with digits, base 62, base 64.
 ALPHABETS = (16, 36, 62, 64)
+#: Shares of small letters (or of the only case), capitals, digits and signs in random strings of an alphabet.
+SHARES = {16: (6 / 16, 0, 10 / 16, 0), 36: (26 / 36, 0, 10 / 36, 0), 62: (26 / 62, 26 / 62, 10 / 62, 0), 64: (26 / 64, 26 / 64, 10 / 64, 2 / 64)}
+#: Largest statistic that still counts as random (simulated: its 99.9 % point is 40 to 58 at all sizes and lengths).
+RANDOM = 50.0
+#: Fewer symbols than this aren't tested for uniformity and serial correlation.
+FEWEST = 8
 #: Length classes: their lower ends.
-LENGTHS = (16, 18, 20, 24, 28, 32, 40, 48, 64, 96, 128)
+LENGTHS = (16, 20, 24, 32, 48, 64, 96, 128)
+#: Hits of a text that are placed or replaced together; the work is the number of hits times this at most.
+TOGETHER = 128
+UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -47,10 +64,25 @@ def _none(kind: str = _SPAN) -> Column:
     return F.from_json(F.lit("[]"), kind)
 
 
+def _bound(x: Column, f) -> Column:
+    """f(x) with x computed once: inside a function over an array, an expression would be computed for each item."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def _chunks(items: Column) -> Column:
+    """An array (not empty) as arrays of TOGETHER items, so that what grows by an item at a time grows within a short array."""
+    def cut(x: Column) -> Column:
+        n = F.ceil(F.size(x) / TOGETHER).cast("int")
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice(x, k * TOGETHER + 1, TOGETHER))
+
+    return _bound(items, cut)
+
+
 def _placed(pieces: str, hits: str) -> Column:
-    """start and end of each hit, from the pieces between the hits."""
+    """start and end of each hit, from the pieces between the hits (there is a hit)."""
+    kind = "array<struct<start:int,end:int>>"
     zipped = F.arrays_zip(F.col(pieces).alias("p"), F.col(hits).alias("h"))
-    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), kind).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["p"])
@@ -58,44 +90,50 @@ def _placed(pieces: str, hits: str) -> Column:
         out = F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))))
         return F.struct(end.alias("at"), out.alias("out"))
 
-    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    def moved(acc: Column, x: Column) -> Column:
+        """Chunks with the place where they begin."""
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("from"), x["out"].alias("out")))).alias("out"))
 
+    chunks = F.transform(_chunks(zipped), lambda c: F.aggregate(c, start, step))
+    begin = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), f"array<struct<from:int,out:{kind}>>").alias("out"))
+    located = F.aggregate(chunks, begin, moved, lambda acc: acc["out"])
+    shift = lambda c: F.transform(c["out"], lambda x: F.struct((x["start"] + c["from"]).alias("start"), (x["end"] + c["from"]).alias("end")))
+    return F.flatten(F.transform(located, shift))
 
-def _found(df: DataFrame, name: str, pattern: str, group: int, gate: Column) -> DataFrame:
-    """Adds ``name``: start, end and text (of ``group``) of the leftmost non-overlapping matches in _text."""
+
+def _found(df: DataFrame, name: str, pattern: str, group: int, gate: Column, source: str = "_text") -> DataFrame:
+    """Adds ``name``: start, end and text (of ``group``) of the leftmost non-overlapping matches in ``source``."""
     pieces, hits, texts = f"{name}_p", f"{name}_h", f"{name}_g"
     empty = F.from_json(F.lit("[]"), "array<string>")
-    df = df.withColumn(pieces, F.when(gate, F.split("_text", pattern, -1)).otherwise(empty))
-    df = df.withColumn(hits, F.when(gate, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).otherwise(empty))
+    df = df.withColumn(pieces, F.when(gate, F.split(source, pattern, -1)).otherwise(empty))
+    df = df.withColumn(hits, F.when(gate, F.regexp_extract_all(source, F.lit(pattern), F.lit(0))).otherwise(empty))
     text = hits
     if group:
-        df = df.withColumn(texts, F.when(gate, F.regexp_extract_all("_text", F.lit(pattern), F.lit(group))).otherwise(empty))
+        df = df.withColumn(texts, F.when(gate, F.regexp_extract_all(source, F.lit(pattern), F.lit(group))).otherwise(empty))
         text = texts
     df = df.withColumn(f"{name}_s", F.when(F.size(hits) > 0, _placed(pieces, hits)).otherwise(F.from_json(F.lit("[]"), "array<struct<start:int,end:int>>")))
     both = F.zip_with(f"{name}_s", text, lambda s, t: F.struct(s["start"].alias("start"), s["end"].alias("end"), t.alias("text")))
     return df.withColumn(name, both).drop(pieces, hits, texts, f"{name}_s")
 
 
-def _digit(code: Column, size: int) -> Column:
-    """A character's place in the alphabet of an encoding."""
-    low = F.when(code >= 97, code - 97).otherwise(code - 65)
-    if size in (16, 36):
-        return F.when(code < 58, code - 48).otherwise(low + 10)
-    place = F.when(code.between(48, 57), code - 48).when(code.between(65, 90), code - 55).when(code >= 97, code - 61)
-    return place.when(code.isin(43, 45), F.lit(62)).otherwise(F.lit(63))
-
-
 def _chi(n: Column, size: int, squares: Column) -> Column:
     """Chi-squared z-value of ``n`` symbols of an alphabet of ``size``, 0 or more; ``squares``: sum of squared counts."""
     return F.greatest((squares * size / n - n - (size - 1)) / F.sqrt(2.0 * (size - 1) * (n - 1) / n), F.lit(0.0))
 
 
-def _runs(n: Column, high: Column, changes: Column) -> Column:
-    """z-value of the runs about the middle; ``high``: symbols of the upper half, ``changes`` of half."""
-    down = n - high
-    expected = 2 * high * down / n + 1
-    variance = (expected - 1) * (expected - 2) / (n - 1)
-    return F.when(variance > 0, (changes + 1 - expected) / F.sqrt(variance)).otherwise(F.sqrt(n))
+def _kinds(n: Column, shares: tuple[float, ...], counts: list[Column]) -> Column:
+    """z-value, 0 or more, of the numbers of small letters, capitals, digits and signs against their shares."""
+    held = [(c, p) for c, p in zip(counts, shares) if p]
+    chi = functools.reduce(operator.add, [F.pow(c - n * p, F.lit(2.0)) / (n * p) for c, p in held])
+    free = len(held) - 1
+    return F.greatest((chi - free) / math.sqrt(2 * free), F.lit(0.0))
+
+
+def _runs(n: Column, shares: tuple[float, ...], changes: Column) -> Column:
+    """z-value of the changes of class between neighbours, against independent characters of these shares."""
+    differ = 1 - sum(p * p for p in shares)
+    both = sum(p * (1 - p) ** 2 for p in shares) - differ * differ
+    return (changes - (n - 1) * differ) / F.sqrt((n - 1) * (differ - differ * differ) + 2 * (n - 2) * both)
 
 
 def _serial(n: Column, total: Column, square: Column, product: Column, ends: Column) -> Column:
@@ -108,7 +146,32 @@ def _serial(n: Column, total: Column, square: Column, product: Column, ends: Col
 
 def _statistic(codes: Column, size: int) -> Column:
     """The battery's statistic of character codes, for the alphabet of ``size`` symbols."""
-    def tests(x: Column) -> Column:
+    fold = 16 if size == 16 else 26
+    digit, lower, upper = (lambda c, lo=lo, hi=hi: c.between(lo, hi) for lo, hi in ((48, 57), (97, 122), (65, 90)))
+    one_case = size in (16, 36)
+
+    def kind(c: Column) -> Column:
+        return F.when(lower(c), 0).when(upper(c), 0 if one_case else 1).when(digit(c), 2).otherwise(3)
+
+    def classes(x: Column) -> Column:
+        """kinds² + runs² of the characters' classes ``x``."""
+        n = F.size(x).cast("double")
+        names = ("k0", "k1", "k2", "k3", "changes")
+        first = F.struct(*(F.lit(0.0).alias(a) for a in names), F.lit(-1).alias("last"))
+
+        def step(acc: Column, v: Column) -> Column:
+            counts = [(acc[f"k{k}"] + F.when(v == k, 1.0).otherwise(0.0)).alias(f"k{k}") for k in range(4)]
+            changes = acc["changes"] + F.when((acc["last"] >= 0) & (acc["last"] != v), 1.0).otherwise(0.0)
+            return F.struct(*counts, changes.alias("changes"), v.alias("last"))
+
+        def end(acc: Column) -> Column:
+            z, r = _kinds(n, SHARES[size], [acc[f"k{k}"] for k in range(4)]), _runs(n, SHARES[size], acc["changes"])
+            return z * z + r * r
+
+        return F.aggregate(x, first, step, end)
+
+    def symbols(x: Column) -> Column:
+        """chi² + serial² of the symbols ``x``."""
         n = F.size(x).cast("double")
         # sum of squared counts, from the lengths of the runs of equal symbols once they are sorted
         run = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("length"), F.lit(-1).alias("last"))
@@ -118,31 +181,26 @@ def _statistic(codes: Column, size: int) -> Column:
             return F.struct((acc["sum"] + 2 * length - 1).alias("sum"), length.alias("length"), v.alias("last"))
 
         squares = F.aggregate(F.array_sort(x), run, count, lambda acc: acc["sum"])
-        # one pass over adjacent symbols: sums, products, symbols of the upper half, changes of half
-        first = F.struct(*(F.lit(0.0).alias(a) for a in ("sum", "square", "product", "high", "changes")), F.lit(-1).alias("last"))
+        first = F.struct(*(F.lit(0.0).alias(a) for a in ("sum", "square", "product")), F.lit(-1).alias("last"))
 
         def step(acc: Column, v: Column) -> Column:
             d, before = v.cast("double"), acc["last"].cast("double")
-            has = acc["last"] >= 0
-            return F.struct(
-                (acc["sum"] + d).alias("sum"), (acc["square"] + d * d).alias("square"),
-                (acc["product"] + F.when(has, d * before).otherwise(0.0)).alias("product"),
-                (acc["high"] + F.when(v >= size // 2, 1.0).otherwise(0.0)).alias("high"),
-                (acc["changes"] + F.when(has & ((v >= size // 2) != (acc["last"] >= size // 2)), 1.0).otherwise(0.0)).alias("changes"),
-                v.alias("last"),
-            )
+            product = acc["product"] + F.when(acc["last"] >= 0, d * before).otherwise(0.0)
+            return F.struct((acc["sum"] + d).alias("sum"), (acc["square"] + d * d).alias("square"), product.alias("product"), v.alias("last"))
 
         def end(acc: Column) -> Column:
             ends = F.element_at(x, 1).cast("double") + F.element_at(x, -1).cast("double")
-            chi, runs = _chi(n, size, squares), _runs(n, acc["high"], acc["changes"])
-            serial = _serial(n, acc["sum"], acc["square"], acc["product"], ends)
-            return F.pow(chi, F.lit(2.0)) + runs * runs + serial * serial
+            chi, serial = _chi(n, fold, squares), _serial(n, acc["sum"], acc["square"], acc["product"], ends)
+            return chi * chi + serial * serial
 
-        return F.aggregate(x, first, step, end)
+        return F.when(F.size(x) < FEWEST, 0.0).otherwise(F.aggregate(x, first, step, end))
 
-    digits = F.transform(codes, lambda c: _digit(c, size))
-    # an array of one element binds the digits once, so that the tests don't compute them anew
-    return F.element_at(F.transform(F.array(digits), tests), 1)
+    letter = lambda c: F.when(lower(c), c - 97).otherwise(c - 65)
+    if size == 16:
+        drawn = F.transform(codes, lambda c: F.when(digit(c), c - 48).otherwise(letter(c) + 10))
+    else:
+        drawn = F.transform(F.filter(codes, lambda c: lower(c) | upper(c)), letter)
+    return _bound(F.transform(codes, kind), classes) + _bound(drawn, symbols)
 
 
 def _bin(value: Column) -> Column:
@@ -152,22 +210,27 @@ def _bin(value: Column) -> Column:
 def _ordinary(docs: DataFrame) -> DataFrame:
     """size, cell, bin of every stretch of letters of the distinct texts (_text), in every length class they fill.
 
-    Letters are numbers of five bits.  A text becomes five bit planes in words of 64 letters; a stretch takes its bits
-    out of them by shifts (up to 64 letters in lo, the rest in hi), and counts, sums and products are numbers of set
-    bits.  So no step goes over single letters.
+    Letters are numbers of five bits.  A text becomes five bit planes in words of 64 letters, and a sixth of the letters
+    that begin a word; a stretch takes its bits out of them by shifts (up to 64 letters in lo, the rest in hi), and
+    counts, sums and products are numbers of set bits.  So no step goes over single letters.
+
+    With w words begun in a stretch of n letters: in hex digits (letters modulo 16) and in 36 symbols every second word
+    ends in a digit, so that it changes class w times; in 62, words have a capital, in 64 a sign, and it changes 2 w times.
     """
     left, right = (lambda x, k, f=f: F.call_function(f, x, k) for f in ("shiftleft", "shiftrightunsigned"))
     bits, col = F.bit_count, F.col
-    texts = docs.select(F.lower(F.regexp_replace("_text", "[^A-Za-z]+", "")).alias("letters")).where(F.length("letters") >= LENGTHS[0]).distinct()
     alphabet = "abcdefghijklmnopqrstuvwxyz"
+    texts = docs.select(F.lower(F.btrim(F.regexp_replace("_text", "[^A-Za-z]+", " "))).alias("words")).where(F.length("words") >= LENGTHS[0]).distinct()
+    begins = F.translate(F.regexp_replace("words", "(^| )[a-z]", "1"), alphabet, "0" * 26)
+    texts = texts.select(F.translate("words", " ", "").alias("letters"), begins.alias("begins")).where(F.length("letters") >= LENGTHS[0])
 
     def plane(b: int) -> Column:
-        marks = F.translate(F.col("letters"), alphabet, "".join(str(k >> b & 1) for k in range(26)))
+        marks = F.translate("letters", alphabet, "".join(str(k >> b & 1) for k in range(26))) if b < 5 else F.col("begins")
         words = F.regexp_extract_all(marks, F.lit(".{1,64}"), F.lit(0))
         words = F.transform(words, lambda w: F.conv(F.rpad(w, 64, "0"), 2, -10).cast("long"))
         return F.concat(words, F.array(*[F.lit(0).cast("long")] * 3))
 
-    rows = texts.select(F.length("letters").alias("length"), *(plane(b).alias(f"w{b}") for b in range(5)))
+    rows = texts.select(F.length("letters").alias("length"), *(plane(b).alias(f"w{b}") for b in range(6)))
     rows = rows.withColumn("cell", F.explode(F.array(*map(F.lit, LENGTHS)))).where("length >= cell")
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("cell"), F.col("cell"))))
     cell, offset = F.col("cell"), F.col("at").bitwiseAND(63)
@@ -185,7 +248,7 @@ def _ordinary(docs: DataFrame) -> DataFrame:
         return F.when(rest > 0, right(x, 64 - rest)).otherwise(F.lit(0).cast("long"))
 
     parts = {"lo": 0, "hi": 1}
-    masks = [cut(word(b, k), part).alias(f"{part}{b}") for part, k in parts.items() for b in range(5)]
+    masks = [cut(word(b, k), part).alias(f"{part}{b}") for part, k in parts.items() for b in range(6)]
     valid = [cut(F.lit(-1).cast("long"), part).alias(part) for part in parts]
     rows = rows.select("cell", *masks, *valid)
     both = lambda f: f("lo") + f("hi")
@@ -203,24 +266,10 @@ def _ordinary(docs: DataFrame) -> DataFrame:
         pairs = [both(lambda p, b=b, c=c: bits(right(bit(p, b), F.lit(1)).bitwiseAND(bit(p, c)))) * (1 << b + c) for b in range(n) for c in range(n)]
         return total(pairs) + value(lambda b: last(bit("lo", b)), n) * value(lambda b: hi_first(bit("hi", b)), n)
 
-    def upper(part: str, half: int) -> Column:
-        """The letters of the upper half: 8 and more modulo 16, or 18 and more."""
-        if half == 8:
-            return bit(part, 3)
-        return bit(part, 4).bitwiseAND(bit(part, 3).bitwiseOR(bit(part, 2)).bitwiseOR(bit(part, 1)))
-
-    rows = rows.select("*", *(upper(p, half).alias(f"{p}_up{half}") for p in parts for half in (8, 18)))
-
-    def changes(half: int) -> Column:
-        up = lambda p: F.col(f"{p}_up{half}")
-        inner = both(lambda p: bits(right(up(p), F.lit(1)).bitwiseXOR(up(p)).bitwiseAND(right(F.col(p), F.lit(1)))))
-        return inner + F.when(rest > 0, (last(up("lo")) != hi_first(up("hi"))).cast("int")).otherwise(0)
-
     pairs = [(f"product{n}", product(n)) for n in (4, 5)]
     pairs += [(f"sum{n}", value(lambda b: both(lambda p, b=b: bits(bit(p, b))), n)) for n in (4, 5)]
     pairs += [(f"ends{n}", value(lambda b: lo_first(bit("lo", b)) + end(b), n)) for n in (4, 5)]
-    pairs += [(f"high{half}", both(lambda p, half=half: bits(col(f"{p}_up{half}")))) for half in (8, 18)]
-    pairs += [(f"changes{half}", changes(half)) for half in (8, 18)]
+    pairs += [("begun", both(lambda p: bits(bit(p, 5))))]
     rows = rows.select("cell", *(f"{p}{b}" for p in parts for b in ("", *range(5))), *(c.cast("double").alias(n) for n, c in pairs))
     kept = ["cell", *(n for n, _ in pairs)]
 
@@ -245,10 +294,15 @@ def _ordinary(docs: DataFrame) -> DataFrame:
     rows = rows.select(*kept, "squares26", "square26", *squared(16)).withColumn("n", F.col("cell").cast("double"))
     n = F.col("n")
     rows = rows.select("*", *(_serial(n, *(col(c) for c in (f"sum{k}", f"square{m}", f"product{k}", f"ends{k}"))).alias(f"serial{m}") for m, k in ((16, 4), (26, 5))))
-    rows = rows.select("*", _runs(n, col("high8"), col("changes8")).alias("runs16"), _runs(n, col("high18"), col("changes18")).alias("runs36"))
-    # letters don't reach the upper half of alphabets of 62 and 64 symbols
-    rows = rows.select("cell", "serial16", "serial26", "runs16", "runs36", F.sqrt(n).alias("runs62"), F.sqrt(n).alias("runs64"), *(_chi(n, a, col("squares16" if a == 16 else "squares26")).alias(f"chi{a}") for a in ALPHABETS))
-    sum_of = lambda a: total(col(c) * col(c) for c in (f"chi{a}", f"runs{a}", "serial16" if a == 16 else "serial26"))
+    w, zero = col("begun"), F.lit(0.0)
+    twice = F.least(2 * w, n - 1)
+    rows = rows.select(
+        "cell", "n", "serial16", "serial26", _chi(n, 16, col("squares16")).alias("chi16"), _chi(n, 26, col("squares26")).alias("chi26"),
+        *(_runs(n, SHARES[a], w).alias(f"runs{a}") for a in (16, 36)), *(_kinds(n, SHARES[a], [n - w / 2, zero, w / 2, zero]).alias(f"kinds{a}") for a in (16, 36)),
+        _runs(n, SHARES[62], twice).alias("runs62"), _kinds(n, SHARES[62], [n - w, w, zero, zero]).alias("kinds62"),
+        _runs(n, SHARES[64], twice).alias("runs64"), _kinds(n, SHARES[64], [n - w, zero, zero, w]).alias("kinds64"),
+    )
+    sum_of = lambda a: total(col(c) * col(c) for c in (f"runs{a}", f"kinds{a}", *(("chi16", "serial16") if a == 16 else ("chi26", "serial26"))))
     rows = rows.select("cell", *(_bin(sum_of(a)).alias(f"bin{a}") for a in ALPHABETS))
     return rows.select("cell", F.explode(F.array(*(F.struct(F.lit(a).alias("size"), F.col(f"bin{a}").alias("bin")) for a in ALPHABETS))).alias("x")).select("x.size", "cell", "x.bin")
 
@@ -278,10 +332,12 @@ def _base(df: DataFrame) -> DataFrame:
     return df.withColumn("base", F.array_sort(F.concat(*parts))).drop("assign", "access", "hex")
 
 
-def _tested(df: DataFrame) -> DataFrame:
-    """Adds tests: start, end, length class, alphabet size and codes of long tokens."""
-    df = _found(df, "token", TOKEN, 0, F.col("_text").rlike(TOKEN))
+def _tested(df: DataFrame, source: str = "_text") -> DataFrame:
+    """Adds tests: start, end, length class, alphabet size and codes of the long tokens of ``source``."""
+    df = _found(df, "token", TOKEN, 0, F.col(source).rlike(TOKEN), source)
     codes = lambda t: F.transform(F.split(t, ""), lambda c: F.ascii(c))
+    plain = lambda x: F.when(x["text"].rlike(UUID), F.lower(F.replace(x["text"], F.lit("-"), F.lit("")))).otherwise(x["text"])
+    df = df.withColumn("token", F.transform("token", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), plain(x).alias("text"))))
     kept = F.filter("token", lambda x: _size_of(x["text"]).isNotNull())
     return df.withColumn("tests", F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.length(x["text"]).alias("n"), _size_of(x["text"]).alias("size"), codes(x["text"]).alias("codes")))).drop("token")
 
@@ -325,13 +381,14 @@ def thresholds(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> d
         return {}
     rows = rows.withColumn("q", F.round(F.col("p") * total["bits"] / F.col("bits"), 6))
     # Benjamini-Hochberg over the distinct weighted p-values (six digits: bounded)
+    rows = rows.withColumn("q", F.when(F.col("bin") < int(RANDOM * 20), F.col("q")).otherwise(F.greatest("q", F.lit(1.0))))
     ranked = rows.groupBy("q").agg(F.sum("n").alias("n"))
     ranked = ranked.withColumn("k", F.sum("n").over(Window.orderBy("q").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     cut = ranked.where(F.col("q") <= F.col("k") * rate / total["m"]).agg(F.max("q")).first()[0]
     if cut is None:
         return {}
     cells = rows.where(F.col("q") <= cut).groupBy("size", "cell").agg(F.max("bin").alias("bin")).collect()
-    return {(r["size"], r["cell"]): (r["bin"] + 1) / 20 for r in cells}
+    return {(r["size"], r["cell"]): min((r["bin"] + 1) / 20, RANDOM) for r in cells}
 
 
 def scan(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> DataFrame:
@@ -341,7 +398,8 @@ def scan(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> DataFra
     df = docs.toDF(*(f"c{k}" for k in range(len(names)))).withColumn("_text", F.coalesce(F.col(f"c{names.index(text_col)}").cast("string"), F.lit("")))
     df = _base(df)
     if cut:
-        df = _tested(df)
+        # base spans are blanked, so that the battery sees what is beside them only
+        df = _tested(df.withColumn("_free", _rewritten(F.col("_text"), F.col("base"), lambda n, _: F.repeat(F.lit(" "), n))), "_free")
 
         def reported(x: Column) -> Column:
             most = F.lit(None).cast("double")
@@ -349,8 +407,7 @@ def scan(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> DataFra
                 most = F.when((x["size"] == size) & (_class_of(x["n"]) == cell), F.lit(value)).otherwise(most)
             return x["size"].isNotNull() & most.isNotNull() & (_value(x) < most)
 
-        free = F.filter("tests", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-        df = df.withColumn("free", free).withColumn("more", F.filter("free", reported))
+        df = df.withColumn("more", F.filter("tests", reported))
         more = F.transform("more", lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
         df = df.withColumn("base", F.array_sort(F.concat("base", more)))
     return df.select(*(F.col(f"c{k}").alias(n) for k, n in others(names, ["secrets"])), F.col("base").alias("secrets"))
@@ -362,14 +419,38 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", kind(x), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span replaced by ``mark``; overlapping spans give one mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _rewritten(text: Column, spans: Column, mark) -> Column:
+    """The text with ``mark`` (of the number of characters a span adds to the ones before, and whether it overlaps them) in
+    place of every span.
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["start"] >= acc["at"]
-        more = F.concat(acc["out"], text.substr(acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
+    Spans are taken TOGETHER at a time: each chunk of them works on the part of the text between its first and last span.
+    """
+    ends = lambda c: F.aggregate(c, F.lit(0), lambda acc, x: F.greatest(acc, x["end"]))
+    kind = "array<struct<from:int,to:int,spans:array<struct<start:int,kind:int,end:int>>>>"
+    begin = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), kind).alias("out"))
 
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    def locate(acc: Column, c: Column) -> Column:
+        upto = F.greatest(acc["at"], ends(c))
+        return F.struct(upto.alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("from"), upto.alias("to"), c.alias("spans")))).alias("out"))
+
+    def replaced(c: Column) -> Column:
+        def within(p: Column) -> Column:
+            start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+            def step(acc: Column, x: Column) -> Column:
+                first, stop, zero = x["start"] - c["from"], x["end"] - c["from"], F.lit(0)
+                added = F.greatest(stop - F.greatest(acc["at"], first), zero)
+                more = F.concat(acc["out"], p.substr(acc["at"] + 1, F.greatest(first - acc["at"], zero)), mark(added, first < acc["at"]))
+                return F.struct(F.greatest(acc["at"], stop).alias("at"), more.alias("out"))
+
+            return F.aggregate(c["spans"], start, step, lambda acc: acc["out"])
+
+        return _bound(text.substr(c["from"] + 1, c["to"] - c["from"]), within)
+
+    whole = lambda x: F.concat(F.array_join(F.transform(x["out"], replaced), ""), text.substr(x["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, _bound(F.aggregate(_chunks(spans), begin, locate), whole)).otherwise(text)
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with every span replaced by ``mark``; overlapping spans give one mark."""
+    return _rewritten(text, spans, lambda _, overlaps: F.when(overlaps, F.lit("")).otherwise(F.lit(mark)))

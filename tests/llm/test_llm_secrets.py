@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -50,19 +51,29 @@ def test_random_strings_are_found_and_words_left_alone(spark):
     assert hits == {k: [v] for k, v in planted.items()}
 
 
-def reference(letters, size):
-    """The battery's statistic of a stretch of letters, as defined."""
-    x = [(ord(c.lower()) - 97) % size for c in letters]
-    n, mean = len(x), sum(x) / len(x)
-    chi = (sum(v * v for v in collections.Counter(x).values()) * size / n - n - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n)
-    spread = sum(v * v for v in x) - n * mean * mean
-    lag = sum((a - mean) * (b - mean) for a, b in itertools.pairwise(x))
-    serial = (lag / spread + 1 / n) * math.sqrt(n) if spread > 1e-9 else math.sqrt(n)
-    up = [v >= size // 2 for v in x]
-    expected = 2 * sum(up) * (n - sum(up)) / n + 1
-    variance = (expected - 1) * (expected - 2) / (n - 1)
-    runs = (sum(a != b for a, b in itertools.pairwise(up)) + 1 - expected) / math.sqrt(variance) if variance > 0 else math.sqrt(n)
-    return max(chi, 0) ** 2 + runs * runs + serial * serial
+def reference(symbols, fold, counts, changes, size):
+    """The battery's statistic, as defined, from symbols, numbers of classes and changes of class."""
+    shares, n = secret_scan.SHARES[size], sum(counts)
+    chi = serial = 0.0
+    if len(symbols) >= secret_scan.FEWEST:
+        m, mean = len(symbols), sum(symbols) / len(symbols)
+        chi = (sum(v * v for v in collections.Counter(symbols).values()) * fold / m - m - (fold - 1)) / math.sqrt(2 * (fold - 1) * (m - 1) / m)
+        spread = sum((v - mean) ** 2 for v in symbols)
+        serial = (sum((a - mean) * (b - mean) for a, b in itertools.pairwise(symbols)) / spread + 1 / m) * math.sqrt(m) if spread > 1e-9 else math.sqrt(m)
+    held = [(c, p) for c, p in zip(counts, shares) if p]
+    kinds = (sum((c - n * p) ** 2 / (n * p) for c, p in held) - len(held) + 1) / math.sqrt(2 * (len(held) - 1))
+    differ = 1 - sum(p * p for p in shares)
+    both = sum(p * (1 - p) ** 2 for p in shares)
+    runs = (changes - (n - 1) * differ) / math.sqrt((n - 1) * (differ - differ**2) + 2 * (n - 2) * (both - differ**2))
+    return max(chi, 0) ** 2 + serial**2 + max(kinds, 0) ** 2 + runs**2
+
+
+def dressed(letters, begun, size):
+    """The statistic of a stretch of letters, ``begun`` of which begin a word."""
+    x, n, w = [ord(c) - 97 for c in letters], len(letters), begun
+    if size in (16, 36):
+        return reference([v % 16 for v in x] if size == 16 else x, 16 if size == 16 else 26, (n - w / 2, 0, w / 2, 0), w, size)
+    return reference(x, 26, (n - w, w, 0, 0) if size == 62 else (n - w, 0, 0, w), min(2 * w, n - 1), size)
 
 
 def test_null_takes_every_stretch_of_every_distinct_text(spark):
@@ -70,16 +81,81 @@ def test_null_takes_every_stretch_of_every_distinct_text(spark):
     texts = ["".join(rnd.choice("aeinrstABCxyz QZ.é9") for _ in range(n)) for n in (5, 17, 20, 90, 400, 700)]
     want = collections.Counter()
     for t in texts:
-        letters = re.sub("[^A-Za-z]", "", t)
+        words = re.sub("[^A-Za-z]+", " ", t).strip().lower().split(" ")
+        letters = "".join(words)
+        begins = [k == 0 for w in words for k in range(len(w))]
         for n in secret_scan.LENGTHS:
             for k in range(0, len(letters) - n + 1, n):
-                want.update((size, n, int(reference(letters[k : k + n], size) * 20 + 1e-9)) for size in secret_scan.ALPHABETS)
+                want.update((size, n, int(dressed(letters[k : k + n], sum(begins[k : k + n]), size) * 20 + 1e-9)) for size in secret_scan.ALPHABETS)
     docs = spark.createDataFrame([(t,) for t in texts * 2 + [""]], "_text string")
     got = collections.Counter(tuple(r) for r in secret_scan._ordinary(docs).collect())
     assert sum(got.values()) == sum(want.values())
     assert sum((got - want).values()) <= 2  # (rounding at a bin's edge)
 
 
+def token_statistic(token, size):
+    kind = lambda c: 2 if c.isdigit() else (0 if c.islower() or size in (16, 36) else 1) if c.isalpha() else 3
+    kinds = [kind(c) for c in token]
+    symbols = [int(c, 16) for c in token] if size == 16 else [ord(c.lower()) - 97 for c in token if c.isalpha()]
+    return reference(symbols, 16 if size == 16 else 26, [kinds.count(k) for k in range(4)], sum(a != b for a, b in itertools.pairwise(kinds)), size)
+
+
+def test_statistic_of_tokens(spark):
+    rnd = random.Random(4)
+    rows = [("".join(rnd.choice(a) for _ in range(n)), size) for n in (16, 23, 40, 150) for size, a in (
+        (16, "0123456789ABCDEF"), (36, "0123456789abcdefghij"), (62, "abcABCxyzXYZ012"), (64, "abcdXYZ01+/-_"), (62, "0123456789aB"), (36, "aaaaaaaaaaaaaaaaa1"))]
+    df = spark.createDataFrame(rows, "t string, size int").withColumn("codes", F.transform(F.split("t", ""), lambda c: F.ascii(c)))
+    got = df.select("t", "size", secret_scan._value(F.struct("size", "codes")).alias("q")).collect()
+    for r in got:
+        assert math.isclose(r["q"], token_statistic(r["t"], r["size"]), rel_tol=1e-9, abs_tol=1e-9), r
+
+
+ORDINARY = [
+    "AbstractSingletonProxyFactoryBean", "getElementByIdFromDocumentTree", "usr/local/share/documentation/Index", "en/articles/2021/05/how-to-learn-spark",
+    "the-quick-brown-fox-jumps-over-1", "user_account_settings_page_v2", "InternationalizationResourceBundleMessageSource", "org/apache/commons/collections/MapUtils",
+    "MAX_CONNECTION_TIMEOUT_SECONDS_2", "chapter12section4paragraph3", "com-example-project-module-core-api", "handleUserAuthenticationRequestFailure", "application2configuration",
+]
+
+
+def writing(rnd, n):
+    syllables = ["the", "ing", "er", "and", "tion", "re", "at", "on", "ed", "ma", "lo", "pis", "u", "que", "sto"]
+    return [" ".join("".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 4))) for _ in range(120)) for _ in range(n)]
+
+
+def test_identifiers_paths_and_slugs_are_no_secrets(spark):
+    rnd = random.Random(2)
+    rows = [(k, f"{t} {ORDINARY[k % len(ORDINARY)] if k % 5 == 0 else ''} end") for k, t in enumerate(writing(rnd, 600))]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    reported = [r["text"][x["start"] : x["end"]] for r in got for x in r["secrets"]]
+    assert len(reported) <= 0.05 * 120, reported
+
+
+def test_random_strings_of_every_encoding_are_found(spark):
+    rnd = random.Random(9)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    draw = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    uuid = lambda: "-".join(draw(digits + "abcdef", n) for n in (8, 4, 4, 4, 12))
+    kinds = [lambda: draw(lower + lower.upper() + digits, 24), lambda: draw(lower + lower.upper() + digits + "+/", 40), lambda: draw(lower + digits, 32), uuid]
+    texts = writing(rnd, 600)
+    planted = {k: kinds[k % 4]() for k in range(120)}
+    rows = [(k, f"{t} {planted[k]} end" if k in planted else f"{t} {ORDINARY[k % len(ORDINARY)] if k % 20 == 0 else ''}") for k, t in enumerate(texts)]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hits = {r["doc_id"]: [r["text"][x["start"] : x["end"]] for x in r["secrets"]] for r in got if r["secrets"]}
+    assert [k for k in planted if planted[k] not in hits.get(k, [])] == []
+    assert len([k for k in hits if k not in planted]) <= 6
+
+
+def test_text_with_many_hits_takes_linear_time(spark):
+    rnd = random.Random(1)
+    tokens = ["".join(rnd.choice("0123456789abcdef") for _ in range(16)) for _ in range(64_000)]
+    docs = spark.createDataFrame([(1, " ".join(tokens)), (2, "x")], "doc_id long, text string")
+    start = time.time()
+    found = secret_scan.scan(docs)
+    out = found.select("doc_id", F.size("secrets").alias("n"), secret_scan.redacted(F.col("text"), F.col("secrets")).alias("t")).orderBy("doc_id").collect()
+    assert out[0]["n"] == 64_000 and out[0]["t"] == " ".join(["[SECRET]"] * 64_000) and out[1]["t"] == "x"
+    assert time.time() - start < 60
+
+
 def test_few_documents_and_copies(spark):
     rnd = random.Random(6)
     syllables = ["the", "ing", "er", "and", "tion", "re", "at", "on", "ed"]
