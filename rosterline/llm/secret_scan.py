@@ -204,7 +204,8 @@ def _statistic(codes: Column, size: int) -> Column:
 
 
 def _bin(value: Column) -> Column:
-    return F.least(F.floor(value * 20), F.lit(1_000_000)).cast("long")
+    """Steps of 0.05; what exceeds RANDOM is one step, since none of it is reported."""
+    return F.least(F.floor(value * 20), F.lit(int(RANDOM * 20))).cast("long")
 
 
 def _ordinary(docs: DataFrame) -> DataFrame:
@@ -217,8 +218,6 @@ def _ordinary(docs: DataFrame) -> DataFrame:
     With w words begun in a stretch of n letters: in hex digits (letters modulo 16) and in 36 symbols every second word
     ends in a digit, so that it changes class w times; in 62, words have a capital, in 64 a sign, and it changes 2 w times.
     """
-    left, right = (lambda x, k, f=f: F.call_function(f, x, k) for f in ("shiftleft", "shiftrightunsigned"))
-    bits, col = F.bit_count, F.col
     alphabet = "abcdefghijklmnopqrstuvwxyz"
     texts = docs.select(F.lower(F.btrim(F.regexp_replace("_text", "[^A-Za-z]+", " "))).alias("words")).where(F.length("words") >= LENGTHS[0]).distinct()
     begins = F.translate(F.regexp_replace("words", "(^| )[a-z]", "1"), alphabet, "0" * 26)
@@ -231,10 +230,19 @@ def _ordinary(docs: DataFrame) -> DataFrame:
         return F.concat(words, F.array(*[F.lit(0).cast("long")] * 3))
 
     rows = texts.select(F.length("letters").alias("length"), *(plane(b).alias(f"w{b}") for b in range(6)))
-    rows = rows.withColumn("cell", F.explode(F.array(*map(F.lit, LENGTHS)))).where("length >= cell")
+    # stretches of up to 64 letters need no hi
+    short, long = ([n for n in LENGTHS if (n > 64) is far] for far in (False, True))
+    return _stretches(rows, short, ("lo",)).union(_stretches(rows, long, ("lo", "hi")))
+
+
+def _stretches(rows: DataFrame, lengths: list[int], parts: tuple[str, ...]) -> DataFrame:
+    """size, cell, bin of the stretches of some length classes; ``rows``: length and planes w0 to w5 of texts."""
+    left, right = (lambda x, k, f=f: F.call_function(f, x, k) for f in ("shiftleft", "shiftrightunsigned"))
+    bits, col = F.bit_count, F.col
+    rows = rows.withColumn("cell", F.explode(F.array(*map(F.lit, lengths)))).where("length >= cell")
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("cell"), F.col("cell"))))
     cell, offset = F.col("cell"), F.col("at").bitwiseAND(63)
-    rest = F.greatest(cell - 64, F.lit(0))
+    rest = cell - 64
 
     def word(b: int, k: int) -> Column:
         """64 letters from the stretch's letter 64 * k, the first in the highest bit."""
@@ -245,26 +253,25 @@ def _ordinary(docs: DataFrame) -> DataFrame:
         """The first letters of 64, as many as the part has, the last one in the lowest bit."""
         if part == "lo":
             return right(x, 64 - F.least(cell, F.lit(64)))
-        return F.when(rest > 0, right(x, 64 - rest)).otherwise(F.lit(0).cast("long"))
+        return right(x, 64 - rest)
 
-    parts = {"lo": 0, "hi": 1}
-    masks = [cut(word(b, k), part).alias(f"{part}{b}") for part, k in parts.items() for b in range(6)]
+    masks = [cut(word(b, k), part).alias(f"{part}{b}") for k, part in enumerate(parts) for b in range(6)]
     valid = [cut(F.lit(-1).cast("long"), part).alias(part) for part in parts]
     rows = rows.select("cell", *masks, *valid)
-    both = lambda f: f("lo") + f("hi")
+    both = lambda f: total([f(p) for p in parts])
     bit = lambda part, b: F.col(f"{part}{b}")
 
     last = lambda x: x.bitwiseAND(F.lit(1).cast("long")).cast("int")
     # the letters on both sides of the place where hi follows lo, and those at the ends
-    hi_first = lambda x: F.when(rest > 0, last(right(x, rest - 1))).otherwise(0)
+    hi_first = lambda x: last(right(x, rest - 1))
     lo_first = lambda x: last(right(x, F.least(cell, F.lit(64)) - 1))
-    end = lambda b: F.when(rest > 0, last(bit("hi", b))).otherwise(last(bit("lo", b)))
+    end = lambda b: last(bit(parts[-1], b))
     total = lambda xs: functools.reduce(operator.add, xs)
     value = lambda f, n: total(f(b) * (1 << b) for b in range(n))
 
     def product(n: int) -> Column:
         pairs = [both(lambda p, b=b, c=c: bits(right(bit(p, b), F.lit(1)).bitwiseAND(bit(p, c)))) * (1 << b + c) for b in range(n) for c in range(n)]
-        return total(pairs) + value(lambda b: last(bit("lo", b)), n) * value(lambda b: hi_first(bit("hi", b)), n)
+        return total(pairs) + (value(lambda b: last(bit("lo", b)), n) * value(lambda b: hi_first(bit("hi", b)), n) if "hi" in parts else F.lit(0))
 
     pairs = [(f"product{n}", product(n)) for n in (4, 5)]
     pairs += [(f"sum{n}", value(lambda b: both(lambda p, b=b: bits(bit(p, b))), n)) for n in (4, 5)]
