@@ -208,46 +208,66 @@ def _bin(value: Column) -> Column:
     return F.least(F.floor(value * 20), F.lit(int(RANDOM * 20))).cast("long")
 
 
+def _gathered(eight: list[Column], b: int) -> Column:
+    """Bit ``b`` of 64 letters, the first letter in the highest bit; ``eight``: numbers of eight bytes, a letter each.
+
+    The bits of eight letters come together by three shifts.
+    """
+    number = lambda x: F.lit(x).cast("long")
+
+    def byte(w: Column) -> Column:
+        x = F.shiftright(w, b).bitwiseAND(number(0x0101010101010101))
+        for step, mask in ((7, 0x0003000300030003), (14, 0x0000000F0000000F), (28, 0xFF)):
+            x = x.bitwiseOR(F.shiftright(x, step)).bitwiseAND(number(mask))
+        return x
+
+    return functools.reduce(Column.bitwiseOR, [F.shiftleft(byte(w), 56 - 8 * j) for j, w in enumerate(eight)])
+
+
 def _ordinary(docs: DataFrame) -> DataFrame:
     """size, cell, bin of every stretch of letters of the distinct texts (_text), in every length class they fill.
 
-    Letters are numbers of five bits.  A text becomes five bit planes in words of 64 letters, and a sixth of the letters
-    that begin a word; a stretch takes its bits out of them by shifts (up to 64 letters in lo, the rest in hi), and
-    counts, sums and products are numbers of set bits.  So no step goes over single letters.
+    Letters are numbers of five bits, from 1.  64 letters become five bit planes, and a sixth of the letters that begin a
+    word (capitals, whose bit of 32 isn't set); a stretch takes its bits out of them by shifts (up to 64 letters in lo, the
+    rest in hi), and counts, sums and products are numbers of set bits.  So no step goes over single letters.
 
     With w words begun in a stretch of n letters: in hex digits (letters modulo 16) and in 36 symbols every second word
     ends in a digit, so that it changes class w times; in 62, words have a capital, in 64 a sign, and it changes 2 w times.
     """
-    alphabet = "abcdefghijklmnopqrstuvwxyz"
-    texts = docs.select(F.lower(F.btrim(F.regexp_replace("_text", "[^A-Za-z]+", " "))).alias("words")).where(F.length("words") >= LENGTHS[0]).distinct()
-    begins = F.translate(F.regexp_replace("words", "(^| )[a-z]", "1"), alphabet, "0" * 26)
-    texts = texts.select(F.translate("words", " ", "").alias("letters"), begins.alias("begins")).where(F.length("letters") >= LENGTHS[0])
-
-    def plane(b: int) -> Column:
-        marks = F.translate("letters", alphabet, "".join(str(k >> b & 1) for k in range(26))) if b < 5 else F.col("begins")
-        words = F.regexp_extract_all(marks, F.lit(".{1,64}"), F.lit(0))
-        words = F.transform(words, lambda w: F.conv(F.rpad(w, 64, "0"), 2, -10).cast("long"))
-        return F.concat(words, F.array(*[F.lit(0).cast("long")] * 3))
-
-    rows = texts.select(F.length("letters").alias("length"), *(plane(b).alias(f"w{b}") for b in range(6)))
+    texts = docs.select(F.initcap(F.btrim(F.regexp_replace("_text", "[^A-Za-z]+", " "))).alias("words")).where(F.length("words") >= LENGTHS[0]).distinct()
+    texts = texts.select(F.replace("words", F.lit(" "), F.lit("")).alias("letters")).where(F.length("letters") >= LENGTHS[0])
+    # a row for every 64 letters, with the two pieces that follow, so that stretches are cut within a row
+    texts = texts.select(F.length("letters").alias("length"), F.regexp_extract_all("letters", F.lit(".{1,64}"), F.lit(0)).alias("p"))
+    behind = lambda k: F.slice("p", k + 1, F.size("p"))
+    rows = texts.select("length", F.posexplode(F.arrays_zip(F.col("p").alias("p0"), behind(1).alias("p1"), behind(2).alias("p2"))).alias("k", "z"))
+    # (what fills the last piece up has no bit but that of 32)
+    rows = rows.select("length", "k", *(F.hex(F.rpad(F.coalesce(F.col("z")[f"p{j}"], F.lit("")), 64, "`")).alias(f"h{j}") for j in range(3)))
+    eight = lambda j, i: F.conv(F.substring(f"h{j}", 16 * i + 1, 16), 16, 10).cast("long")
+    rows = rows.select("length", "k", *(eight(j, i).alias(f"e{j}{i}") for j in range(3) for i in range(8)))
+    for j in range(3):
+        planes = [_gathered([F.col(f"e{j}{i}") for i in range(8)], b) for b in range(6)]
+        planes[5] = F.bitwise_not(planes[5])
+        rows = rows.select(*(c for c in rows.columns if not c.startswith(f"e{j}")), *(x.alias(f"w{b}_{j}") for b, x in enumerate(planes)))
     # stretches of up to 64 letters need no hi
     short, long = ([n for n in LENGTHS if (n > 64) is far] for far in (False, True))
     return _stretches(rows, short, ("lo",)).union(_stretches(rows, long, ("lo", "hi")))
 
 
 def _stretches(rows: DataFrame, lengths: list[int], parts: tuple[str, ...]) -> DataFrame:
-    """size, cell, bin of the stretches of some length classes; ``rows``: length and planes w0 to w5 of texts."""
+    """size, cell, bin of the stretches of some length classes; ``rows``: a text's length, the piece's number k, and the planes
+    w0_j to w5_j of it (j = 0) and the two that follow.  A stretch belongs to the piece where it begins."""
     left, right = (lambda x, k, f=f: F.call_function(f, x, k) for f in ("shiftleft", "shiftrightunsigned"))
     bits, col = F.bit_count, F.col
-    rows = rows.withColumn("cell", F.explode(F.array(*map(F.lit, lengths)))).where("length >= cell")
-    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - F.col("cell"), F.col("cell"))))
-    cell, offset = F.col("cell"), F.col("at").bitwiseAND(63)
+    rows = rows.withColumn("cell", F.explode(F.array(*map(F.lit, lengths))))
+    cell, offset, begin = F.col("cell"), F.col("at"), F.col("k") * 64
+    first = F.pmod(-begin, cell)  # of the stretches that begin in the piece, from its start
+    rows = rows.withColumn("first", first).withColumn("last", F.least(F.lit(63), F.col("length") - cell - begin)).where("first <= last")
+    rows = rows.withColumn("at", F.explode(F.sequence("first", "last", "cell"))).drop("first", "last", "k", "length")
     rest = cell - 64
 
     def word(b: int, k: int) -> Column:
         """64 letters from the stretch's letter 64 * k, the first in the highest bit."""
-        get = lambda j: F.coalesce(F.get(f"w{b}", F.shiftright("at", 6) + j), F.lit(0).cast("long"))
-        return left(get(k), offset).bitwiseOR(right(right(get(k + 1), F.lit(1)), 63 - offset))
+        return left(col(f"w{b}_{k}"), offset).bitwiseOR(right(right(col(f"w{b}_{k + 1}"), F.lit(1)), 63 - offset))
 
     def cut(x: Column, part: str) -> Column:
         """The first letters of 64, as many as the part has, the last one in the lowest bit."""
@@ -290,14 +310,14 @@ def _stretches(rows: DataFrame, lengths: list[int], parts: tuple[str, ...]) -> D
     lows = [meet(chosen(p, t, range(2))).alias(f"{p}_low{t}") for p in parts for t in range(4)]
     rows = rows.select(*kept, *tops, *lows)
     number = lambda k: both(lambda p: bits(F.col(f"{p}_top{k >> 2}").bitwiseAND(F.col(f"{p}_low{k & 3}"))).cast("double"))
-    rows = rows.select(*kept, *(number(k).alias(f"c{k}") for k in range(26)))
-    names = {26: [f"c{k}" for k in range(26)], 16: [f"d{k}" if k < 10 else f"c{k}" for k in range(16)]}
+    rows = rows.select(*kept, *(number(k).alias(f"c{k}") for k in range(1, 27)))
+    names = {26: {k: f"c{k}" for k in range(1, 27)}, 16: {0: "c16"} | {k: f"d{k}" if k < 11 else f"c{k}" for k in range(1, 16)}}
 
     def squared(m: int) -> list[Column]:
-        cs = [F.col(c) for c in names[m]]
-        return [total(c * c for c in cs).alias(f"squares{m}"), total(c * float(k * k) for k, c in enumerate(cs)).alias(f"square{m}")]
+        cs = {k: F.col(c) for k, c in names[m].items()}
+        return [total(c * c for c in cs.values()).alias(f"squares{m}"), total(c * float(k * k) for k, c in cs.items()).alias(f"square{m}")]
 
-    rows = rows.select(*kept, *squared(26), *(f"c{k}" for k in range(10, 16)), *((F.col(f"c{k}") + F.col(f"c{k + 16}")).alias(f"d{k}") for k in range(10)))
+    rows = rows.select(*kept, *squared(26), *(f"c{k}" for k in range(11, 17)), *((F.col(f"c{k}") + F.col(f"c{k + 16}")).alias(f"d{k}") for k in range(1, 11)))
     rows = rows.select(*kept, "squares26", "square26", *squared(16)).withColumn("n", F.col("cell").cast("double"))
     n = F.col("n")
     rows = rows.select("*", *(_serial(n, *(col(c) for c in (f"sum{k}", f"square{m}", f"product{k}", f"ends{k}"))).alias(f"serial{m}") for m, k in ((16, 4), (26, 5))))

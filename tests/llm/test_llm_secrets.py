@@ -72,7 +72,7 @@ def dressed(letters, begun, size):
     """The statistic of a stretch of letters, ``begun`` of which begin a word."""
     x, n, w = [ord(c) - 97 for c in letters], len(letters), begun
     if size in (16, 36):
-        return reference([v % 16 for v in x] if size == 16 else x, 16 if size == 16 else 26, (n - w / 2, 0, w / 2, 0), w, size)
+        return reference([(v + 1) % 16 for v in x] if size == 16 else x, 16 if size == 16 else 26, (n - w / 2, 0, w / 2, 0), w, size)
     return reference(x, 26, (n - w, w, 0, 0) if size == 62 else (n - w, 0, 0, w), min(2 * w, n - 1), size)
 
 
