@@ -29,7 +29,7 @@ from .common import ship_code, stage
 from .components import components
 
 #: Classes per bucket that the number of hyperplanes aims at, classes per block, chance to miss a pair.
-CROWD, BLOCK, MISSED = 32, 512, 1e-5
+CROWD, BLOCK, MISSED = 512, 1024, 1e-5
 
 
 def table_sizes(classes: int, threshold: float) -> tuple[int, int]:
