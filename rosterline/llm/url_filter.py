@@ -1,8 +1,8 @@
 """URL filter: rules first, else naive Bayes on the words of host and path.
 
-Host names are often several words written together.  A unigram model, counted over the titles of all pages and the
-words of all paths, splits them by Viterbi's algorithm into their most likely words.  The top-level domain is one word
-as it stands.  Multinomial naive Bayes then scores the words of host and path.  Its classes are learned from all urls: those with a word of a short list of
+Host names are often several words written together.  A unigram model, counted over the titles of all pages, the words
+of all paths and the words of all hosts that hyphens set apart, splits them by Viterbi's algorithm into their most
+likely words.  The top-level domain is one word as it stands.  Multinomial naive Bayes then scores the words of host and path.  Its classes are learned from all urls: those with a word of a short list of
 unwanted words (``seeds``) against the others, so that words which go along with these count as well.
 
 Null urls and such without "://" have an empty host and path; without words the prior decides (allow, unless most
@@ -65,6 +65,12 @@ def host_parts(host: Column) -> Column:
     return F.filter(F.split(names, r"[^\p{L}]+"), lambda w: F.length(w) > 0)
 
 
+def hyphened_words(host: Column) -> Column:
+    """Words that a hyphen sets apart in the host's labels, without the top-level domain."""
+    labels = F.filter(F.split(F.regexp_replace(host, _TOP, ""), r"\."), lambda label: label.contains("-"))
+    return F.filter(F.flatten(F.transform(labels, lambda label: F.split(label, r"[^\p{L}]+"))), lambda w: F.length(w) > 0)
+
+
 def top_level(host: Column) -> Column:
     """The top-level domain as an array of one word; empty if the host has none, or a number (of an address) there."""
     label = F.regexp_extract(host, _TOP, 1)
@@ -120,12 +126,13 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
     urls = stage(pages.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path")), "urls")
     paths = stage(urls.groupBy("path").agg(F.count("*").alias("n")).withColumn("words", path_words(F.col("path"))), "paths")
     titles = pages.select(F.explode(F.split(F.lower(F.regexp_extract(F.coalesce(F.col(html_col), F.lit("")), "(?is)<title>([^<]*)", 1)), r"[^\p{L}]+")).alias("word"))
+    hosts = stage(urls.groupBy("host").agg(F.count("*").alias("n")).withColumn("parts", host_parts(F.col("host"))), "hosts")
     said = titles.groupBy("word").agg(F.count("*").alias("n")).union(paths.select(F.explode("words").alias("word"), "n"))
+    said = said.union(hosts.select(F.explode(hyphened_words(F.col("host"))).alias("word"), "n"))
     unigrams = said.where(F.length("word").between(1, WORD)).groupBy("word").agg(F.sum("n").alias("n"))
     listed = urls.sparkSession.createDataFrame([(w, 1) for w in seeds], "word string, n long")
     unigrams = stage(unigrams.union(listed).groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
 
-    hosts = stage(urls.groupBy("host").agg(F.count("*").alias("n")).withColumn("parts", host_parts(F.col("host"))), "hosts")
     every = hosts.select("host", F.posexplode("parts").alias("at", "part"))
     split = stage(segmented(every.select("part").distinct(), unigrams), "split")
     words = every.join(broadcast_checked(split, SMALL), "part").groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("w"))

@@ -47,3 +47,16 @@ def test_verdicts(spark):
     bad = F.col("host").rlike("spam-farm|cheap-pills|casino-win|free-bets|adult-x|ads-track")
     got = url_filter.judged(pages, []).groupBy(bad.alias("bad"), "verdict").count().collect()
     assert {(r["bad"], r["verdict"]) for r in got} == {(True, "block"), (False, "allow")}
+
+
+def test_words_that_hyphens_set_apart(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = {r["host"]: r["host_words"] for r in url_filter.judged(pages, []).select("host", "host_words").distinct().collect()}
+    marked = {h: w for h, w in got.items() if "-" in h}
+    assert marked
+    for h, words in marked.items():
+        assert words == [p for p in h.replace("-", ".").split(".") if p]
+    hosts = [(k, f"http://{h}.net/a") for k, h in enumerate(["free-win", "big-win.shop", "freewin", "bigfree", "w-1-x"] * 4)]
+    joined = spark.createDataFrame(hosts, "page_id long, url string").selectExpr("*", "cast(null as string) as html")
+    words = {r["host"]: r["host_words"][:2] for r in url_filter.judged(joined, []).collect()}
+    assert words["freewin.net"] == ["free", "win"] and words["bigfree.net"] == ["big", "free"] and words["w-1-x.net"] == ["w", "x"]
