@@ -331,7 +331,12 @@ def _cut(length: int):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
-    """id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the other bytes) of every row."""
+    """id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the other bytes) of every row.
+
+    ``length``: ANCHOR to ANCHOR + 62 bytes (an anchor's windows and distance are numbers below 64), else a ValueError.
+    """
+    if not ANCHOR <= length <= ANCHOR + 62:
+        raise ValueError(f"length {length} isn't in {ANCHOR} to {ANCHOR + 62}")
     ship_code(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("k"), text_of(text_col).cast("binary").alias("text"))
     if rows.groupBy("k").count().where("count > 1").isEmpty():

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from rosterline.llm import suffix_dedup as sd
 
@@ -61,3 +62,9 @@ def test_documents(spark, monkeypatch):
     run = lambda d: sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in sd.remove_repeats(d).collect()), key=str)
     assert run(df) == brute(rows)
     assert run(df.limit(0)) == []
+    for length in (sd.ANCHOR, sd.ANCHOR + 62):
+        got = sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in sd.remove_repeats(df, length=length).collect()), key=str)
+        assert got == brute(rows, length)
+    for length in (0, sd.ANCHOR - 1, sd.ANCHOR + 63, 200):
+        with pytest.raises(ValueError):
+            sd.remove_repeats(df, length=length)
