@@ -1,5 +1,7 @@
 """The pipeline: each stage's decisions on its own input, and the whole run."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from test_llm_near import brute
 from test_llm_secrets import base
@@ -53,3 +55,13 @@ def test_repeated_and_odd_rows(spark):
     assert corpus_pipeline.secrets(spark, docs, SF).count() == 5
     assert corpus_pipeline.mixed(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.encoded(spark, docs, SF).count() == 5
+
+
+def test_different_texts_of_one_id_stay(spark):
+    a, b, c = "a b c d e f g h i j", "k l m n o p q r s t", "u v w x y z 1 2 3 4"
+    rows = [(1, a, "p"), (1, b, "p"), (1, b, "q"), (2, a, "p"), (3, c, "p"), (4, b + " five", "p"), (None, c, "p"), (5, None, "p"), (5, "", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("extra", F.create_map(F.lit("x"), F.lit(1)))
+    alone = corpus_pipeline.near(spark, docs, SF)
+    assert alone.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in alone.collect())
+    assert got == sorted([("1", a), ("1", b), ("3", c), ("None", c), ("5", "None"), ("5", "")])
