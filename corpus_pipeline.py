@@ -11,14 +11,17 @@ The last stage's rows may repeat an id, once for each copy that mixing made.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterline.llm import bpe_codec, line_crf, minhash, mixing, secret_scan
 from rosterline.llm.common import broadcast_checked, stage, table
 from rosterline.llm.queries import vocabulary
+from rosterline.operators.dense_index import dense_index
 
 #: Dropped ids are broadcast up to this many (16 bytes each in a hash table), else joined by sorting.
 DROPPED = 1_000_000
+#: Column that numbers the documents where ids repeat.
+NUMBER = "_near_number"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +31,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near-duplicates, and one row of a repeated id."""
-    found = stage(minhash.near_duplicates(docs, size=5, percent=80), "near")
-    dropped = found.where("not kept").select("doc_id").distinct()
-    kept = docs.join(broadcast_checked(dropped, DROPPED), "doc_id", "left_anti").select(*docs.columns)
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    order = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())).orderBy(F.col("text").asc_nulls_last())
-    return kept.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    """Keeps the document with the smallest id of each group of near-duplicates.
+
+    Rows of a repeated id are documents of their own where their texts differ, and one document where id and text are
+    equal (of their other columns one row's stay).  Rows with a null id stay.
+    """
+    columns, key = docs.columns, "doc_id"
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        docs, key = stage(_numbered(docs), "numbered"), NUMBER
+    found = stage(minhash.near_duplicates(docs, id_col=key, size=5, percent=80), "near")
+    dropped = found.where("not kept").select(key)
+    return docs.join(broadcast_checked(dropped, DROPPED), key, "left_anti").select(*columns)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Each id and text once, with a number in the order of ids and of the texts' hashes; the number of null ids is null."""
+    columns = docs.columns
+    rows = docs.withColumn(f"{NUMBER}_text", F.coalesce(F.sha2("text", 256), F.lit("")))
+    known = rows.where("doc_id is not null")
+    numbers = dense_index(known.select("doc_id", f"{NUMBER}_text").distinct(), ["doc_id", f"{NUMBER}_text"], NUMBER)
+    whole = F.struct(*columns)
+    once = known.join(numbers, ["doc_id", f"{NUMBER}_text"]).groupBy(NUMBER).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("_row"))
+    once = once.select(*(F.col(f"_row.`{c}`").alias(c) for c in columns), NUMBER)
+    return once.unionByName(docs.where("doc_id is null").withColumn(NUMBER, F.lit(None).cast("long")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
