@@ -43,9 +43,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it holds at most ``max_rows`` rows (counted first), else unmarked (sort-merge)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_checked(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it holds at most ``max_rows`` rows (counted first), else unmarked (sort-merge).
+
+    ``max_bytes``: for rows of any length, their bytes as JSON are summed and bounded as well.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        return df
+    if max_bytes is not None and (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) > max_bytes:
+        return df
+    return F.broadcast(df)
 
 
 def dealt(df: DataFrame, *keys: str) -> DataFrame:

@@ -26,6 +26,8 @@ SEEDS = ("ads", "adult", "bets", "casino", "escort", "gambling", "payday", "pill
 WORD = 20
 #: Tables of hosts, paths and words are broadcast up to this many rows, else joined by sorting.
 SMALL = 100_000
+#: ... and up to this many bytes, as paths and hosts may be long.
+SMALL_BYTES = 64 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The host's last label, without a port or the root's dot.
@@ -135,7 +137,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
 
     every = hosts.select("host", F.posexplode("parts").alias("at", "part"))
     split = stage(segmented(every.select("part").distinct(), unigrams), "split")
-    words = every.join(broadcast_checked(split, SMALL), "part").groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("w"))
+    words = every.join(broadcast_checked(split, SMALL, SMALL_BYTES), "part").groupBy("host").agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("w"))
     words = words.select("host", F.flatten(F.col("w.words")).alias("words"))
     hosts = hosts.select("host").join(words, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     hosts = hosts.withColumn("words", F.concat("words", top_level(F.col("host"))))
@@ -144,7 +146,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "p
     marked = paths.select("path", bad.alias("path_bad"))
 
     # classes of all urls, counted by word
-    small = lambda t: broadcast_checked(t, SMALL)
+    small = lambda t: broadcast_checked(t, SMALL, SMALL_BYTES)
     seen = urls.join(small(hosts.select("host", "bad")), "host").join(small(marked), "path").withColumn("class", (F.col("bad") | F.col("path_bad")).cast("int"))
     seen = stage(seen.groupBy("host", "path").agg(F.sum("class").alias("bad"), F.count("*").alias("n")), "classes")
     by = lambda key, t: seen.groupBy(key).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).join(small(t.select(key, "words")), key).select(F.explode("words").alias("word"), "bad", "n")

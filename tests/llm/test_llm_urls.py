@@ -60,3 +60,12 @@ def test_words_that_hyphens_set_apart(spark):
     joined = spark.createDataFrame(hosts, "page_id long, url string").selectExpr("*", "cast(null as string) as html")
     words = {r["host"]: r["host_words"][:2] for r in url_filter.judged(joined, []).collect()}
     assert words["freewin.net"] == ["free", "win"] and words["bigfree.net"] == ["big", "free"] and words["w-1-x.net"] == ["w", "x"]
+
+
+def test_long_paths_are_joined_by_sorting(spark, monkeypatch):
+    """The verdicts are the same without any broadcast of paths and hosts."""
+    rows = [(k, f"http://big-sex{k % 3}.com/{'p' * 3000}{k}/x") for k in range(40)] + [(99, None), (100, "http://a.org/b")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "cast(null as string) as html")
+    want = sorted(map(str, url_filter.judged(pages, []).collect()))
+    monkeypatch.setattr(url_filter, "SMALL_BYTES", 0)
+    assert sorted(map(str, url_filter.judged(pages, []).collect())) == want
