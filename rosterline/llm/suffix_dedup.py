@@ -23,7 +23,7 @@ empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -65,35 +65,41 @@ def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _all_words(text: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(text) - 7, np.uint64)
-    for j in range(8):
-        out = out << np.uint64(8) | text[j : len(text) - 7 + j]
+    two = text.astype(np.uint16)
+    two = two[:-1] << np.uint16(8) | two[1:]
+    four = two.astype(np.uint32)
+    four = four[:-2] << np.uint32(16) | four[2:]
+    eight = four.astype(np.uint64)
+    return eight[:-4] << np.uint64(32) | eight[4:]
+
+
+def _open(new: np.ndarray) -> np.ndarray:
+    """Whether each row is one of several equal ones; ``new``: whether it differs from the row before."""
+    out = ~new
+    out[:-1] |= out[1:]
     return out
 
 
-def _ranked(keys: list[np.ndarray]) -> np.ndarray:
-    """Dense ranks of rows by ``keys``, the first key first.
+def _refine(order: np.ndarray, new: np.ndarray, keys: list[Callable[[np.ndarray], np.ndarray]]) -> None:
+    """Sorts runs of equal rows by further keys, each of which gives the values of the rows that are still tied.
 
-    Sorted by the first key; a later key sorts only the runs of equal rows that it tells apart.
+    Changes ``order`` and ``new`` (whether a row in this order differs from the one before).
     """
-    order = np.argsort(keys[0])
-    sorted_ = keys[0][order]
-    new = np.append(True, sorted_[1:] != sorted_[:-1])[: len(order)]
-    for key in keys[1:]:
-        value, run = key[order], np.cumsum(new)
-        differs = np.append(False, (value[1:] != value[:-1]) & ~new[1:])[: len(order)]
+    for key in keys:
+        places = np.flatnonzero(_open(new))
+        if not len(places):
+            return
+        rows = order[places]
+        value, run = key(rows), np.cumsum(new[places])
+        differs = np.append(False, value[1:] != value[:-1]) & ~new[places]
         if not differs.any():
             continue
-        open_ = np.zeros(len(order) + 1, bool)
-        open_[run[differs]] = True
-        places = np.flatnonzero(open_[run])
-        rows = order[places]
-        order[places] = rows[np.lexsort((key[rows], run[places]))]
-        value = key[order]
-        new[1:] |= value[1:] != value[:-1]
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new) - 1
-    return rank
+        mixed = np.zeros(run[-1] + 1, bool)
+        mixed[run[differs]] = True
+        at = np.flatnonzero(mixed[run])
+        by = at[np.lexsort((value[at], run[at]))]
+        order[places[at]], value[at] = rows[by], value[by]
+        new[places[1:]] |= value[1:] != value[:-1]
 
 
 def cover_ranks(text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,28 +110,33 @@ def cover_ranks(text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     residue = np.zeros(PERIOD, bool)
     residue[list(COVER)] = True
     places = np.flatnonzero(np.tile(residue, size // PERIOD + 1)[:size])
-    rank = _ranked([_words(text, places + 8 * j) for j in range(PERIOD // 8)])
+    first = _words(text, places)
+    order = np.argsort(first)
+    new = np.append(True, first[order][1:] != first[order][:-1])[: len(order)]
+    _refine(order, new, [lambda rows, j=j: _words(text, places[rows] + j) for j in range(8, PERIOD, 8)])
+    rank = np.empty(len(order), np.int64)
     per = len(COVER)  # the sample's next row at distance 32 is this many rows on
     for step in (per, 2 * per):
+        rank[order] = np.cumsum(new) - 1
         ahead = np.concatenate((rank[step:] + 1, np.zeros(min(step, len(rank)), np.int64)))[: len(rank)]
-        rank = _ranked([rank, ahead])
+        _refine(order, new, [lambda rows, ahead=ahead: ahead[rows]])
+    rank[order] = np.cumsum(new) - 1
     return places, rank
 
 
-def sort_bucket(text: np.ndarray, at: np.ndarray, rank_at: np.ndarray, buckets: tuple[np.ndarray, ...] = ()) -> np.ndarray:
+def sort_bucket(text: np.ndarray, at: np.ndarray, rank_at: np.ndarray, fresh: np.ndarray | None = None) -> np.ndarray:
     """The order of the suffixes that start at ``at``; ``rank_at``: the sample's ranks by place, -1 elsewhere.
 
-    ``buckets``: numbers of smaller buckets, which then stay apart.
+    ``fresh``: where smaller buckets begin, which stay apart and in this order.
     """
-    first = _ranked([*buckets, *(_words(text, at + 8 * j) for j in range(PERIOD // 8))])
-    order = np.argsort(first, kind="stable")
-    tied = first[order]
-    run = np.flatnonzero(np.append(True, tied[1:] != tied[:-1]))
-    many = np.repeat(np.diff(np.append(run, len(tied))) > 1, np.diff(np.append(run, len(tied))))
-    open_ = order[many]  # suffixes that share their first 32 bytes with others, by group
+    order, new = np.arange(len(at)), np.arange(len(at)) == 0 if fresh is None else fresh.copy()
+    new[:1] = True
+    _refine(order, new, [lambda rows, j=j: _words(text, at[rows] + j) for j in range(0, PERIOD, 8)])
+    many = _open(new)
+    open_, group = order[many], np.cumsum(new)[many]  # suffixes that share their first 32 bytes with others, by group
     if not len(open_):
         return order
-    group, residue = first[open_], at[open_] % PERIOD
+    residue = at[open_] % PERIOD
     # within a residue, the sample's ranks at one distance decide
     rank = rank_at[at[open_] + DISTANCE[residue, residue]].astype(np.int64)
     by = np.lexsort((rank, residue, group))
@@ -168,16 +179,19 @@ def repeated(text: np.ndarray, at: np.ndarray, bucket: np.ndarray, age: np.ndarr
     rank_at[places] = ranks
     by = np.argsort(bucket, kind="stable")
     fresh = np.append(True, bucket[by][1:] != bucket[by][:-1])
-    edges, number = np.flatnonzero(fresh), np.cumsum(fresh)
+    edges = np.flatnonzero(fresh)
     ends, start = np.append(edges[1:], len(by)), 0
     while start < len(by):
         stop = ends[np.searchsorted(ends, min(start + BUCKET, len(by)), side="right") - 1] if ends[np.searchsorted(ends, start, side="right")] <= start + BUCKET else ends[np.searchsorted(ends, start, side="right")]
         part = by[start:stop]
-        part = part[sort_bucket(text, at[part], rank_at, (number[start:stop],))]
+        part = part[sort_bucket(text, at[part], rank_at, fresh[start:stop])]
+        same = ~fresh[start + 1 : stop]  # smaller buckets stayed in their order
         x, y = at[part[:-1]], at[part[1:]]
-        same = np.ones(len(x), bool)
+        left = np.flatnonzero(same)
         for j in [*range(0, length - 7, 8), length - 8]:
-            same[same] = _words(text, x[same] + j) == _words(text, y[same] + j)
+            left = left[_words(text, x[left] + j) == _words(text, y[left] + j)]
+        same = np.zeros(len(same), bool)
+        same[left] = True
         group = np.cumsum(np.append(True, ~same)) - 1
         least = np.minimum.reduceat(age[part], np.flatnonzero(np.append(True, ~same)))
         out[part] = age[part] > least[group]
@@ -221,29 +235,36 @@ def _all_anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _windows(rows: list[tuple[int, int, int, int, int]], texts: list[bytes], hashes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Sorts the windows of slices: rows (k, seq, start, count, anchor's place) with their text.
+def _shared(hashes: np.ndarray) -> np.ndarray:
+    """Whether another slice has the same anchor; windows of the others repeat nothing here and need no sorting."""
+    _, which, many = np.unique(hashes, return_inverse=True, return_counts=True)
+    return many[which] > 1
+
+
+def _windows(k: np.ndarray, seq: np.ndarray, start: np.ndarray, count: np.ndarray, place: np.ndarray, hashes: np.ndarray, texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """Sorts the windows of slices: document, start, number of windows, place and hash of the anchor, and text of each.
 
     Per window: row, start, whether repeated.  Slices are laid out so that anchors stand at multiples of PERIOD; so
     equal windows mostly have the same residue.
     """
-    k, seq, start, count, place = (np.array(c, np.int64) for c in zip(*rows, strict=True))
-    parts, offsets, size = [], np.empty(len(rows), np.int64), 0
+    parts, offsets, size = [], np.empty(len(texts), np.int64), 0
     for i, (t, ahead) in enumerate(zip(texts, (place - start).tolist(), strict=True)):
         pad = -(size + ahead) % PERIOD
         parts += (_PADS[pad], t)
         offsets[i] = size + pad
         size += pad + len(t)
     text = np.frombuffer(b"".join(parts), np.uint8)
-    row = np.repeat(np.arange(len(rows)), count)
+    row = np.repeat(np.arange(len(texts)), count)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     at = np.repeat(offsets, count) + inside
     begins = start[row] + inside
     # windows at the same distance from equal anchors may be equal: these are the buckets
     bucket = (mix(hashes.view(np.uint64)[row] + (place[row] - begins).astype(np.uint64))).view(np.int64)
-    order = np.lexsort((begins, seq[row], k[row]))
-    age = np.empty(len(row), np.int64)
-    age[order] = np.arange(len(row))
+    # a document's slices hold different windows, so these are as old as their slices
+    order = np.lexsort((start, seq, k))
+    before = np.empty(len(order), np.int64)
+    before[order] = np.cumsum(count[order]) - count[order]
+    age = before[row] + inside
     return row, begins, repeated(text, at, bucket, age, length)
 
 
@@ -277,21 +298,23 @@ def _settle_locally(length: int):
             yield settle(held)
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
-        rows, texts, hashes = [], [], []
-        for k, seq, text, found in held:
-            h, start, n, place = (found.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("h", "start", "n", "place"))
-            for x, s, c, a in zip(h, start, n, place, strict=True):
-                rows.append((k, seq, s, c, a))
-                texts.append(text[s : s + c + length - 1])
-                hashes.append(x)
-        row, begins, twice = _windows(rows, texts, np.array(hashes, np.int64), length)
+        many = [len(found) for *_, found in held]
+        k, seq = (np.repeat(np.array(c, np.int64), many) for c in list(zip(*held, strict=True))[:2])
+        h, start, count, place = (np.concatenate([found.field(c).to_numpy(zero_copy_only=False) for *_, found in held]) for c in ("h", "start", "n", "place"))
+        ends, doc = (start + count + length - 1).tolist(), np.repeat(np.arange(len(held)), many).tolist()
+        texts = [held[d][2][a:b] for d, a, b in zip(doc, start.tolist(), ends, strict=True)]
+        shared = _shared(h)
+        at, alone = np.flatnonzero(shared), np.flatnonzero(~shared)
+        row, begins, twice = _windows(k[at], seq[at], start[at], count[at], place[at], h[at], [texts[i] for i in at.tolist()], length)
         r, s, n = _runs(row, begins, twice)
         r2, s2, n2 = _runs(row, begins, ~twice)
-        both, starts, counts = np.concatenate((r, r2)), np.concatenate((s, s2)), np.concatenate((n, n2))
-        slices = [None] * len(r) + [texts[i][b - rows[i][2] : b - rows[i][2] + c + length - 1] for i, b, c in zip(r2.tolist(), s2.tolist(), n2.tolist(), strict=True)]
+        ahead = s2 - start[at][r2]
+        cut = [texts[i][a : a + c + length - 1] for i, a, c in zip(at[r2].tolist(), ahead.tolist(), n2.tolist(), strict=True)]
+        slices = [None] * len(r) + cut + [texts[i] for i in alone.tolist()]
+        both = np.concatenate((at[r], at[r2], alone))
+        starts, counts = np.concatenate((s, s2, start[alone])), np.concatenate((n, n2, count[alone]))
         return pa.record_batch(
-            [pa.array([rows[i][0] for i in both.tolist()], pa.int64()), pa.array([rows[i][1] for i in both.tolist()], pa.int32()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()),
-             pa.array([rows[i][4] for i in both.tolist()], pa.int64()), pa.array([hashes[i] for i in both.tolist()], pa.int64()), pa.array(slices, pa.binary())],
+            [pa.array(k[both]), pa.array(seq[both].astype(np.int32)), pa.array(starts), pa.array(counts), pa.array(place[both]), pa.array(h[both]), pa.array(slices, pa.binary())],
             names=["k", "seq", "start", "n", "place", "h", "slice"],
         )
 
@@ -301,10 +324,11 @@ def _settle_locally(length: int):
 def _settle_bucket(length: int):
     """Of the slices of a bucket of anchors: runs of repeated windows."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        rows = list(zip(part["k"], part["seq"], part["start"], part["n"], part["place"], strict=True))
-        row, begins, twice = _windows(rows, part["slice"].tolist(), part["h"].to_numpy(), length)
+        part = part[_shared(part["h"].to_numpy())]
+        k, seq, start, count, place, h = (part[c].to_numpy().astype(np.int64) for c in ("k", "seq", "start", "n", "place", "h"))
+        row, begins, twice = _windows(k, seq, start, count, place, h, part["slice"].tolist(), length)
         r, s, n = _runs(row, begins, twice)
-        return pd.DataFrame({"k": part["k"].to_numpy()[r], "seq": part["seq"].to_numpy()[r], "start": s, "n": n})
+        return pd.DataFrame({"k": k[r], "seq": seq[r].astype(np.int32), "start": s, "n": n})
 
     return run
 
