@@ -8,7 +8,7 @@ without a repeated anchor need no sorting.  Then:
 1. anchors are counted by hash over all documents; those that occur once are dropped;
 2. the windows of the others are sorted, first those of a task's own documents (which settles most copies where they
    are, so that a passage in very many documents reaches the next step once for each task), then those left, dealt
-   out by anchor hash;
+   out by anchor hash; a slice whose anchor no other slice of the block has isn't sorted there;
 3. the starts that were found give the removed bytes of each document.
 
 Sorting (``repeated``) takes one bucket of suffixes at a time.  Suffixes are sorted by their first 32 bytes; ties are
