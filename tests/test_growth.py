@@ -96,3 +96,21 @@ def test_numbering_of_few_rows_takes_few_files(spark):
         assert got.where("n <> k + 5").isEmpty() and got.count() == 1000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_cut_runs_without_methods_too_large_to_be_compiled(spark):
+    """The limit holds while a table is written, and not after it, also when writing fails."""
+    limit, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(limit)
+
+    class Writer:
+        def parquet(self, path):
+            seen.append(spark.conf.get(limit))
+            raise OSError("full")
+
+    class Table:
+        sparkSession, write = spark, Writer()
+
+    with pytest.raises(OSError):
+        cut(Table())
+    assert seen == ["8000"] and spark.conf.get(limit) == before
