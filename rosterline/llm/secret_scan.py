@@ -208,20 +208,36 @@ def _bin(value: Column) -> Column:
     return F.least(F.floor(value * 20), F.lit(int(RANDOM * 20))).cast("long")
 
 
-def _gathered(eight: list[Column], b: int) -> Column:
-    """Bit ``b`` of 64 letters, the first letter in the highest bit; ``eight``: numbers of eight bytes, a letter each.
+def _number(x: int) -> Column:
+    """64 bits as a long."""
+    return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
-    The bits of eight letters come together by three shifts.
+
+#: Steps that turn a square of 8 by 8 bits, a byte each row: what stays, what moves, how far it moves (as in Hacker's Delight).
+TURNS = ((0xAA55AA55AA55AA55, 0x00AA00AA00AA00AA, 7), (0xCCCC3333CCCC3333, 0x0000CCCC0000CCCC, 14), (0xF0F0F0F00F0F0F0F, 0x00000000F0F0F0F0, 28))
+
+
+def _planes(rows: DataFrame, kept: list[str], pieces: range) -> DataFrame:
+    """``kept`` and w0_j to w5_j: the six low bits of a piece's 64 letters, the first letter in the highest bit.
+
+    ``rows`` has e0_j to e7_j, numbers of eight bytes, a letter each.  One bit of each letter is put into a square, a row for the
+    places within the numbers and a column for the numbers, and the square is turned.  Each step is a projection of its own
+    that names a number once or thrice: written out as one expression it would be too large a method for the JVM to compile.
     """
-    number = lambda x: F.lit(x).cast("long")
+    names = [f"w{b}_{j}" for j in pieces for b in range(6)]
+
+    def square(j: int, b: int) -> Column:
+        one = [F.shiftright(f"e{i}_{j}", b).bitwiseAND(_number(0x0101010101010101)) for i in range(8)]
+        return functools.reduce(Column.bitwiseOR, [F.shiftleft(x, 7 - i) for i, x in enumerate(one)])
 
-    def byte(w: Column) -> Column:
-        x = F.shiftright(w, b).bitwiseAND(number(0x0101010101010101))
-        for step, mask in ((7, 0x0003000300030003), (14, 0x0000000F0000000F), (28, 0xFF)):
-            x = x.bitwiseOR(F.shiftright(x, step)).bitwiseAND(number(mask))
-        return x
+    def turned(w: Column, stay: int, move: int, far: int) -> Column:
+        there, back = F.shiftleft(w.bitwiseAND(_number(move)), far), F.shiftright(w, far).bitwiseAND(_number(move))
+        return w.bitwiseAND(_number(stay)).bitwiseOR(there).bitwiseOR(back)
 
-    return functools.reduce(Column.bitwiseOR, [F.shiftleft(byte(w), 56 - 8 * j) for j, w in enumerate(eight)])
+    rows = rows.select(*kept, *(square(j, b).alias(f"w{b}_{j}") for j in pieces for b in range(6)))
+    for step in TURNS:
+        rows = rows.select(*kept, *(turned(F.col(w), *step).alias(w) for w in names))
+    return rows
 
 
 def _ordinary(docs: DataFrame) -> DataFrame:
@@ -243,11 +259,9 @@ def _ordinary(docs: DataFrame) -> DataFrame:
     # (what fills the last piece up has no bit but that of 32)
     rows = rows.select("length", "k", *(F.hex(F.rpad(F.coalesce(F.col("z")[f"p{j}"], F.lit("")), 64, "`")).alias(f"h{j}") for j in range(3)))
     eight = lambda j, i: F.conv(F.substring(f"h{j}", 16 * i + 1, 16), 16, 10).cast("long")
-    rows = rows.select("length", "k", *(eight(j, i).alias(f"e{j}{i}") for j in range(3) for i in range(8)))
-    for j in range(3):
-        planes = [_gathered([F.col(f"e{j}{i}") for i in range(8)], b) for b in range(6)]
-        planes[5] = F.bitwise_not(planes[5])
-        rows = rows.select(*(c for c in rows.columns if not c.startswith(f"e{j}")), *(x.alias(f"w{b}_{j}") for b, x in enumerate(planes)))
+    rows = rows.select("length", "k", *(eight(j, i).alias(f"e{i}_{j}") for j in range(3) for i in range(8)))
+    rows = _planes(rows, ["length", "k"], range(3))
+    rows = rows.select("length", "k", *((F.bitwise_not(w) if b == 5 else F.col(w)).alias(w) for j in range(3) for b in range(6) for w in [f"w{b}_{j}"]))
     # stretches of up to 64 letters need no hi
     short, long = ([n for n in LENGTHS if (n > 64) is far] for far in (False, True))
     return _stretches(rows, short, ("lo",)).union(_stretches(rows, long, ("lo", "hi")))

@@ -100,6 +100,24 @@ def token_statistic(token, size):
     return reference(symbols, 16 if size == 16 else 26, [kinds.count(k) for k in range(4)], sum(a != b for a, b in itertools.pairwise(kinds)), size)
 
 
+def test_letters_become_bit_planes_by_small_expressions(spark):
+    """Every number is named a few times only: the plan doesn't grow by eight with each bit, and its methods are compiled."""
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ`") for _ in range(64)) for _ in range(40)]
+    eight = [f"e{i}_0" for i in range(8)]
+    rows = spark.createDataFrame([(w, *(int.from_bytes(w[8 * i : 8 * i + 8].encode(), "big") for i in range(8))) for w in words], ["word", *eight])
+    for row in secret_scan._planes(rows, ["word"], range(1)).collect():
+        for b in range(6):
+            assert row[f"w{b}_0"] % (1 << 64) == int("".join(str(ord(c) >> b & 1) for c in row["word"]), 2), (row["word"], b)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        plan = secret_scan._ordinary(spark.createDataFrame([("a b",)], ["_text"]))._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    print("length of the plan", len(plan))
+    assert len(plan) < 150_000, len(plan)
+
+
 def test_statistic_of_tokens(spark):
     rnd = random.Random(4)
     rows = [("".join(rnd.choice(a) for _ in range(n)), size) for n in (16, 23, 40, 150) for size, a in (
