@@ -43,7 +43,7 @@ def sf_dir(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("query,table", [
-    ("assessment_history", EMPLOYEES.name), ("change_log", EMPLOYEES.name),
+    ("assessment_history", EMPLOYEES.name), ("change_log", EMPLOYEES.name), ("incomplete_entities", ROADMAP.name),
 ])
 def test_no_rows_after_a_failed_load(spark, sf_dir, monkeypatch, query, table):
     _break(monkeypatch, table)
