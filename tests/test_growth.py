@@ -17,6 +17,7 @@ from rosterline.operators.keys import ASSESSMENT, ROSTER, key_candidates
 from rosterline.operators.resolve import attach, cell_pairs, identify, key_map, name_map
 from rosterline.plans import pipeline
 from rosterline.session import cut, empty
+from rosterline.sources import sheets
 from rosterline.sources.fixtures import Fixtures
 from rosterline.sources.snapshots import SnapshotStore
 from rosterline.specs import EMPLOYEES, JOBS
@@ -114,3 +115,25 @@ def test_cut_runs_without_methods_too_large_to_be_compiled(spark):
     with pytest.raises(OSError):
         cut(Table())
     assert seen == ["8000"] and spark.conf.get(limit) == before
+
+
+@pytest.mark.parametrize("split", [48, 1 << 20])
+def test_lines_without_open_quotes_are_numbered_where_they_are(spark, tmp_folder, monkeypatch, split):
+    """Files of two layouts and one without rows, cut by splits: rows by (file, position), nothing sorted for it."""
+    want = []
+    for k, header in enumerate(("a;b", "b;a", "a;b", "row_id;a")):
+        with open(f"{tmp_folder}/part-{k}.csv", "w", encoding="utf-8") as f:
+            f.write(header + "\n")
+            for i in range(0 if k == 2 else 40):
+                f.write(f'{k}-{i};"x {i}"\n')
+                want.append((f"{k}-{i}", f"x {i}") if k == 0 else (f"x {i}", f"{k}-{i}") if k == 1 else (f"x {i}", None))
+    monkeypatch.setattr(sheets, "dense_index", None)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        df = sheets.read_csv_sheet(spark, [tmp_folder])
+        got = df.orderBy("row_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r["a"], r["b"]) for r in got] == want and [r["row_id"] for r in got] == list(range(120))
+    assert "rangepartitioning" not in _plan(df)
